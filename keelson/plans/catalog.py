@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.operators import cep, traffic as tr
+from keelson.functions import codecs, geometry
+from keelson.operators import cep, lidar as ld, traffic as tr
 from keelson.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,7 +45,8 @@ def register(name: str, sql: str | None = None):
 
 
 def r6(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    # + 0.0 turns a rounded -0.0 into 0.0 (same in the SQL side where it can occur)
+    return F.round(F.col(c) if isinstance(c, str) else c, 6) + F.lit(0.0)
 
 
 def _traffic(spark, sf):
@@ -164,3 +166,137 @@ def q_followed_by(spark, sf):
     FROM traffic"""))
 def q_event_log_lines(spark, sf):
     return tr.event_log_lines(_traffic(spark, sf))
+
+
+# ------------------------------------------------------------------ lidar
+SQL_VIEWS.update({
+    "lidar": """lidar AS (
+        SELECT event_id AS seq, CAST((event_id * 37) % 3600 AS DOUBLE) / 10 AS angle,
+               CAST(value AS DOUBLE) AS distance, CAST((event_id * 7) % 31 AS INTEGER) AS quality
+        FROM events)""",
+    "filtered": "filtered AS (SELECT * FROM lidar WHERE quality >= 15)",
+    "grouped": """g1 AS (
+        SELECT *, CASE WHEN angle < lag(angle, 1, 0.0) OVER (ORDER BY seq) THEN 1 ELSE 0 END AS f
+        FROM filtered),
+    grouped AS (
+        SELECT seq, angle, distance, quality,
+               CAST(sum(f) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) AS INTEGER) AS scan
+        FROM g1)""",
+    "segments": """points AS (
+        SELECT *, cos(radians(angle)) * distance AS x, sin(radians(angle)) * distance AS y FROM grouped),
+    segments AS (
+        SELECT scan, seq, sqrt((x - px) * (x - px) + (y - py) * (y - py)) AS distance
+        FROM (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, lag(scan) OVER w AS pscan
+              FROM points WINDOW w AS (ORDER BY seq))
+        WHERE pscan = scan)""",
+})
+_LIDAR = ["lidar", "filtered", "grouped", "segments"]
+
+
+def _lidar(spark, sf):
+    return V.lidar(V.events(spark, sf))
+
+
+def _grouped(spark, sf):
+    return ld.scan_group(ld.lidar_quality_filter(_lidar(spark, sf)))
+
+
+@register("lidar_quality_filter", _sql(["lidar"], "SELECT * FROM lidar WHERE quality >= 15"))
+def q_lidar_quality_filter(spark, sf):
+    return ld.lidar_quality_filter(_lidar(spark, sf))
+
+
+@register("scan_group", _sql(_LIDAR[:3], "SELECT * FROM grouped"))
+def q_scan_group(spark, sf):
+    return _grouped(spark, sf)
+
+
+@register("scan_segment_distance", _sql(_LIDAR, "SELECT scan, seq, round(distance, 6) AS distance FROM segments"))
+def q_scan_segment_distance(spark, sf):
+    seg = ld.scan_segment_distance(_grouped(spark, sf))
+    return seg.withColumn("distance", r6("distance"))
+
+
+_TOTALS_SQL = _sql(_LIDAR, "SELECT scan, round(sum(distance), 6) AS distance FROM segments GROUP BY scan")
+
+
+@register("scan_total_distance", _TOTALS_SQL)
+def q_scan_total_distance(spark, sf):
+    tot = ld.scan_total_distance(ld.scan_segment_distance(_grouped(spark, sf)))
+    return tot.withColumn("distance", r6("distance"))
+
+
+@register("scan_total_distance_legacy", _sql(_LIDAR, """,
+    r AS (SELECT *, CASE WHEN lag(scan) OVER (ORDER BY seq) IS NULL
+                           OR lag(scan) OVER (ORDER BY seq) <> scan THEN 1 ELSE 0 END AS st
+          FROM segments),
+    r2 AS (SELECT *, CAST(sum(st) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run_id FROM r),
+    runs AS (SELECT run_id, any_value(scan) AS scan,
+                    sum(CASE WHEN st = 0 OR (run_id = 1 AND scan = 0) THEN distance ELSE 0.0 END) AS distance
+             FROM r2 GROUP BY run_id)
+    SELECT run_id AS emit_seq, scan, round(distance, 6) AS distance FROM runs
+    WHERE run_id < (SELECT max(run_id) FROM runs)
+    UNION ALL
+    SELECT CAST(0 AS BIGINT), 0, 0.0 FROM runs WHERE run_id = 1 AND scan <> 0"""))
+def q_scan_total_distance_legacy(spark, sf):
+    leg = ld.scan_total_distance_legacy(ld.scan_segment_distance(_grouped(spark, sf)))
+    return leg.withColumn("distance", r6("distance"))
+
+
+@register("lidar_pipeline", _TOTALS_SQL)
+def q_lidar_pipeline(spark, sf):
+    lines = codecs.encode_lidar(_lidar(spark, sf)).select("seq", "value")
+    return ld.lidar_pipeline(lines).withColumn("distance", r6("distance"))
+
+
+@register("scan_frames", _sql(_LIDAR[:3], """
+    SELECT scan, seq, round(cos(radians(angle)) * distance, 6) + 0.0 AS x,
+           round(sin(radians(angle)) * distance, 6) + 0.0 AS y,
+           (SELECT max(distance) FROM grouped) AS max_range
+    FROM grouped"""))
+def q_scan_frames(spark, sf):
+    fr = ld.scan_frames(_grouped(spark, sf))
+    return fr.withColumn("x", r6("x")).withColumn("y", r6("y"))
+
+
+@register("lidar_cartesian", _sql(["lidar"], """
+    SELECT seq, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y,
+           round(sqrt(x * x + y * y), 6) AS length, round(atan2(y, x), 6) + 0.0 AS heading
+    FROM (SELECT seq, cos(radians(angle)) * distance AS x, sin(radians(angle)) * distance AS y FROM lidar)"""))
+def q_lidar_cartesian(spark, sf):
+    x, y = geometry.polar_to_cartesian("angle", "distance")
+    p = _lidar(spark, sf).select("seq", x.alias("x"), y.alias("y"))
+    return p.select("seq", r6("x").alias("x"), r6("y").alias("y"),
+                    r6(geometry.vector_length("x", "y")).alias("length"),
+                    r6(geometry.vector_angle("x", "y")).alias("heading"))
+
+
+@register("decode_lidar", _sql(["lidar"], """
+    SELECT seq, angle, distance, quality FROM lidar WHERE seq % 29 NOT IN (5, 13)"""))
+def q_decode_lidar(spark, sf):
+    dec = codecs.decode_lidar(V.lidar_lines(V.events(spark, sf)))
+    good, _ = codecs.split_decoded(dec)
+    return good.select("seq", "angle", "distance", "quality")
+
+
+@register("decode_lidar_rejects", _sql(["lidar"], """
+    SELECT seq, CASE WHEN seq % 29 = 5 THEN 'malformed' ELSE 'missing field' END AS decode_error
+    FROM lidar WHERE seq % 29 IN (5, 13)"""))
+def q_decode_lidar_rejects(spark, sf):
+    dec = codecs.decode_lidar(V.lidar_lines(V.events(spark, sf)))
+    _, bad = codecs.split_decoded(dec)
+    return bad.select("seq", "decode_error")
+
+
+@register("lidar_grouped_codec", _sql(_LIDAR[:3], "SELECT * FROM grouped"))
+def q_lidar_grouped_codec(spark, sf):
+    enc = codecs.encode_lidar_grouped(_grouped(spark, sf)).select("seq", "value")
+    good, _ = codecs.split_decoded(codecs.decode_lidar_grouped(enc))
+    return good.select("seq", "angle", "distance", "quality", "scan")
+
+
+@register("lidar_distance_codec", _sql(_LIDAR, "SELECT scan, seq, round(distance, 6) AS distance FROM segments"))
+def q_lidar_distance_codec(spark, sf):
+    enc = codecs.encode_lidar_distance(ld.scan_segment_distance(_grouped(spark, sf))).select("seq", "value")
+    good, _ = codecs.split_decoded(codecs.decode_lidar_distance(enc))
+    return good.select("scan", "seq", r6("distance").alias("distance"))

@@ -58,10 +58,10 @@ def shift(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence[str
     w_sum = Window.partitionBy(*_part(keys)).orderBy(F.col(BUCKET))
     carry = summary.select(*keys, BUCKET, fn(F.col("_edge"), 1).over(w_sum).alias("_nb"))
     out = b.join(carry, on=[*keys, BUCKET], how="left")
-    at_edge = F.col(prefix + order_col).isNull()
+    out = out.withColumn("_edge_row", F.col(prefix + order_col).isNull())
     for c in cols:
-        out = out.withColumn(prefix + c, F.when(at_edge, F.col("_nb")[c]).otherwise(F.col(prefix + c)))
-    return out.drop("_nb", BUCKET)
+        out = out.withColumn(prefix + c, F.when(F.col("_edge_row"), F.col("_nb")[c]).otherwise(F.col(prefix + c)))
+    return out.drop("_nb", "_edge_row", BUCKET)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order_col: str, exprs: dict[str, Column],

@@ -84,6 +84,21 @@ def lidar(ev: DataFrame) -> DataFrame:
     )
 
 
+def lidar_lines(ev: DataFrame) -> DataFrame:
+    """Scan file lines ``seq, value`` (JSON), corrupted by ``seq % 29``: 5 truncated JSON,
+    9 fractional quality (reader truncates), 13 ``distanz`` key missing."""
+    l = lidar(ev)
+    good = F.to_json(F.struct(F.col("angle").alias("winkel"), F.col("distance").alias("distanz"),
+                              F.col("quality").alias("qualitaet")))
+    frac = F.to_json(F.struct(F.col("angle").alias("winkel"), F.col("distance").alias("distanz"),
+                              (F.col("quality") + 0.75).alias("qualitaet")))
+    missing = F.to_json(F.struct(F.col("angle").alias("winkel"), F.col("quality").alias("qualitaet")))
+    r = F.col("seq") % 29
+    value = (F.when(r == 5, good.substr(F.lit(1), F.length(good) - 5))
+             .when(r == 9, frac).when(r == 13, missing).otherwise(good))
+    return l.select("seq", value.alias("value"))
+
+
 # ---------------------------------------------------------------- vehicles
 
 def vehicle_commands(ev: DataFrame, with_world: bool = False) -> DataFrame:
