@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions import codecs, geometry
-from keelson.operators import cep, lidar as ld, traffic as tr
+from keelson.operators import admission as ad, cep, lidar as ld, proximity as px, traffic as tr, vehicles as vh
 from keelson.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,3 +300,155 @@ def q_lidar_distance_codec(spark, sf):
     enc = codecs.encode_lidar_distance(ld.scan_segment_distance(_grouped(spark, sf))).select("seq", "value")
     good, _ = codecs.split_decoded(codecs.decode_lidar_distance(enc))
     return good.select("scan", "seq", r6("distance").alias("distance"))
+
+
+# ------------------------------------------------------------------ vehicles
+SQL_VIEWS["vehicle_commands"] = """vehicle_commands AS (
+        SELECT event_id AS seq,
+               CASE event_type WHEN 'signup' THEN 'create' WHEN 'error' THEN 'remove' ELSE 'move' END AS type,
+               'V' || CAST(user_id AS VARCHAR) AS name,
+               CAST(CASE event_type WHEN 'signup' THEN (event_id * 13) % 11 WHEN 'error' THEN NULL
+                    ELSE (event_id * 13) % 5 - 2 END AS DOUBLE) AS x,
+               CAST(CASE event_type WHEN 'signup' THEN (event_id * 7) % 11 WHEN 'error' THEN NULL
+                    ELSE (event_id * 11) % 3 - 1 END AS DOUBLE) AS y
+        FROM events)"""
+SQL_VIEWS["split"] = """hist_cmds AS (
+        SELECT * FROM vehicle_commands WHERE seq < (SELECT count(*) FROM vehicle_commands) / 2),
+    pending AS (
+        SELECT * FROM vehicle_commands WHERE seq >= (SELECT count(*) FROM vehicle_commands) / 2)"""
+
+
+def _projection_sql(src: str) -> str:
+    """Epoch form of the fold: CTEs ``live``, ``history``, ``state`` over command CTE ``src``."""
+    return f"""m AS (
+        SELECT *, max(CASE WHEN type IN ('create', 'remove') THEN seq END)
+                  OVER (PARTITION BY name ORDER BY seq ROWS UNBOUNDED PRECEDING) AS epoch
+        FROM {src}),
+    lastm AS (SELECT name, max(seq) AS ls FROM {src} WHERE type IN ('create', 'remove') GROUP BY name),
+    live AS (
+        SELECT c.name, c.seq AS start_seq, c.x AS x0, c.y AS y0
+        FROM {src} c JOIN lastm l ON c.name = l.name AND c.seq = l.ls WHERE c.type = 'create'),
+    history AS (
+        SELECT name, CAST(0 AS BIGINT) AS pos_idx, x0 AS x, y0 AS y FROM live
+        UNION ALL
+        SELECT m.name, CAST(row_number() OVER w AS BIGINT), l.x0 + sum(m.x) OVER w, l.y0 + sum(m.y) OVER w
+        FROM m JOIN live l ON m.name = l.name AND m.epoch = l.start_seq
+        WHERE m.type = 'move'
+        WINDOW w AS (PARTITION BY m.name ORDER BY m.seq ROWS UNBOUNDED PRECEDING)),
+    state AS (
+        SELECT name, arg_max(x, pos_idx) AS x, arg_max(y, pos_idx) AS y, CAST(max(pos_idx) AS INTEGER) AS moves
+        FROM history GROUP BY name)"""
+
+
+SQL_VIEWS["projection"] = _projection_sql("vehicle_commands")
+SQL_VIEWS["snapshot"] = _projection_sql("hist_cmds")
+
+
+def _cmds(spark, sf):
+    return V.vehicle_commands(V.events(spark, sf))
+
+
+def _history(spark, sf):
+    return vh.project_vehicles(_cmds(spark, sf))
+
+
+def _state(spark, sf):
+    return vh.vehicles(_history(spark, sf))
+
+
+_PROJ = ["vehicle_commands", "projection"]
+
+
+@register("project_vehicles", _sql(_PROJ, "SELECT * FROM history"))
+def q_project_vehicles(spark, sf):
+    return _history(spark, sf)
+
+
+@register("vehicles", _sql(_PROJ, "SELECT * FROM state"))
+def q_vehicles(spark, sf):
+    return _state(spark, sf)
+
+
+@register("vehicle_previous_positions", _sql(_PROJ, """
+    SELECT h.* FROM history h JOIN state s ON h.name = s.name WHERE h.pos_idx < s.moves"""))
+def q_vehicle_previous_positions(spark, sf):
+    return vh.vehicle_previous_positions(_history(spark, sf))
+
+
+@register("live_vehicle_names", _sql(_PROJ, "SELECT name FROM live"))
+def q_live_vehicle_names(spark, sf):
+    return vh.live_vehicle_names(_cmds(spark, sf))
+
+
+@register("vehicle_by_name", _sql(_PROJ, "SELECT * FROM state WHERE name = (SELECT min(name) FROM state)"))
+def q_vehicle_by_name(spark, sf):
+    st = _state(spark, sf)
+    return vh.vehicle_by_name(st, st.select(F.min("name")).scalar())
+
+
+@register("vehicles_at_position", _sql(_PROJ, """
+    SELECT * FROM state WHERE sqrt((x - 3.2) * (x - 3.2) + (y - 4.1) * (y - 4.1)) <= 0.5"""))
+def q_vehicles_at_position(spark, sf):
+    return vh.vehicles_at_position(_state(spark, sf), 3.2, 4.1)
+
+
+@register("proximity_join", _sql(_PROJ, """
+    SELECT a.name AS name_a, b.name AS name_b, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by
+    FROM state a JOIN state b ON a.name < b.name
+    WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 1.0"""))
+def q_proximity_join(spark, sf):
+    st = _state(spark, sf)
+    a = st.select(F.col("name").alias("name_a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
+    b = st.select(F.col("name").alias("name_b"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    pairs = px.proximity_join(a, b, 1.0, ("ax", "ay"), ("bx", "by"))
+    return pairs.filter(F.col("name_a") < F.col("name_b"))
+
+
+@register("box_collision_pairs", _sql(_PROJ, """
+    SELECT a.name AS name_a, b.name AS name_b
+    FROM state a JOIN state b ON a.name < b.name
+    WHERE abs(a.x - b.x) < 0.5 AND abs(a.y - b.y) < 0.5"""))
+def q_box_collision_pairs(spark, sf):
+    return px.box_collision_pairs(_state(spark, sf))
+
+
+@register("vehicle_command_codec", _sql(["vehicle_commands"], "SELECT * FROM vehicle_commands"))
+def q_vehicle_command_codec(spark, sf):
+    enc = codecs.encode_vehicle_commands(_cmds(spark, sf)).select("seq", "value")
+    good, _ = codecs.split_decoded(codecs.decode_vehicle_commands(enc))
+    return good.select("seq", "type", "name", "x", "y")
+
+
+@register("admit_commands_snapshot", _sql(["vehicle_commands", "split", "snapshot"], """,
+    c AS (SELECT p.*, s.x AS cx, s.y AS cy, s.moves, s.name IS NOT NULL AS live
+          FROM pending p LEFT JOIN state s ON p.name = s.name),
+    mv AS (SELECT *, cx + x AS nx, cy + y AS ny FROM c WHERE type = 'move'),
+    cand AS (SELECT * FROM mv WHERE live AND NOT (x = 0 AND y = 0) AND moves < 5),
+    rv AS (SELECT cand.*, EXISTS (
+               SELECT 1 FROM history h WHERE h.name = cand.name AND h.pos_idx < cand.moves
+                 AND sqrt((cand.nx - h.x) * (cand.nx - h.x) + (cand.ny - h.y) * (cand.ny - h.y)) <= 0.5) AS revisit
+           FROM cand)
+    SELECT seq, 0 AS sub_seq, CASE WHEN live THEN 'duplicate_create' ELSE 'create' END AS verdict,
+           CASE WHEN live THEN NULL ELSE 'create' END AS type, name, x, y
+    FROM c WHERE type = 'create'
+    UNION ALL
+    SELECT seq, 0, CASE WHEN live THEN 'remove' ELSE 'unknown_remove' END, CASE WHEN live THEN 'remove' END,
+           name, NULL, NULL FROM c WHERE type = 'remove'
+    UNION ALL
+    SELECT seq, 0, CASE WHEN NOT live THEN 'unknown_move' ELSE 'zero_move' END, NULL, name, x, y
+    FROM mv WHERE NOT live OR (x = 0 AND y = 0)
+    UNION ALL
+    SELECT seq, 0, 'motion_limit', 'remove', name, NULL, NULL FROM mv
+    WHERE live AND NOT (x = 0 AND y = 0) AND moves >= 5
+    UNION ALL
+    SELECT seq, 0, 'revisit', 'remove', name, NULL, NULL FROM rv WHERE revisit
+    UNION ALL
+    SELECT r.seq, 0, 'obstacle', 'remove', s.name, NULL, NULL
+    FROM rv r JOIN state s ON s.name <> r.name
+     AND sqrt((r.nx - s.x) * (r.nx - s.x) + (r.ny - s.y) * (r.ny - s.y)) <= 0.5
+    WHERE NOT r.revisit
+    UNION ALL
+    SELECT seq, 1, 'move', 'move', name, x, y FROM rv WHERE NOT revisit"""))
+def q_admit_commands_snapshot(spark, sf):
+    hist_cmds, pending = V.split_commands(_cmds(spark, sf))
+    return ad.admit_commands_snapshot(pending, vh.project_vehicles(hist_cmds))
