@@ -20,18 +20,31 @@ MS_TO_KMH = 3.6  # fixed conversion factor
 # ---------------------------------------------------------------- parsing
 
 def parse_traffic_lenient(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Split the line on blanks without trimming and read tokens 0, 1, 2 as instant, sensor id
-    and speed; more tokens are ignored. Adds ``sensor_id, speed_ms, ts`` and ``parse_error``
-    (NULL when the line parsed). A leading blank makes token 0 empty, which fails."""
-    parts = F.split(F.coalesce(F.col(value_col), F.lit("")), r"\s+", -1)
-    tok = [F.get(parts, i) for i in range(3)]
-    ts = parsing.parse_instant(tok[0])
-    sensor = parsing.parse_int(tok[1])
-    speed = parsing.parse_double(tok[2])
-    err = (F.when(ts.isNull(), F.lit("DateTimeParseException"))
-           .when(sensor.isNull() | speed.isNull(), F.lit("NumberFormatException")))
-    return df.select("*", sensor.alias("sensor_id"), speed.alias("speed_ms"), ts.alias("ts"),
-                     err.alias("parse_error"))
+    """Split the line on blanks without trimming (trailing empty tokens dropped, a leading blank
+    gives an empty first token) and read tokens 0, 1, 2 as instant, sensor id and speed; more
+    tokens are ignored. Adds ``sensor_id, speed_ms, ts`` and ``parse_error`` (NULL when the line
+    parsed, else the failing JDK exception class)."""
+    v = F.coalesce(F.col(value_col), F.lit(""))
+    s1 = df.select("*", F.split(F.regexp_replace(v, r"\s+$", ""), r"\s+", -1).alias("_parts"),
+                   # a non-empty all-blank line splits into no tokens at all
+                   v.rlike(r"^\s+$").alias("_allblank"))
+    n = F.when(F.col("_allblank"), F.lit(0)).otherwise(F.size("_parts"))
+    s2 = s1.select("*", n.alias("_n"),
+                   parsing.parse_instant(F.get(F.col("_parts"), 0)).alias("_ts"),
+                   parsing.parse_int(F.get(F.col("_parts"), 1)).alias("_sensor"),
+                   parsing.parse_double(F.get(F.col("_parts"), 2)).alias("_speed"))
+    n = F.col("_n")
+    err = (F.when(n < 1, F.lit("ArrayIndexOutOfBoundsException"))
+           .when(F.col("_ts").isNull(), F.lit("DateTimeParseException"))
+           .when(n < 2, F.lit("ArrayIndexOutOfBoundsException"))
+           .when(F.col("_sensor").isNull(), F.lit("NumberFormatException"))
+           .when(n < 3, F.lit("ArrayIndexOutOfBoundsException"))
+           .when(F.col("_speed").isNull(), F.lit("NumberFormatException")))
+    s3 = s2.select("*", err.alias("parse_error"))
+    ok = F.col("parse_error").isNull()
+    out = s3.select("*", F.when(ok, F.col("_sensor")).alias("sensor_id"), F.when(ok, F.col("_speed")).alias("speed_ms"),
+                    F.when(ok, F.col("_ts")).alias("ts"))
+    return out.drop("_parts", "_allblank", "_n", "_ts", "_sensor", "_speed")
 
 
 def decoded_events(df: DataFrame, value_col: str = "value") -> DataFrame:

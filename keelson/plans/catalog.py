@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions import codecs, geometry
-from keelson.operators import admission as ad, cep, lidar as ld, proximity as px, traffic as tr, vehicles as vh
+from keelson.operators import (admission as ad, audit as au, cep, lidar as ld, proximity as px,
+                               routing as rt, traffic as tr, vehicles as vh)
 from keelson.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -452,3 +453,174 @@ def q_vehicle_command_codec(spark, sf):
 def q_admit_commands_snapshot(spark, sf):
     hist_cmds, pending = V.split_commands(_cmds(spark, sf))
     return ad.admit_commands_snapshot(pending, vh.project_vehicles(hist_cmds))
+
+
+# ------------------------------------------------------------------ routing and audit
+SQL_VIEWS["traffic_lines"] = """traffic_lines AS (
+        SELECT 'traffic-data' AS topic, 0 AS "partition", seq AS "offset", ts AS "timestamp",
+               CASE seq % 23
+                 WHEN 3 THEN ''
+                 WHEN 5 THEN t || ' ' || s
+                 WHEN 7 THEN substr(t, 1, 10) || ' ' || s || ' ' || sp
+                 WHEN 11 THEN t || ' ' || s || '.5 ' || sp
+                 WHEN 13 THEN t || ' ' || s || ' ' || replace(sp, '.', ',')
+                 WHEN 17 THEN '  ' || t || ' ' || s || ' ' || sp || '  '
+                 WHEN 19 THEN t || ' ' || s || ' ' || sp || ' extra'
+                 ELSE t || ' ' || s || ' ' || sp END AS value
+        FROM (SELECT seq, ts, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS t, CAST(sensor_id AS VARCHAR) AS s,
+                     CAST(CAST(speed_ms AS DECIMAL(10, 3)) AS VARCHAR) AS sp
+              FROM traffic))"""
+_INSTANT = r"(?i)^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,9})?(Z|[+-][0-9]{2}:[0-9]{2}(:[0-9]{2})?)$"
+_DOUBLE = r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)$"
+SQL_VIEWS["routed"] = f"""q AS (
+        SELECT *, regexp_split_to_array(trim(value), '\\s+') AS parts FROM traffic_lines),
+    r AS (
+        SELECT *, CASE
+            WHEN regexp_matches(value, '^\\s*$') THEN 'blank'
+            WHEN len(parts) <> 3 THEN 'tokens'
+            WHEN NOT regexp_matches(parts[1], '{_INSTANT}') THEN 'instant'
+            WHEN NOT regexp_matches(parts[2], '^[+-]?[0-9]+$') OR TRY_CAST(parts[2] AS INTEGER) IS NULL THEN 'int'
+            WHEN NOT regexp_matches(parts[3], '{_DOUBLE}') THEN 'double'
+            WHEN CAST(parts[3] AS DOUBLE) < 0 THEN 'negative' END AS reason
+        FROM q),
+    routed AS (
+        SELECT topic, "partition", "offset", epoch_ms("timestamp") AS timestamp_ms,
+               'MID=' || topic || '-' || "partition" || '-' || "offset" AS mid,
+               CASE WHEN reason IS NULL THEN 'OUT' ELSE 'BAD' END AS route, reason,
+               'MID=' || topic || '-' || "partition" || '-' || "offset" || ' ' || CASE
+                 WHEN reason IS NULL THEN parts[1] || ' SensorId=' || CAST(CAST(parts[2] AS INTEGER) AS VARCHAR)
+                      || ' SpeedKmh=' || printf('%.2f', CAST(parts[3] AS DOUBLE) * 3.6)
+                 WHEN reason = 'blank' THEN 'BAD: <blank line>'
+                 WHEN reason = 'tokens' THEN 'BAD: ' || value || ' | reason=expected 3 tokens'
+                 WHEN reason = 'negative' THEN 'BAD: ' || value || ' | reason=negative speed'
+                 WHEN reason = 'instant' THEN 'BAD: ' || value || ' | DateTimeParseException'
+                 ELSE 'BAD: ' || value || ' | NumberFormatException' END AS value
+        FROM r)"""
+_ROUTE = ["traffic", "traffic_lines", "routed"]
+
+
+def _lines(spark, sf):
+    return V.traffic_lines(V.events(spark, sf))
+
+
+def _routed(spark, sf):
+    return rt.route_traffic(_lines(spark, sf))
+
+
+@register("route_traffic", _sql(_ROUTE, "SELECT * FROM routed"))
+def q_route_traffic(spark, sf):
+    r = _routed(spark, sf)
+    return r.select("topic", "partition", "offset", F.unix_millis("timestamp").alias("timestamp_ms"),
+                    "mid", "route", "reason", "value")
+
+
+@register("parse_traffic_strict", _sql(_ROUTE, """
+    SELECT "offset", reason,
+           CASE WHEN reason IS NULL THEN CAST(parts[2] AS INTEGER) END AS sensor_id,
+           CASE WHEN reason IS NULL THEN CAST(parts[3] AS DOUBLE) END AS speed_ms,
+           CASE WHEN reason IS NULL THEN epoch_ms(CAST(parts[1] AS TIMESTAMPTZ)) END AS ts_ms
+    FROM r"""))
+def q_parse_traffic_strict(spark, sf):
+    p = rt.parse_traffic_strict(_lines(spark, sf))
+    return p.select("offset", "reason", "sensor_id", "speed_ms", F.unix_millis("ts").alias("ts_ms"))
+
+
+@register("parse_traffic_lenient", _sql(["traffic", "traffic_lines"], f""",
+    q AS (SELECT *, CASE WHEN regexp_matches(value, '^\\s+$') THEN [] ELSE
+                 regexp_split_to_array(regexp_replace(value, '\\s+$', ''), '\\s+') END AS parts
+          FROM traffic_lines),
+    e AS (SELECT *, CASE
+            WHEN len(parts) < 1 THEN 'ArrayIndexOutOfBoundsException'
+            WHEN NOT regexp_matches(parts[1], '{_INSTANT}') THEN 'DateTimeParseException'
+            WHEN len(parts) < 2 THEN 'ArrayIndexOutOfBoundsException'
+            WHEN NOT regexp_matches(parts[2], '^[+-]?[0-9]+$') OR TRY_CAST(parts[2] AS INTEGER) IS NULL
+                 THEN 'NumberFormatException'
+            WHEN len(parts) < 3 THEN 'ArrayIndexOutOfBoundsException'
+            WHEN NOT regexp_matches(parts[3], '{_DOUBLE}') THEN 'NumberFormatException' END AS parse_error
+          FROM q)
+    SELECT "offset", parse_error,
+           CASE WHEN parse_error IS NULL THEN CAST(parts[2] AS INTEGER) END AS sensor_id,
+           CASE WHEN parse_error IS NULL THEN CAST(parts[3] AS DOUBLE) END AS speed_ms,
+           CASE WHEN parse_error IS NULL THEN epoch_ms(CAST(parts[1] AS TIMESTAMPTZ)) END AS ts_ms
+    FROM e"""))
+def q_parse_traffic_lenient(spark, sf):
+    p = tr.parse_traffic_lenient(_lines(spark, sf))
+    return p.select("offset", "parse_error", "sensor_id", "speed_ms", F.unix_millis("ts").alias("ts_ms"))
+
+
+@register("next_offsets", _sql(["traffic", "traffic_lines"], """
+    SELECT topic, "partition", max("offset") + 1 AS next_offset FROM traffic_lines GROUP BY ALL"""))
+def q_next_offsets(spark, sf):
+    return au.next_offsets(_lines(spark, sf))
+
+
+@register("end_offset_sum", _sql(["traffic", "traffic_lines"], """
+    SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS end_offset_sum
+    FROM (SELECT max("offset") + 1 AS n FROM traffic_lines GROUP BY topic, "partition")"""))
+def q_end_offset_sum(spark, sf):
+    return au.end_offset_sum(au.next_offsets(_lines(spark, sf)))
+
+
+@register("batch_progress", _sql(_ROUTE, """
+    SELECT CAST(floor("offset" / 500) AS BIGINT) AS batch_id, count(*) AS records,
+           count(*) FILTER (WHERE route = 'OUT') AS out, count(*) FILTER (WHERE route = 'BAD') AS bad,
+           count(DISTINCT (topic, "partition")) AS partitions
+    FROM routed GROUP BY 1"""))
+def q_batch_progress(spark, sf):
+    return au.batch_progress(_routed(spark, sf))
+
+
+@register("union_outputs", _sql(_ROUTE, "SELECT mid, value FROM routed"))
+def q_union_outputs(spark, sf):
+    r = _routed(spark, sf)
+    return au.union_outputs(r.filter(F.col("route") == "OUT"), r.filter(F.col("route") == "BAD")).select("mid", "value")
+
+
+@register("nonblank_count", _sql(["traffic", "traffic_lines"], """
+    SELECT count(*) FILTER (WHERE NOT regexp_matches(value, '^\\s*$')) AS lines FROM traffic_lines"""))
+def q_nonblank_count(spark, sf):
+    return au.nonblank_count(_lines(spark, sf))
+
+
+@register("reconcile_counts", _sql(_ROUTE, """
+    SELECT (SELECT count(*) FROM traffic_lines) AS input_lines,
+           count(*) FILTER (WHERE route = 'OUT') AS output_lines,
+           count(*) FILTER (WHERE route = 'BAD') AS bad_lines,
+           count(*) AS total, count(*) = (SELECT count(*) FROM traffic_lines) AS counts_match
+    FROM routed"""))
+def q_reconcile_counts(spark, sf):
+    lines = _lines(spark, sf)
+    r = rt.route_traffic(lines)
+    return au.reconcile_counts(lines, r.filter(F.col("route") == "OUT"), r.filter(F.col("route") == "BAD"))
+
+
+_REDELIVERED = """, redelivered AS (
+        SELECT mid, value FROM routed
+        UNION ALL SELECT mid, value FROM routed WHERE floor("offset" / 500) = 3)"""
+
+
+def _redelivered(spark, sf):
+    """Routed output plus a second copy of one poll batch (offsets 1500-1999), as an
+    at-least-once sink would leave it after a retried write."""
+    r = _routed(spark, sf)
+    again = r.filter(F.floor(F.col("offset") / au.MAX_PER_POLL) == 3)
+    return r.unionByName(again)
+
+
+@register("duplicate_mids", _sql(_ROUTE, _REDELIVERED + """
+    SELECT mid, count(*) AS copies FROM redelivered GROUP BY mid HAVING count(*) > 1"""))
+def q_duplicate_mids(spark, sf):
+    return au.duplicate_mids(_redelivered(spark, sf))
+
+
+@register("mid_audit", _sql(_ROUTE, """
+    SELECT count(*) AS lines, count(*) AS lines_with_mid, count(DISTINCT mid) AS distinct_mids,
+           count(*) - count(DISTINCT mid) AS duplicate_mids, count(*) = count(DISTINCT mid) AS ok
+    FROM routed"""))
+def q_mid_audit(spark, sf):
+    return au.mid_audit(_routed(spark, sf))
+
+
+@register("dedupe_by_mid", _sql(_ROUTE, _REDELIVERED + " SELECT DISTINCT mid, value FROM redelivered"))
+def q_dedupe_by_mid(spark, sf):
+    return au.dedupe_by_mid(_redelivered(spark, sf)).select("mid", "value")
