@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import formats, parsing
+from keelson.plans.ordered import shift
 
 MS_TO_KMH = 3.6  # fixed conversion factor
 
@@ -99,8 +100,9 @@ def anchored_batch_avg_speed(df: DataFrame, batch_ms: int = 10_000, origin_ms: i
     time of the input, a scalar subquery), not at the epoch. Per key and batch: mean km/h and the
     key's first and last event time in the batch (``window_start_ms``/``window_end_ms``).
 
-    No speed filter by default. ``with_idle`` adds a 0.0 row for a key that had a row in the
-    previous batch and none in this one, up to the last non-empty batch."""
+    No speed filter by default. ``with_idle`` adds a 0.0 row (NULL times) for a key that had a
+    row in the previous non-empty batch and none in this one; batches without any event emit
+    nothing, so idle rows never go past the last non-empty batch."""
     if filter_valid:
         df = valid_speed_filter(df, speed_col)
     ts_ms = F.unix_millis(F.col(ts_col))
@@ -119,11 +121,14 @@ def anchored_batch_avg_speed(df: DataFrame, batch_ms: int = 10_000, origin_ms: i
                    ms_to_kmh("_avg_ms").alias("avg_speed_kmh"),
                    "window_start_ms", "window_end_ms")
     if with_idle:
-        last_batch = g.select(F.max("_batch")).scalar()
+        # the batch that follows k is the next non-empty one (empty batches emit nothing)
+        batches = g.select("_batch").distinct()
+        nxt = shift(batches, [], "_batch", [], direction=-1, prefix="_n")
         present = out.select(*key_cols, "_batch")
-        following = present.select(*key_cols, (F.col("_batch") + 1).alias("_batch"))
-        idle = (following.filter(F.col("_batch") <= last_batch)
-                .join(present, on=[*key_cols, "_batch"], how="left_anti")
+        following = (present.join(nxt, on="_batch")
+                     .filter(F.col("_n_batch").isNotNull())
+                     .select(*key_cols, F.col("_n_batch").alias("_batch")))
+        idle = (following.join(present, on=[*key_cols, "_batch"], how="left_anti")
                 .select(*key_cols,
                         (origin + F.col("_batch") * batch_ms).alias("batch_start_ms"),
                         F.col("_batch"),

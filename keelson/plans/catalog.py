@@ -16,6 +16,7 @@ from keelson.functions import codecs, geometry
 from keelson.operators import (admission as ad, audit as au, cep, lidar as ld, proximity as px,
                                routing as rt, traffic as tr, vehicles as vh)
 from keelson.plans import views as V
+from keelson.streaming import vehicles as sv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,11 +108,10 @@ def q_anchored(spark, sf):
            round(avg_kmh, 6) AS avg_speed_kmh, window_start_ms, window_end_ms
     FROM anchored
     UNION ALL
-    SELECT a.sensor_id, (SELECT min(epoch_ms(ts)) FROM traffic) + (a.b + 1) * 10000,
-           0.0, NULL, NULL
-    FROM anchored a
-    WHERE a.b + 1 <= (SELECT max(b) FROM anchored)
-      AND NOT EXISTS (SELECT 1 FROM anchored n WHERE n.sensor_id = a.sensor_id AND n.b = a.b + 1)"""))
+    SELECT sensor_id, (SELECT min(epoch_ms(ts)) FROM traffic) + nb * 10000, 0.0, NULL, NULL
+    FROM (SELECT a.sensor_id, (SELECT min(b) FROM anchored x WHERE x.b > a.b) AS nb FROM anchored a) f
+    WHERE nb IS NOT NULL
+      AND NOT EXISTS (SELECT 1 FROM anchored n WHERE n.sensor_id = f.sensor_id AND n.b = f.nb)"""))
 def q_anchored_idle(spark, sf):
     out = tr.anchored_batch_avg_speed(_traffic(spark, sf), with_idle=True)
     return out.withColumn("avg_speed_kmh", r6("avg_speed_kmh"))
@@ -624,3 +624,25 @@ def q_mid_audit(spark, sf):
 @register("dedupe_by_mid", _sql(_ROUTE, _REDELIVERED + " SELECT DISTINCT mid, value FROM redelivered"))
 def q_dedupe_by_mid(spark, sf):
     return au.dedupe_by_mid(_redelivered(spark, sf)).select("mid", "value")
+
+
+# ------------------------------------------------------------------ stateful folds (batch mode)
+
+@register("project_vehicles_fold", _sql(_PROJ, """,
+    applied AS (
+        SELECT m.name, m.seq FROM m JOIN live l ON m.name = l.name AND m.epoch = l.start_seq
+        WHERE m.type = 'move'
+        UNION ALL
+        SELECT name, seq FROM vehicle_commands WHERE type IN ('create', 'remove')),
+    names AS (SELECT name, max(seq) AS last_seq FROM applied GROUP BY name)
+    SELECT n.name, s.name IS NOT NULL AS live, s.x, s.y, coalesce(s.moves, 0) AS moves, n.last_seq
+    FROM names n LEFT JOIN state s ON n.name = s.name"""))
+def q_project_vehicles_fold(spark, sf):
+    out = sv.project_vehicles_stream(_cmds(spark, sf))
+    # names whose commands were all ignored (moves only) have no applied command: not reported
+    return out.filter(F.col("last_seq").isNotNull())
+
+
+@register("admit_commands_ordered")
+def q_admit_commands_ordered(spark, sf):
+    return sv.admit_commands_ordered(V.vehicle_commands(V.events(spark, sf), with_world=True))
