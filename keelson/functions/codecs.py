@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keelson.plans.stages import computed_once
+
 # Fixed wire field names of the scan records.
 WINKEL, DISTANZ, QUALITAET = "winkel", "distanz", "qualitaet"
 
@@ -20,9 +22,11 @@ _LIDAR_WIRE = T.StructType([
     # read as double and truncate: an integral reader would turn 15.9 into NULL, the original
     # reader truncates it to 15
     T.StructField(QUALITAET, T.DoubleType()),
+    T.StructField("_corrupt_record", T.StringType()),
 ])
 _POS = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
-_GROUPED_WIRE = T.StructType([T.StructField("group", T.LongType()), T.StructField("data", _LIDAR_WIRE)])
+_GROUPED_WIRE = T.StructType([T.StructField("group", T.LongType()),
+                              T.StructField("data", T.StructType(_LIDAR_WIRE.fields[:3]))])
 _DISTANCE_WIRE = T.StructType([T.StructField("scan", T.LongType()), T.StructField("distance", T.DoubleType())])
 _COMMAND_WIRE = T.StructType([
     T.StructField("type", T.StringType()), T.StructField("name", T.StringType()),
@@ -41,12 +45,13 @@ def encode_lidar(df: DataFrame, out_col: str = "value") -> DataFrame:
 
 
 def decode_lidar(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Adds ``angle, distance, quality`` and ``decode_error`` ('malformed' or 'missing field')."""
-    j = F.from_json(F.col(value_col), _LIDAR_WIRE, {"mode": "PERMISSIVE"})
-    out = df.withColumn("_j", j)
+    """Adds ``angle, distance, quality`` and ``decode_error``: 'malformed' (not JSON, or a field
+    of the wrong type) or 'missing field'."""
+    j = F.from_json(F.col(value_col), _LIDAR_WIRE,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    out = computed_once(df, {"_j": j})
     q = F.col(f"_j.{QUALITAET}").try_cast("int")
-    ok_json = F.get_json_object(F.col(value_col), "$").isNotNull()
-    err = (F.when(~ok_json | F.col("_j").isNull(), F.lit("malformed"))
+    err = (F.when(F.col("_j").isNull() | F.col("_j._corrupt_record").isNotNull(), F.lit("malformed"))
            .when(F.col(f"_j.{WINKEL}").isNull() | F.col(f"_j.{DISTANZ}").isNull() | q.isNull(),
                  F.lit("missing field")))
     return (out.withColumn("angle", F.col(f"_j.{WINKEL}")).withColumn("distance", F.col(f"_j.{DISTANZ}"))
@@ -60,7 +65,7 @@ def encode_lidar_grouped(df: DataFrame, scan_col: str = "scan", out_col: str = "
 
 def decode_lidar_grouped(df: DataFrame, value_col: str = "value") -> DataFrame:
     j = F.from_json(F.col(value_col), _GROUPED_WIRE)
-    out = df.withColumn("_j", j)
+    out = computed_once(df, {"_j": j})
     q = F.col(f"_j.data.{QUALITAET}").try_cast("int")
     scan = F.col("_j.group").try_cast("int")
     err = F.when(F.col("_j").isNull() | scan.isNull() | F.col(f"_j.data.{WINKEL}").isNull()
@@ -76,7 +81,7 @@ def encode_lidar_distance(df: DataFrame, scan_col: str = "scan", out_col: str =
 
 def decode_lidar_distance(df: DataFrame, value_col: str = "value") -> DataFrame:
     j = F.from_json(F.col(value_col), _DISTANCE_WIRE)
-    out = df.withColumn("_j", j)
+    out = computed_once(df, {"_j": j})
     scan = F.col("_j.scan").try_cast("int")
     err = F.when(F.col("_j").isNull() | scan.isNull() | F.col("_j.distance").isNull(), F.lit("malformed"))
     return (out.withColumn("scan", scan).withColumn("distance", F.col("_j.distance"))
@@ -98,7 +103,7 @@ def decode_vehicle_commands(df: DataFrame, value_col: str = "value") -> DataFram
     """Adds ``type, name, x, y`` (start position for create, vector for move) and
     ``decode_error``; an unknown type or malformed JSON is an error (ignored by projections)."""
     j = F.from_json(F.col(value_col), _COMMAND_WIRE)
-    out = df.withColumn("_j", j)
+    out = computed_once(df, {"_j": j})
     typ = F.col("_j.type")
     pos = F.when(typ == "create", F.col("_j.startPosition")).when(typ == "move", F.col("_j.moveVector"))
     err = (F.when(F.col("_j").isNull() | F.col("_j.name").isNull(), F.lit("malformed"))

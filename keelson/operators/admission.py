@@ -24,69 +24,54 @@ MAX_MOVES = 5  # fixed: the sixth move of a vehicle turns into its removal
 _OUT = ["seq", "sub_seq", "verdict", "type", "name", "x", "y"]
 
 
-def _emit(df: DataFrame, verdict, typ, name="name", x="x", y="y", sub_seq=0) -> DataFrame:
-    def col(v):
-        return F.col(v) if isinstance(v, str) else v
-    return df.select(
-        "seq", F.lit(sub_seq).cast("int").alias("sub_seq"), col(verdict).alias("verdict"),
-        (F.lit(typ) if isinstance(typ, str) or typ is None else typ).cast("string").alias("type"),
-        col(name).alias("name"),
-        (F.lit(None) if x is None else col(x)).cast("double").alias("x"),
-        (F.lit(None) if y is None else col(y)).cast("double").alias("y"))
-
-
 def admit_commands_snapshot(pending: DataFrame, history: DataFrame, state: DataFrame | None = None,
                             radius: float = CLOSENESS, max_moves: int = MAX_MOVES) -> DataFrame:
-    """Judge ``pending`` commands against the snapshot ``history`` rows (``project_vehicles``)."""
+    """Judge ``pending`` commands against the snapshot ``history`` rows (``project_vehicles``).
+
+    Plan: one left join of the commands with the snapshot state gives every verdict in a single
+    projection; the revisit test is a semi join on ``(name, grid cell)`` against the history
+    rows, probed only by moves that reach it; the obstacle removes are a grid equi-join of the
+    accepted moves with the snapshot positions — the only extra branch of the union."""
     if state is None:
         state = vehicles(history)
     live = state.select("name", F.col("x").alias("_cx"), F.col("y").alias("_cy"), "moves",
                         F.lit(True).alias("_live"))
-    cmds = pending.join(live, on="name", how="left").withColumn("_live", F.coalesce("_live", F.lit(False)))
-
-    creates = cmds.filter(F.col("type") == "create")
-    out_create = _emit(creates, F.when(F.col("_live"), "duplicate_create").otherwise("create"),
-                       F.when(~F.col("_live"), F.lit("create")))
-    removes = cmds.filter(F.col("type") == "remove")
-    out_remove = _emit(removes, F.when(F.col("_live"), "remove").otherwise("unknown_remove"),
-                       F.when(F.col("_live"), F.lit("remove")), x=None, y=None)
-
-    moves = cmds.filter(F.col("type") == "move")
+    t = F.col("type")
+    cmds = (pending.join(live, on="name", how="left")
+            .withColumn("_live", F.coalesce("_live", F.lit(False)))
+            .withColumn("_nx", F.col("_cx") + F.col("x")).withColumn("_ny", F.col("_cy") + F.col("y")))
     zero = (F.col("x") == 0) & (F.col("y") == 0)
     limit = F.col("moves") >= max_moves
-    moves = moves.withColumn("_nx", F.col("_cx") + F.col("x")).withColumn("_ny", F.col("_cy") + F.col("y"))
-    rejected = moves.filter(~F.col("_live") | zero)
-    out_rejected = _emit(rejected, F.when(~F.col("_live"), "unknown_move").otherwise("zero_move"), None)
-    limited = moves.filter(F.col("_live") & ~zero & limit)
-    out_limit = _emit(limited, F.lit("motion_limit"), "remove", x=None, y=None)
-
-    candidates = moves.filter(F.col("_live") & ~zero & ~limit)
+    probe = (t == "move") & F.col("_live") & ~zero & ~limit
     # revisit: new position near an earlier position of the same vehicle (pos_idx < moves)
-    candidates = _revisit(candidates, history, radius)
-    out_revisit = _emit(candidates.filter(F.col("_revisit")), F.lit("revisit"), "remove", x=None, y=None)
-
-    movers = candidates.filter(~F.col("_revisit"))
-    out_move = _emit(movers, F.lit("move"), "move", sub_seq=1)
+    cmds = proximity.proximity_exists(
+        cmds, history.select("name", "pos_idx", "x", "y"), radius, "_revisit", ["seq"],
+        left_xy=("_nx", "_ny"), right_xy=("x", "y"), keys=["name"], left_cols=["moves"],
+        extra=lambda: F.col("_r_pos_idx") < F.col("moves"), probe=probe)
+    live_c = F.col("_live")
+    verdict = (F.when(t == "create", F.when(live_c, "duplicate_create").otherwise("create"))
+               .when(t == "remove", F.when(live_c, "remove").otherwise("unknown_remove"))
+               .when(~live_c, "unknown_move").when(zero, "zero_move").when(limit, "motion_limit")
+               .when(F.col("_revisit"), "revisit").otherwise("move"))
+    judged = cmds.select("seq", "name", "x", "y", "_nx", "_ny", verdict.alias("verdict"))
+    v = F.col("verdict")
+    emitted = (F.when(v.isin("create", "move", "remove"), v)
+               .when(v.isin("motion_limit", "revisit"), F.lit("remove")))
+    keeps_xy = v.isin("create", "duplicate_create", "unknown_move", "zero_move", "move")
+    rows = judged.select(
+        "seq", F.when(v == "move", 1).otherwise(0).cast("int").alias("sub_seq"), "verdict",
+        emitted.alias("type"), "name",
+        F.when(keeps_xy, F.col("x")).cast("double").alias("x"),
+        F.when(keeps_xy, F.col("y")).cast("double").alias("y"))
+
+    movers = judged.filter(v == "move").select("seq", "name", "_nx", "_ny")
     others = state.select(F.col("name").alias("_oname"), F.col("x").alias("_ox"), F.col("y").alias("_oy"))
-    hits = proximity.proximity_join(movers.select("seq", "name", "_nx", "_ny"), others, radius,
-                                    left_xy=("_nx", "_ny"), right_xy=("_ox", "_oy"))
-    hits = hits.filter(F.col("_oname") != F.col("name"))
-    out_obstacle = _emit(hits, F.lit("obstacle"), "remove", name="_oname", x=None, y=None)
-
-    parts = [out_create, out_remove, out_rejected, out_limit, out_revisit, out_obstacle, out_move]
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res.select(*_OUT)
-
-
-def _revisit(candidates: DataFrame, history: DataFrame, radius: float) -> DataFrame:
-    """Flag moves whose new position is within ``radius`` of an earlier position (all history
-    rows except the current one, i.e. ``pos_idx < moves``)."""
-    return proximity.proximity_exists(
-        candidates, history.select("name", "pos_idx", "x", "y"), radius, "_revisit", ["seq"],
-        left_xy=("_nx", "_ny"), right_xy=("x", "y"), keys=["name"],
-        left_cols=["moves"], extra=lambda: F.col("_r_pos_idx") < F.col("moves"))
+    hits = proximity.proximity_join(movers, others, radius, left_xy=("_nx", "_ny"), right_xy=("_ox", "_oy"))
+    obstacles = hits.filter(F.col("_oname") != F.col("name")).select(
+        "seq", F.lit(0).cast("int").alias("sub_seq"), F.lit("obstacle").alias("verdict"),
+        F.lit("remove").alias("type"), F.col("_oname").alias("name"),
+        F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"))
+    return rows.unionByName(obstacles).select(*_OUT)
 
 
 def admit_from_log(history_cmds: DataFrame, pending: DataFrame) -> DataFrame:

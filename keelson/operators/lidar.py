@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import codecs, geometry
-from keelson.plans.ordered import BUCKET, DEFAULT_BUCKET_WIDTH, running_sum, shift
+from keelson.plans.ordered import DEFAULT_BUCKET_WIDTH, change_count, shift
 
 MIN_QUALITY = 15  # fixed: readings below this quality are dropped before grouping
 
@@ -30,32 +30,11 @@ def scan_group(df: DataFrame, key_cols: Sequence[str] = (), order_col: str = "se
                bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """Rotation index per reading: starts at 0 with previous angle 0.0 and increases by one
     whenever the angle is strictly lower than the previous reading's angle (so a first reading
-    with a negative angle is in rotation 1).
-
-    One pass of the two-level scan: inside each ``(keys, bucket)`` a window counts local drops;
-    a summary row per bucket keeps first angle, last angle and drop count; a window over the
-    summary carries the count across buckets, including the drop at each bucket boundary."""
-    keys = list(key_cols)
-    a, o = F.col(angle_col), F.col(order_col)
-    b = df.withColumn(BUCKET, F.floor(o / F.lit(bucket_width)).cast("long"))
-    w = Window.partitionBy(*[F.col(k) for k in keys], F.col(BUCKET)).orderBy(o)
-    drop = F.coalesce((a < F.lag(a, 1).over(w)).cast("int"), F.lit(0))
-    b = b.withColumn("_drop", drop)
-    b = b.withColumn("_local", F.sum("_drop").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    summary = b.groupBy(*keys, BUCKET).agg(
-        F.min_by(a, o).alias("_first"), F.max_by(a, o).alias("_last"), F.sum("_drop").alias("_drops"))
-    ws = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(F.col(BUCKET))
-    prev_last = F.lag("_last", 1).over(ws)
-    boundary = (F.col("_first") < F.coalesce(prev_last, F.lit(0.0))).cast("long")
-    summary = summary.withColumn("_boundary", boundary)
-    carry = summary.select(
-        *keys, BUCKET,
-        (F.coalesce(F.sum(F.col("_drops") + F.col("_boundary"))
-                    .over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-         + F.col("_boundary")).alias("_carry"))
-    out = b.join(carry, on=[*keys, BUCKET], how="left")
-    out = out.withColumn(out_col, (F.col("_carry") + F.col("_local")).cast("int"))
-    return out.drop(BUCKET, "_drop", "_local", "_carry")
+    with a negative angle is in rotation 1). One fused two-level pass (``change_count``): no
+    task ever holds a whole device or the whole un-keyed log."""
+    out = change_count(df, key_cols, order_col, angle_col, lambda prev, cur: cur < prev, out_col,
+                       first_prev=F.lit(0.0), bucket_width=bucket_width)
+    return out.withColumn(out_col, F.col(out_col).cast("int"))
 
 
 def with_cartesian(df: DataFrame, angle_col: str = "angle", distance_col: str = "distance") -> DataFrame:
@@ -91,20 +70,24 @@ def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = ()
     otherwise it adds the segment. Consequences: every run except a leading run of rotation 0
     loses its first segment, the last run is never emitted, and a leading run of another
     rotation is preceded by an emitted (0, 0.0). Output: keys, ``emit_seq`` (emission order),
-    ``scan``, ``distance``."""
+    ``scan``, ``distance``.
+
+    Runs come from one fused ``change_count`` pass; per-run sums are a partial aggregation; the
+    per-key run count (a small aggregate of the runs) marks the last run."""
     keys = list(key_cols)
     s = segments.select(*keys, order_col, scan_col, "distance")
-    s = shift(s, keys, order_col, [scan_col], direction=1, prefix="_p_", bucket_width=bucket_width)
-    start = (F.col("_p_" + order_col).isNull() | (F.col("_p_" + scan_col) != F.col(scan_col))).cast("int")
-    s = s.withColumn("_start", start)
-    s = running_sum(s, keys, order_col, {"_run": F.col("_start")}, bucket_width=bucket_width)
-    include = (F.col("_start") == 0) | ((F.col("_run") == 1) & (F.col(scan_col) == 0))
+    s = change_count(s, keys, order_col, scan_col, lambda prev, cur: cur != prev, "_run",
+                     first_prev=None, start_col="_start", bucket_width=bucket_width)
+    include = ~F.col("_start") | ((F.col("_run") == 1) & (F.col(scan_col) == 0))
     runs = s.groupBy(*keys, "_run").agg(
         F.any_value(scan_col).alias(scan_col),
         F.sum(F.when(include, F.col("distance")).otherwise(F.lit(0.0))).alias("distance"))
-    # a run is emitted when a later run exists
-    runs = shift(runs, keys, "_run", [], direction=-1, prefix="_n_", bucket_width=bucket_width)
-    emitted = runs.filter(F.col("_n__run").isNotNull()).select(
+    last = runs.groupBy(*keys).agg(F.max("_run").alias("_last"))
+    if keys:
+        runs = runs.join(last, on=keys)
+    else:
+        runs = runs.withColumn("_last", last.select("_last").scalar())
+    emitted = runs.filter(F.col("_run") < F.col("_last")).select(
         *keys, F.col("_run").cast("long").alias("emit_seq"), scan_col, "distance")
     lead_zero = runs.filter((F.col("_run") == 1) & (F.col(scan_col) != 0)).select(
         *keys, F.lit(0).cast("long").alias("emit_seq"), F.lit(0).cast("int").alias(scan_col),

@@ -68,15 +68,17 @@ def proximity_join(left: DataFrame, right: DataFrame, radius: float,
 def proximity_exists(left: DataFrame, right: DataFrame, radius: float, flag: str, id_cols: Sequence[str],
                      left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y"),
                      keys: Sequence[str] = (), extra: Callable[[], Column] | None = None,
-                     left_cols: Sequence[str] = ()) -> DataFrame:
+                     left_cols: Sequence[str] = (), probe: Column | None = None) -> DataFrame:
     """``left`` plus a boolean ``flag``: some ``right`` row with equal ``keys`` (and the optional
     ``extra()`` condition over both sides; it sees other ``right`` columns as ``_r_<name>``)
     lies within ``radius`` (inclusive). ``id_cols`` must
-    identify a ``left`` row; ``left_cols`` are further left columns ``extra`` may use. The test is a semi join over the 9 neighbour cells, so pairs are
+    identify a ``left`` row; ``left_cols`` are further left columns ``extra`` may use. Only
+    rows matching ``probe`` (default all) are tested; the others get False. The test is a semi join over the 9 neighbour cells, so pairs are
     never materialised; the per-cell answers are merged by a distinct on the row id."""
     ids = list(id_cols)
     carried = list(dict.fromkeys([*ids, *keys, *left_cols, *left_xy]))
-    L = with_neighbour_cells(left.select(*carried),
+    probing = left if probe is None else left.filter(probe)
+    L = with_neighbour_cells(probing.select(*carried),
                              *left_xy, radius, prefix="_lc")
     R = with_cell(right, *right_xy, radius, prefix="_rc")
     rk = {k: f"_rk_{k}" for k in keys}

@@ -20,26 +20,27 @@ from pyspark.sql import functions as F
 
 from keelson.functions import formats, parsing
 from keelson.operators.traffic import MS_TO_KMH
+from keelson.plans.stages import computed_once
 
 
 def parse_traffic_strict(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``sensor_id, speed_ms, ts, instant_text`` and ``reason`` (NULL when the line is
-    good): blank, tokens, instant, int, double, negative. Staged projections, so every token is
-    split and parsed once (Catalyst does not merge projections that would repeat the work)."""
+    good): blank, tokens, instant, int, double, negative. Each stage is computed once per row
+    (``computed_once``), so filters on the result never re-run the parse."""
     v = F.col(value_col)
-    s1 = df.select("*", F.split(parsing.java_trim(F.coalesce(v, F.lit(""))), r"\s+", -1).alias("_parts"),
-                   parsing.is_blank(v).alias("_blank"))
-    s2 = s1.select("*", F.size("_parts").alias("_n"),
-                   parsing.parse_instant(F.get(F.col("_parts"), 0)).alias("_ts"),
-                   parsing.parse_int(F.get(F.col("_parts"), 1)).alias("_sensor"),
-                   parsing.parse_double(F.get(F.col("_parts"), 2)).alias("_speed"))
+    s1 = computed_once(df, {"_parts": F.split(parsing.java_trim(F.coalesce(v, F.lit(""))), r"\s+", -1),
+                            "_blank": parsing.is_blank(v)})
+    s2 = computed_once(s1, {"_n": F.size("_parts"),
+                            "_ts": parsing.parse_instant(F.get(F.col("_parts"), 0)),
+                            "_sensor": parsing.parse_int(F.get(F.col("_parts"), 1)),
+                            "_speed": parsing.parse_double(F.get(F.col("_parts"), 2))})
     reason = (F.when(F.col("_blank"), F.lit("blank"))
               .when(F.col("_n") != 3, F.lit("tokens"))
               .when(F.col("_ts").isNull(), F.lit("instant"))
               .when(F.col("_sensor").isNull(), F.lit("int"))
               .when(F.col("_speed").isNull(), F.lit("double"))
               .when(F.col("_speed") < 0, F.lit("negative")))
-    s3 = s2.select("*", reason.alias("reason"))
+    s3 = computed_once(s2, {"reason": reason})
     good = F.col("reason").isNull()
     out = s3.select("*",
                     F.when(good, F.col("_sensor")).alias("sensor_id"), F.when(good, F.col("_speed")).alias("speed_ms"),

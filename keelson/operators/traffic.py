@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions import formats, parsing
 from keelson.plans.ordered import shift
+from keelson.plans.stages import computed_once
 
 MS_TO_KMH = 3.6  # fixed conversion factor
 
@@ -26,14 +27,14 @@ def parse_traffic_lenient(df: DataFrame, value_col: str = "value") -> DataFrame:
     tokens are ignored. Adds ``sensor_id, speed_ms, ts`` and ``parse_error`` (NULL when the line
     parsed, else the failing JDK exception class)."""
     v = F.coalesce(F.col(value_col), F.lit(""))
-    s1 = df.select("*", F.split(F.regexp_replace(v, r"\s+$", ""), r"\s+", -1).alias("_parts"),
-                   # a non-empty all-blank line splits into no tokens at all
-                   v.rlike(r"^\s+$").alias("_allblank"))
+    s1 = computed_once(df, {"_parts": F.split(F.regexp_replace(v, r"\s+$", ""), r"\s+", -1),
+                            # a non-empty all-blank line splits into no tokens at all
+                            "_allblank": v.rlike(r"^\s+$")})
     n = F.when(F.col("_allblank"), F.lit(0)).otherwise(F.size("_parts"))
-    s2 = s1.select("*", n.alias("_n"),
-                   parsing.parse_instant(F.get(F.col("_parts"), 0)).alias("_ts"),
-                   parsing.parse_int(F.get(F.col("_parts"), 1)).alias("_sensor"),
-                   parsing.parse_double(F.get(F.col("_parts"), 2)).alias("_speed"))
+    s2 = computed_once(s1, {"_n": n,
+                            "_ts": parsing.parse_instant(F.get(F.col("_parts"), 0)),
+                            "_sensor": parsing.parse_int(F.get(F.col("_parts"), 1)),
+                            "_speed": parsing.parse_double(F.get(F.col("_parts"), 2))})
     n = F.col("_n")
     err = (F.when(n < 1, F.lit("ArrayIndexOutOfBoundsException"))
            .when(F.col("_ts").isNull(), F.lit("DateTimeParseException"))
@@ -41,7 +42,7 @@ def parse_traffic_lenient(df: DataFrame, value_col: str = "value") -> DataFrame:
            .when(F.col("_sensor").isNull(), F.lit("NumberFormatException"))
            .when(n < 3, F.lit("ArrayIndexOutOfBoundsException"))
            .when(F.col("_speed").isNull(), F.lit("NumberFormatException")))
-    s3 = s2.select("*", err.alias("parse_error"))
+    s3 = computed_once(s2, {"parse_error": err})
     ok = F.col("parse_error").isNull()
     out = s3.select("*", F.when(ok, F.col("_sensor")).alias("sensor_id"), F.when(ok, F.col("_speed")).alias("speed_ms"),
                     F.when(ok, F.col("_ts")).alias("ts"))

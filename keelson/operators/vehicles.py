@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import geometry
-from keelson.plans.ordered import DEFAULT_BUCKET_WIDTH, fill_forward, running_sum
+from keelson.plans.ordered import DEFAULT_BUCKET_WIDTH, running_sum
 
 CLOSENESS = 0.5  # fixed: distance at or below which two positions are "the same place"
 KINDS = ("create", "move", "remove")
@@ -42,14 +42,16 @@ def live_epochs(cmds: DataFrame) -> DataFrame:
 
 
 def project_vehicles(cmds: DataFrame, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """History rows of the live vehicles: ``name, pos_idx, x, y`` (pos_idx 0 = start)."""
+    """History rows of the live vehicles: ``name, pos_idx, x, y`` (pos_idx 0 = start).
+
+    The moves that count are those after the create that opened the vehicle's current life
+    (``seq > start_seq``): by construction no create/remove follows it. Their positions are one
+    bucketed running sum per name, so a vehicle with a very long history is not one task."""
     cmds = _valid(cmds)
     live = live_epochs(cmds)
-    marked = cmds.withColumn("_marker", F.when(F.col("type").isin("create", "remove"), F.col("seq")))
-    marked = fill_forward(marked, ["name"], "seq", "_marker", "_epoch", bucket_width=bucket_width)
-    moves = (marked.filter(F.col("type") == "move").select("name", "seq", "_epoch", "x", "y")
+    moves = (cmds.filter(F.col("type") == "move").select("name", "seq", "x", "y")
              .join(live, on="name", how="inner")
-             .filter(F.col("_epoch") == F.col("start_seq")))
+             .filter(F.col("seq") > F.col("start_seq")))
     moves = running_sum(moves, ["name"], "seq",
                         {"pos_idx": F.lit(1), "_sx": F.col("x"), "_sy": F.col("y")},
                         bucket_width=bucket_width)

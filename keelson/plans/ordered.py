@@ -109,3 +109,49 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order_col: str, value_col:
     out = b.join(carry, on=[*keys, BUCKET], how="left")
     out = out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_cm")))
     return out.drop(BUCKET, "_cm")
+
+
+def change_count(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
+                 changed, out_col: str, first_prev: Column | None = None,
+                 start_col: str | None = None, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """``out_col`` = number of rows up to this one (per key, in order) where
+    ``changed(previous value, value)`` holds — a segment index that increases at every change.
+
+    The very first row of a key is compared with ``first_prev``; when ``first_prev`` is None the
+    first row always counts as a change (indexes then start at 1). ``start_col``, if given,
+    flags the rows where a change happened.
+
+    One fused two-level pass: a window over ``(keys, bucket)`` counts local changes; a summary
+    row per bucket keeps its first and last value and local count; a window over the summary
+    adds the changes at bucket boundaries and carries the counts; one join brings them back."""
+    keys = list(keys)
+    v, o = F.col(value_col), F.col(order_col)
+    b = _with_bucket(df, order_col, bucket_width)
+    w = Window.partitionBy(*_part(keys), F.col(BUCKET)).orderBy(o)
+    prev = F.lag(v, 1).over(w)
+    b = b.withColumn("_first_in_bkt", F.lag(o, 1).over(w).isNull())
+    b = b.withColumn("_chg", F.when(F.col("_first_in_bkt"), F.lit(0))
+                     .otherwise(F.coalesce(changed(prev, v).cast("int"), F.lit(0))))
+    b = b.withColumn("_local", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    summary = b.groupBy(*keys, BUCKET).agg(
+        F.min_by(v, o).alias("_first"), F.max_by(v, o).alias("_last"), F.sum("_chg").alias("_n"))
+    ws = Window.partitionBy(*_part(keys)).orderBy(F.col(BUCKET))
+    prev_last = F.lag("_last", 1).over(ws)
+    if first_prev is None:
+        at_start = F.lit(1)
+    else:
+        at_start = F.coalesce(changed(first_prev, F.col("_first")).cast("int"), F.lit(0))
+    boundary = F.when(prev_last.isNull(), at_start).otherwise(
+        F.coalesce(changed(prev_last, F.col("_first")).cast("int"), F.lit(0))).cast("long")
+    summary = summary.withColumn("_boundary", boundary)
+    carry = summary.select(
+        *keys, BUCKET, "_boundary",
+        (F.coalesce(F.sum(F.col("_n") + F.col("_boundary"))
+                    .over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+         + F.col("_boundary")).alias("_carry"))
+    out = b.join(carry, on=[*keys, BUCKET], how="left")
+    out = out.withColumn(out_col, F.col("_carry") + F.col("_local"))
+    if start_col:
+        out = out.withColumn(start_col, F.when(F.col("_first_in_bkt"), F.col("_boundary") == 1)
+                             .otherwise(F.col("_chg") == 1))
+    return out.drop(BUCKET, "_first_in_bkt", "_chg", "_local", "_carry", "_boundary")

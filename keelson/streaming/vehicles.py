@@ -97,6 +97,38 @@ def project_vehicles_stream(cmds: DataFrame, presorted: bool = True) -> DataFram
 
 # ---------------------------------------------------------------- ordered admission
 
+class _CachedMap:
+    """Write-back cache over a MapState for one ``handleInputRows`` call: each key touched is
+    read from the state store at most once and written back once at the end. Only keys the
+    micro-batch touches are held, never the whole state of a world."""
+
+    _MISSING = object()
+
+    def __init__(self, state):
+        self.state, self.cache, self.dirty = state, {}, set()
+
+    def get(self, key):
+        v = self.cache.get(key, self._MISSING)
+        if v is self._MISSING:
+            v = self.state.getValue(key) if self.state.containsKey(key) else None
+            self.cache[key] = v
+        return v
+
+    def put(self, key, value):
+        self.cache[key] = value
+        self.dirty.add(key)
+
+    def flush(self):
+        for k in self.dirty:
+            v = self.cache[k]
+            if v is None:
+                if self.state.containsKey(k):
+                    self.state.removeKey(k)
+            else:
+                self.state.updateValue(k, v)
+        self.dirty.clear()
+
+
 class OrderedAdmissionProcessor(StatefulProcessor):
     """State per world: vehicles (position and history) and a grid index of positions."""
 
@@ -105,9 +137,9 @@ class OrderedAdmissionProcessor(StatefulProcessor):
         self.cell = radius * (1 + 1e-9)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.veh = handle.getMapState("vehicles", "name string",
-                                      "x double, y double, hx array<double>, hy array<double>")
-        self.grid = handle.getMapState("grid", "cx long, cy long", "names array<string>")
+        self.veh_state = handle.getMapState("vehicles", "name string",
+                                            "x double, y double, hx array<double>, hy array<double>")
+        self.grid_state = handle.getMapState("grid", "cx long, cy long", "names array<string>")
 
     # grid index ---------------------------------------------------------------
     def _key(self, x: float, y: float) -> tuple[int, int]:
@@ -115,42 +147,38 @@ class OrderedAdmissionProcessor(StatefulProcessor):
 
     def _grid_add(self, name: str, x: float, y: float) -> None:
         k = self._key(x, y)
-        cur = self.grid.getValue(k) if self.grid.containsKey(k) else None
-        names = list(cur[0]) if cur else []
-        names.append(name)
-        self.grid.updateValue(k, (names,))
+        cur = self.grid.get(k)
+        self.grid.put(k, ((list(cur[0]) if cur else []) + [name],))
 
     def _grid_remove(self, name: str, x: float, y: float) -> None:
         k = self._key(x, y)
-        if not self.grid.containsKey(k):
+        cur = self.grid.get(k)
+        if cur is None:
             return
-        names = [n for n in self.grid.getValue(k)[0] if n != name]
-        if names:
-            self.grid.updateValue(k, (names,))
-        else:
-            self.grid.removeKey(k)
+        names = [n for n in cur[0] if n != name]
+        self.grid.put(k, (names,) if names else None)
 
     def _near(self, x: float, y: float) -> list[str]:
         cx, cy = self._key(x, y)
         found = []
         for dx in (-1, 0, 1):
             for dy in (-1, 0, 1):
-                k = (cx + dx, cy + dy)
-                if self.grid.containsKey(k):
-                    for n in self.grid.getValue(k)[0]:
-                        vx, vy, _, _ = self.veh.getValue((n,))
-                        if math.sqrt((vx - x) * (vx - x) + (vy - y) * (vy - y)) <= self.radius:
-                            found.append(n)
+                cur = self.grid.get((cx + dx, cy + dy))
+                for n in (cur[0] if cur else []):
+                    vx, vy, _, _ = self.veh.get((n,))
+                    if math.sqrt((vx - x) * (vx - x) + (vy - y) * (vy - y)) <= self.radius:
+                        found.append(n)
         return sorted(found)
 
     def _remove(self, name: str) -> None:
-        vx, vy, _, _ = self.veh.getValue((name,))
+        vx, vy, _, _ = self.veh.get((name,))
         self._grid_remove(name, vx, vy)
-        self.veh.removeKey((name,))
+        self.veh.put((name,), None)
 
     # fold ---------------------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         world = key[0]
+        self.veh, self.grid = _CachedMap(self.veh_state), _CachedMap(self.grid_state)
         for pdf in _ordered_chunks(rows, self.presorted):
             out = []
 
@@ -159,28 +187,28 @@ class OrderedAdmissionProcessor(StatefulProcessor):
 
             for t, s, name, cx, cy in zip(pdf["type"], pdf["seq"], pdf["name"], pdf["x"], pdf["y"]):
                 s = int(s)
-                exists = self.veh.containsKey((name,))
+                cur = self.veh.get((name,))
                 if t == "create":
-                    if exists:
+                    if cur is not None:
                         emit(s, 0, "duplicate_create", None, name, cx, cy)
                     else:
                         emit(s, 0, "create", "create", name, cx, cy)
-                        self.veh.updateValue((name,), (float(cx), float(cy), [float(cx)], [float(cy)]))
+                        self.veh.put((name,), (float(cx), float(cy), [float(cx)], [float(cy)]))
                         self._grid_add(name, float(cx), float(cy))
                 elif t == "remove":
-                    if exists:
+                    if cur is not None:
                         emit(s, 0, "remove", "remove", name)
                         self._remove(name)
                     else:
                         emit(s, 0, "unknown_remove", None, name)
                 elif t == "move":
-                    if not exists:
+                    if cur is None:
                         emit(s, 0, "unknown_move", None, name, cx, cy)
                         continue
                     if cx == 0 and cy == 0:
                         emit(s, 0, "zero_move", None, name, cx, cy)
                         continue
-                    vx, vy, hx, hy = self.veh.getValue((name,))
+                    vx, vy, hx, hy = cur
                     if len(hx) - 1 >= self.max_moves:
                         emit(s, 0, "motion_limit", "remove", name)
                         self._remove(name)
@@ -196,10 +224,15 @@ class OrderedAdmissionProcessor(StatefulProcessor):
                             emit(s, 0, "obstacle", "remove", other)
                             self._remove(other)
                     self._grid_remove(name, vx, vy)
-                    self.veh.updateValue((name,), (nx, ny, list(hx) + [nx], list(hy) + [ny]))
+                    self.veh.put((name,), (nx, ny, list(hx) + [nx], list(hy) + [ny]))
                     self._grid_add(name, nx, ny)
                     emit(s, 1, "move", "move", name, cx, cy)
             yield pd.DataFrame(out, columns=["world_id", "seq", "sub_seq", "verdict", "type", "name", "x", "y"])
+            # bound the cache by one input chunk: write back and forget
+            self.veh.flush()
+            self.grid.flush()
+            self.veh.cache.clear()
+            self.grid.cache.clear()
 
     def close(self) -> None:
         pass
