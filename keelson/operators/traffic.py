@@ -112,7 +112,9 @@ def anchored_batch_avg_speed(df: DataFrame, batch_ms: int = 10_000, origin_ms: i
     else:
         origin = origin_ms if isinstance(origin_ms, Column) else F.lit(origin_ms)
     batch = F.floor((ts_ms - origin) / F.lit(batch_ms)).cast("long")
-    g = (df.groupBy(batch.alias("_batch"), *key_cols)
+    # projected first: grouping expressions may not contain a subquery over a non-deterministic
+    # source (e.g. line order of a text file)
+    g = (df.withColumn("_batch", batch).groupBy("_batch", *key_cols)
          .agg(F.avg(F.col(speed_col)).alias("_avg_ms"),
               F.min(ts_ms).alias("window_start_ms"),
               F.max(ts_ms).alias("window_end_ms")))
