@@ -117,3 +117,8 @@ def decode_vehicle_commands(df: DataFrame, value_col: str = "value") -> DataFram
 def split_decoded(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad) halves of a decoded frame."""
     return df.filter(F.col("decode_error").isNull()), df.filter(F.col("decode_error").isNotNull())
+
+
+def drop_undecodable(df: DataFrame) -> DataFrame:
+    """Keep rows that decoded (the original readers silently skip the rest)."""
+    return df.filter(F.col("decode_error").isNull()).drop("decode_error")

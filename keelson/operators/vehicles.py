@@ -80,6 +80,16 @@ def vehicles_at_position(state: DataFrame, x: float, y: float, radius: float = C
     return state.filter(geometry.vector_distance("x", "y", F.lit(x), F.lit(y)) <= radius)
 
 
+def vehicle_position(state: DataFrame) -> DataFrame:
+    """Current position per vehicle (last history element)."""
+    return state.select("name", "x", "y")
+
+
+def vehicle_number_of_moves(state: DataFrame) -> DataFrame:
+    """Number of moves per vehicle: history length - 1, never negative."""
+    return state.select("name", F.greatest(F.col("moves"), F.lit(0)).alias("moves"))
+
+
 def vehicle_previous_positions(history: DataFrame) -> DataFrame:
     """All history rows except the current position."""
     last = history.groupBy("name").agg(F.max("pos_idx").alias("_last"))

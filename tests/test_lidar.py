@@ -90,6 +90,7 @@ def test_decode_truncates_quality(spark):
                                 (2, 'not json'), (3, '{"winkel": 1.5, "distanz": 2.0}')], "seq long, value string")
     got = {r.seq: (r.quality, r.decode_error) for r in codecs.decode_lidar(df).collect()}
     assert got == {1: (15, None), 2: (None, "malformed"), 3: (None, "missing field")}
+    assert [r.seq for r in codecs.drop_undecodable(codecs.decode_lidar(df)).collect()] == [1]
 
 
 def test_encode_shape(spark):

@@ -51,6 +51,7 @@ def test_lenient_parser_trace(spark):
     df = spark.createDataFrame(rows, "offset long, value string")
     ok = sorted(r.offset for r in tr.decoded_events(df).collect())
     assert ok == [0, 3, 7, 8]
+    assert sorted(r.offset for r in tr.assign_event_time(df).collect()) == ok
     errs = {r.offset: r.parse_error for r in tr.parse_traffic_lenient(df).collect()}
     assert errs[2] == "DateTimeParseException" and errs[6] == "DateTimeParseException"
     assert errs[5] == "NumberFormatException"

@@ -77,6 +77,8 @@ def test_point_queries(spark):
     assert vh.vehicle_by_name(st, "Q").count() == 0
     assert sorted(r.name for r in vh.vehicles_at_position(st, 1.5, 1.0).collect()) == ["A", "B"]
     assert [(r.name, r.pos_idx) for r in vh.vehicle_previous_positions(hist).collect()] == [("A", 0)]
+    assert sorted(tuple(r) for r in vh.vehicle_position(st).collect()) == [("A", 2.0, 1.0), ("B", 1.5, 1.0)]
+    assert sorted(tuple(r) for r in vh.vehicle_number_of_moves(st).collect()) == [("A", 1), ("B", 0)]
 
 
 @pytest.mark.parametrize("metric,strict", [("euclid", False), ("box", True), ("box", False), ("euclid", True)])
