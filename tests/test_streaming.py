@@ -188,3 +188,12 @@ def test_exactly_once_with_forced_failure(spark):
     from keelson.operators.routing import route_traffic
     exp = route_traffic(lines).select("mid", "route", "value")
     assert sorted(map(tuple, out.select("mid", "route", "value").collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_ordered_admission_streaming_equals_batch(spark):
+    cmds = V.vehicle_commands(V.events(spark, SF), with_world=True)
+    batch = sorted(tuple(r) for r in sv.admit_commands_ordered(cmds).collect())
+    folder = _write_chunks(cmds.toPandas(), tempfile.mkdtemp(prefix="admit-"), 5)
+    stream = spark.readStream.schema(cmds.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    got = _drain(spark, sv.admit_commands_ordered(stream), "admit_out")
+    assert sorted(tuple(r) for r in got.collect()) == batch and len(batch) > 900
