@@ -11,6 +11,9 @@ Jobs:
   traffic-jumps     traffic text files -> anchored 10 s means -> jump lines (> 20 km/h)
   vehicles          vehicle command topic -> read model tables (history and summary)
   admit             command log + pending commands -> verdicts (snapshot admission)
+  admit-ordered     command files (world_id, seq, type, name, x, y) -> verdicts, each command
+                    judged after all earlier ones of its world (checkpointed streaming fold;
+                    files must be appended in seq order, as a log is)
   route             traffic topic -> exactly-once OUT/BAD routing (streaming, checkpointed)
   audit             traffic topic + routed output -> counts and duplicate message ids
 """
@@ -77,6 +80,17 @@ def _admit(spark, a):
     admission.admit_commands_snapshot(good, hist).write.mode(a.mode).parquet(a.output)
 
 
+def _admit_ordered(spark, a):
+    from keelson.streaming import vehicles as sv
+
+    ckpt = a.checkpoint or fresh_path(spark, "admit-ordered")
+    schema = spark.read.parquet(a.input).schema
+    cmds = spark.readStream.schema(schema).option("maxFilesPerTrigger", a.max_per_trigger).parquet(a.input)
+    q = (sv.admit_commands_ordered(cmds).writeStream.format("parquet").option("checkpointLocation", ckpt)
+         .outputMode("append").trigger(availableNow=True).start(a.output))
+    q.awaitTermination()
+
+
 def _route(spark, a):
     ckpt = a.checkpoint or fresh_path(spark, "route")
     src = topics.read_topic_stream(spark, a.topics, a.topic, max_per_trigger=a.max_per_trigger)
@@ -96,6 +110,7 @@ def _audit(spark, a):
 
 JOBS = {"lidar-totals": _lidar_totals, "traffic-averages": _traffic_averages,
         "traffic-jumps": _traffic_jumps, "vehicles": _vehicles, "admit": _admit,
+        "admit-ordered": _admit_ordered,
         "route": _route, "audit": _audit}
 
 

@@ -49,3 +49,19 @@ def test_route_and_audit_jobs(spark):
     counts = spark.read.json(os.path.join(root, "audit", "counts")).first()
     assert counts.input_lines == 1000 and counts.counts_match
     assert spark.read.json(os.path.join(root, "audit", "mids")).first().ok
+
+
+def test_admit_ordered_job(spark):
+    from keelson.streaming import vehicles as sv
+    root = tempfile.mkdtemp(prefix="job-admit-")
+    cmds = V.vehicle_commands(V.events(spark, "/root/testdata/sf0.001"), with_world=True)
+    # a command log grows by appends in seq order: write three chunks one after another
+    n = cmds.count()
+    for i in range(3):
+        part = cmds.filter((cmds.seq >= i * n // 3) & (cmds.seq < (i + 1) * n // 3)).coalesce(1)
+        part.write.mode("append").parquet(os.path.join(root, "in"))
+    jobs.main(["admit-ordered", "--input", os.path.join(root, "in"), "--output", os.path.join(root, "out"),
+               "--checkpoint", os.path.join(root, "ck"), "--max-per-trigger", "1"])
+    got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(root, "out")).select(
+        "world_id", "seq", "sub_seq", "verdict", "type", "name", "x", "y").collect())
+    assert got == sorted(tuple(r) for r in sv.admit_commands_ordered(cmds).collect())
