@@ -643,7 +643,76 @@ def q_project_vehicles_fold(spark, sf):
     return out.filter(F.col("last_seq").isNotNull())
 
 
-@register("admit_commands_ordered")
+# The oracle for ordered admission is the same fold written as a recursive CTE: one recursion
+# step per command of each world, the world's vehicles carried as a list of structs.
+_ORDERED_SQL = """
+WITH RECURSIVE vc AS (
+    SELECT event_id AS seq, CAST(user_id % 8 AS INTEGER) AS world_id,
+           CASE event_type WHEN 'signup' THEN 'create' WHEN 'error' THEN 'remove' ELSE 'move' END AS type,
+           'V' || CAST(user_id AS VARCHAR) AS cname,
+           CAST(CASE event_type WHEN 'signup' THEN (event_id * 13) % 11 WHEN 'error' THEN NULL
+                ELSE (event_id * 13) % 5 - 2 END AS DOUBLE) AS cx,
+           CAST(CASE event_type WHEN 'signup' THEN (event_id * 7) % 11 WHEN 'error' THEN NULL
+                ELSE (event_id * 11) % 3 - 1 END AS DOUBLE) AS cy
+    FROM events),
+cmds AS (SELECT *, row_number() OVER (PARTITION BY world_id ORDER BY seq) AS rn FROM vc),
+fold AS (
+    SELECT world_id, CAST(0 AS BIGINT) AS rn,
+           CAST([] AS STRUCT(name VARCHAR, x DOUBLE, y DOUBLE, hx DOUBLE[], hy DOUBLE[])[]) AS veh,
+           CAST([] AS STRUCT(seq BIGINT, sub_seq INTEGER, verdict VARCHAR, type VARCHAR, name VARCHAR,
+                             x DOUBLE, y DOUBLE)[]) AS out
+    FROM (SELECT DISTINCT world_id FROM cmds)
+    UNION ALL
+    SELECT world_id, rn,
+           CASE verdict
+             WHEN 'create' THEN list_append(veh, struct_pack(name := cname, x := cx, y := cy, hx := [cx], hy := [cy]))
+             WHEN 'remove' THEN list_filter(veh, lambda v: v.name <> cname)
+             WHEN 'motion_limit' THEN list_filter(veh, lambda v: v.name <> cname)
+             WHEN 'revisit' THEN list_filter(veh, lambda v: v.name <> cname)
+             WHEN 'move' THEN list_append(
+                 list_filter(veh, lambda v: v.name <> cname AND NOT list_contains(obst, v.name)),
+                 struct_pack(name := cname, x := nx, y := ny, hx := list_append(cur.hx, nx), hy := list_append(cur.hy, ny)))
+             ELSE veh END,
+           CASE WHEN verdict = 'move' THEN list_append(
+                   list_transform(obst, lambda o: struct_pack(seq := seq, sub_seq := 0, verdict := 'obstacle',
+                       type := 'remove', name := o, x := CAST(NULL AS DOUBLE), y := CAST(NULL AS DOUBLE))),
+                   struct_pack(seq := seq, sub_seq := 1, verdict := 'move', type := 'move', name := cname, x := cx, y := cy))
+                ELSE [struct_pack(seq := seq, sub_seq := 0, verdict := verdict,
+                       type := CASE WHEN verdict IN ('create', 'remove') THEN verdict
+                                    WHEN verdict IN ('motion_limit', 'revisit') THEN 'remove' END,
+                       name := cname,
+                       x := CASE WHEN verdict IN ('create', 'duplicate_create', 'unknown_move', 'zero_move') THEN cx END,
+                       y := CASE WHEN verdict IN ('create', 'duplicate_create', 'unknown_move', 'zero_move') THEN cy END)]
+           END
+    FROM (
+        SELECT *, CASE WHEN verdict = 'move' THEN list_sort(list_transform(
+                      list_filter(veh, lambda v: v.name <> cname AND sqrt((v.x - nx) * (v.x - nx) + (v.y - ny) * (v.y - ny)) <= 0.5),
+                      lambda v: v.name)) ELSE [] END AS obst
+        FROM (
+            SELECT *, CASE
+                WHEN type = 'create' THEN CASE WHEN ex THEN 'duplicate_create' ELSE 'create' END
+                WHEN type = 'remove' THEN CASE WHEN ex THEN 'remove' ELSE 'unknown_remove' END
+                WHEN NOT ex THEN 'unknown_move'
+                WHEN cx = 0 AND cy = 0 THEN 'zero_move'
+                WHEN len(cur.hx) - 1 >= 5 THEN 'motion_limit'
+                WHEN len(list_filter(range(1, len(cur.hx)), lambda i: sqrt((cur.hx[i] - nx) * (cur.hx[i] - nx)
+                         + (cur.hy[i] - ny) * (cur.hy[i] - ny)) <= 0.5)) > 0 THEN 'revisit'
+                ELSE 'move' END AS verdict
+            FROM (
+                SELECT *, cur.x + cx AS nx, cur.y + cy AS ny
+                FROM (
+                    SELECT f.world_id, c.rn, c.seq, c.type, c.cname, c.cx, c.cy, f.veh,
+                           len(list_filter(f.veh, lambda v: v.name = c.cname)) > 0 AS ex,
+                           list_filter(f.veh, lambda v: v.name = c.cname)[1] AS cur
+                    FROM fold f JOIN cmds c ON c.world_id = f.world_id AND c.rn = f.rn + 1))))
+)
+SELECT world_id, o.seq AS seq, o.sub_seq AS sub_seq, o.verdict AS verdict, o.type AS type, o.name AS name,
+       o.x AS x, o.y AS y
+FROM (SELECT world_id, unnest(out) AS o FROM fold)
+"""
+
+
+@register("admit_commands_ordered", _ORDERED_SQL)
 def q_admit_commands_ordered(spark, sf):
     return sv.admit_commands_ordered(V.vehicle_commands(V.events(spark, sf), with_world=True))
 
