@@ -1,4 +1,4 @@
-"""Streaming traffic analytics: watermarked tumbling means and incremental jump detection."""
+"""Streaming traffic analytics: watermarked tumbling and anchored means, incremental jump detection."""
 
 from __future__ import annotations
 
@@ -7,9 +7,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from keelson.operators.traffic import tumbling_avg_speed
+from keelson.operators.traffic import ms_to_kmh, tumbling_avg_speed
 
 
 def tumbling_avg_speed_stream(events: DataFrame, watermark: str = "0 seconds", ts_col: str = "ts",
@@ -20,6 +21,25 @@ def tumbling_avg_speed_stream(events: DataFrame, watermark: str = "0 seconds", t
     return tumbling_avg_speed(events.withWatermark(ts_col, watermark), ts_col=ts_col, **kwargs)
 
 
+def anchored_batch_avg_speed_stream(events: DataFrame, origin_ms: int, batch_ms: int = 10_000,
+                                    watermark: str = "0 seconds", key_cols: Sequence[str] = ("sensor_id",),
+                                    ts_col: str = "ts", speed_col: str = "speed_ms") -> DataFrame:
+    """Streaming form of ``anchored_batch_avg_speed``: batches anchored at ``origin_ms`` (required
+    in streaming, where the first event time is not known up front) expressed as tumbling
+    windows with ``startTime = origin mod batch``, so the watermark closes them in append mode.
+    Output as in batch: keys, ``batch_start_ms, avg_speed_kmh, window_start_ms, window_end_ms``
+    (the key's first and last event time in the batch)."""
+    shift_ms = origin_ms % batch_ms
+    ev = events.withWatermark(ts_col, watermark)
+    w = F.window(F.col(ts_col), f"{batch_ms} milliseconds", f"{batch_ms} milliseconds", f"{shift_ms} milliseconds")
+    ts_ms = F.unix_millis(F.col(ts_col))
+    g = ev.groupBy(w.alias("w"), *key_cols).agg(
+        F.avg(F.col(speed_col)).alias("_avg_ms"), F.min(ts_ms).alias("window_start_ms"),
+        F.max(ts_ms).alias("window_end_ms"))
+    return g.select(*key_cols, F.unix_millis(F.col("w.start")).alias("batch_start_ms"),
+                    ms_to_kmh("_avg_ms").alias("avg_speed_kmh"), "window_start_ms", "window_end_ms")
+
+
 class SpeedChangeProcessor(StatefulProcessor):
     """Per sensor: remembers the last emitted average; each new average (in window order within
     a micro-batch) is paired with the previous one and emitted when the jump exceeds the

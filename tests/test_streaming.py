@@ -197,3 +197,26 @@ def test_ordered_admission_streaming_equals_batch(spark):
     stream = spark.readStream.schema(cmds.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     got = _drain(spark, sv.admit_commands_ordered(stream), "admit_out")
     assert sorted(tuple(r) for r in got.collect()) == batch and len(batch) > 900
+
+
+def test_anchored_and_jumps_stream_equal_batch(spark):
+    t = V.traffic(V.events(spark, SF)).withColumn("ts", F.col("ts") + F.expr("INTERVAL 3 SECONDS"))
+    origin = t.select(F.min(F.unix_millis("ts"))).first()[0]
+    batch = tr.anchored_batch_avg_speed(t)
+    pdf = t.toPandas()
+    folder = tempfile.mkdtemp(prefix="anchored-")
+    _write_chunks(pdf, folder, 5)
+    for k, c in enumerate(_closing_rows(pdf)):
+        _write_chunks(c, folder, 1, stamp=100 + k, name=f"close-{k}")
+    read = lambda: spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    got = _drain(spark, st.anchored_batch_avg_speed_stream(read(), origin), "anchored_out")
+    horizon = pdf["ts"].max().value // 10**6 + 10_000
+    cols = ["sensor_id", "batch_start_ms", "avg_speed_kmh", "window_start_ms", "window_end_ms"]
+    a = sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+               for r in got.select(*cols).collect() if r.batch_start_ms < horizon)
+    b = sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in batch.select(*cols).collect())
+    assert a == b and len(a) > 100 and all(r[1] % 10_000 == origin % 10_000 for r in a)
+    jumps = _drain(spark, st.speed_change_stream(st.anchored_batch_avg_speed_stream(read(), origin)), "anchored_jumps")
+    exp = sorted((r.sensor_id, r.window_ms) for r in cep.speed_change(batch).collect())
+    got_j = sorted((r.sensor_id, r.window_ms) for r in jumps.collect() if r.window_ms < horizon)
+    assert got_j == exp
