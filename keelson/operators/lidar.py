@@ -73,7 +73,7 @@ def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = ()
     ``scan``, ``distance``.
 
     Runs come from one fused ``change_count`` pass; per-run sums are a partial aggregation; the
-    per-key run count (a small aggregate of the runs) marks the last run."""
+    last run is the one without a successor (a semi join of the small runs table with itself)."""
     keys = list(key_cols)
     s = segments.select(*keys, order_col, scan_col, "distance")
     s = change_count(s, keys, order_col, scan_col, lambda prev, cur: cur != prev, "_run",
@@ -82,12 +82,9 @@ def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = ()
     runs = s.groupBy(*keys, "_run").agg(
         F.any_value(scan_col).alias(scan_col),
         F.sum(F.when(include, F.col("distance")).otherwise(F.lit(0.0))).alias("distance"))
-    last = runs.groupBy(*keys).agg(F.max("_run").alias("_last"))
-    if keys:
-        runs = runs.join(last, on=keys)
-    else:
-        runs = runs.withColumn("_last", last.select("_last").scalar())
-    emitted = runs.filter(F.col("_run") < F.col("_last")).select(
+    # run ids are dense per key: a run is emitted when run + 1 exists
+    later = runs.select(*keys, (F.col("_run") - 1).alias("_run"))
+    emitted = runs.join(later, on=[*keys, "_run"], how="left_semi").select(
         *keys, F.col("_run").cast("long").alias("emit_seq"), scan_col, "distance")
     lead_zero = runs.filter((F.col("_run") == 1) & (F.col(scan_col) != 0)).select(
         *keys, F.lit(0).cast("long").alias("emit_seq"), F.lit(0).cast("int").alias(scan_col),

@@ -96,8 +96,11 @@ def write_topic(records: DataFrame, root: str, topic: str, kafka_servers: str |
                 files: int | None = None) -> None:
     """Append records (topic layout) to a topic. Kafka ignores key/partition/offset given here."""
     if kafka_servers:
+        # acks=all + idempotent producer, as the original publisher; Spark's Kafka sink is still
+        # at-least-once across task retries, so consumers deduplicate by message id
         (records.select("key", "value").write.format("kafka")
-         .option("kafka.bootstrap.servers", kafka_servers).option("topic", topic).save())
+         .option("kafka.bootstrap.servers", kafka_servers).option("topic", topic)
+         .option("kafka.acks", "all").option("kafka.enable.idempotence", "true").save())
         return
     out = records.select(*TOPIC_COLS)
     if files:
