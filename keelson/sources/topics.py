@@ -38,6 +38,12 @@ def _kafka_available(spark: SparkSession) -> bool:
         return False
 
 
+def _require_kafka(spark: SparkSession) -> None:
+    if not _kafka_available(spark):
+        raise RuntimeError("the Kafka connector (spark-sql-kafka) is not on the classpath; "
+                           "use the file topic log (kafka_servers=None) instead")
+
+
 def _kafka_frame(df: DataFrame) -> DataFrame:
     return df.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic",
                      F.col("partition").cast("int"), F.col("offset").cast("long"), "timestamp")
@@ -46,6 +52,7 @@ def _kafka_frame(df: DataFrame) -> DataFrame:
 def read_topic(spark: SparkSession, root: str, topic: str, kafka_servers: str | None = None) -> DataFrame:
     """All records of a topic from the earliest offset (batch)."""
     if kafka_servers:
+        _require_kafka(spark)
         df = (spark.read.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
               .option("subscribe", topic).option("startingOffsets", "earliest").load())
         return _kafka_frame(df)
@@ -58,6 +65,7 @@ def read_topic_stream(spark: SparkSession, root: str, topic: str, kafka_servers:
     consumer group). ``max_per_trigger`` caps offsets per micro-batch (Kafka) or files per
     micro-batch (file log); ``committed_only`` reads only committed transactional records."""
     if kafka_servers:
+        _require_kafka(spark)
         r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
              .option("subscribe", topic).option("startingOffsets", "earliest"))
         if committed_only:
@@ -96,6 +104,7 @@ def write_topic(records: DataFrame, root: str, topic: str, kafka_servers: str |
                 files: int | None = None) -> None:
     """Append records (topic layout) to a topic. Kafka ignores key/partition/offset given here."""
     if kafka_servers:
+        _require_kafka(records.sparkSession)
         # acks=all + idempotent producer, as the original publisher; Spark's Kafka sink is still
         # at-least-once across task retries, so consumers deduplicate by message id
         (records.select("key", "value").write.format("kafka")
@@ -108,6 +117,18 @@ def write_topic(records: DataFrame, root: str, topic: str, kafka_servers: str |
     out.write.mode("append").parquet(os.path.join(root, topic))
 
 
+def publish(df: DataFrame, root: str, topic: str, value_col: str = "value", ts_col: str | None = None,
+            order_col: str | None = None, kafka_servers: str | None = None) -> None:
+    """Append string values to a topic (NULL key). On the file log, offsets continue after the
+    topic's current end (one scalar aggregate); ``order_col`` fixes their order, ``ts_col``
+    publishes with the row's own event time."""
+    if kafka_servers:
+        write_topic(as_records(df, topic, value_col, ts_col, order_col), root, topic, kafka_servers)
+        return
+    end = topic_end(df.sparkSession, root, topic).agg(F.max("next_offset")).first()[0] or 0
+    write_topic(as_records(df, topic, value_col, ts_col, order_col, base_offset=end), root, topic)
+
+
 # ---------------------------------------------------------------- text files
 
 LINE_BITS = 27  # a split of at most 128 MiB holds fewer than 2**27 lines

@@ -59,3 +59,15 @@ def test_as_records_and_windowed_sink(spark):
     back = spark.read.text(os.path.join(root, "avg"))
     assert back.count() == avgs.count()
     assert back.first().value.startswith("[2025-10-03T")
+
+
+def test_publish_continues_offsets(spark):
+    root = tempfile.mkdtemp(prefix="pub-")
+    df = spark.createDataFrame([(i, f"line {i}") for i in range(5)], "i long, value string")
+    topics.publish(df, root, "t", order_col="i")
+    topics.publish(df, root, "t", order_col="i")
+    offs = sorted(r.offset for r in topics.read_topic(spark, root, "t").collect())
+    assert offs == list(range(10))
+    import pytest
+    with pytest.raises(RuntimeError):
+        topics.read_topic(spark, root, "t", kafka_servers="localhost:9092")
