@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import proximity
 from keelson.operators.vehicles import CLOSENESS, project_vehicles, vehicles
+from keelson.plans.stages import materialize
 
 MAX_MOVES = 5  # fixed: the sixth move of a vehicle turns into its removal
 
@@ -32,8 +33,8 @@ def admit_commands_snapshot(pending: DataFrame, history: DataFrame, state: DataF
     projection; the revisit test is a semi join on ``(name, grid cell)`` against the history
     rows, probed only by moves that reach it; the obstacle removes are a grid equi-join of the
     accepted moves with the snapshot positions — the only extra branch of the union."""
-    if state is None:
-        state = vehicles(history)
+    history = materialize(history)
+    state = materialize(vehicles(history) if state is None else state)
     live = state.select("name", F.col("x").alias("_cx"), F.col("y").alias("_cy"), "moves",
                         F.lit(True).alias("_live"))
     t = F.col("type")
@@ -53,7 +54,7 @@ def admit_commands_snapshot(pending: DataFrame, history: DataFrame, state: DataF
                .when(t == "remove", F.when(live_c, "remove").otherwise("unknown_remove"))
                .when(~live_c, "unknown_move").when(zero, "zero_move").when(limit, "motion_limit")
                .when(F.col("_revisit"), "revisit").otherwise("move"))
-    judged = cmds.select("seq", "name", "x", "y", "_nx", "_ny", verdict.alias("verdict"))
+    judged = materialize(cmds.select("seq", "name", "x", "y", "_nx", "_ny", verdict.alias("verdict")))
     v = F.col("verdict")
     emitted = (F.when(v.isin("create", "move", "remove"), v)
                .when(v.isin("motion_limit", "revisit"), F.lit("remove")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions import codecs, geometry
 from keelson.plans.ordered import DEFAULT_BUCKET_WIDTH, change_count, shift
+from keelson.plans.stages import materialize
 
 MIN_QUALITY = 15  # fixed: readings below this quality are dropped before grouping
 
@@ -79,9 +80,9 @@ def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = ()
     s = change_count(s, keys, order_col, scan_col, lambda prev, cur: cur != prev, "_run",
                      first_prev=None, start_col="_start", bucket_width=bucket_width)
     include = ~F.col("_start") | ((F.col("_run") == 1) & (F.col(scan_col) == 0))
-    runs = s.groupBy(*keys, "_run").agg(
+    runs = materialize(s.groupBy(*keys, "_run").agg(
         F.any_value(scan_col).alias(scan_col),
-        F.sum(F.when(include, F.col("distance")).otherwise(F.lit(0.0))).alias("distance"))
+        F.sum(F.when(include, F.col("distance")).otherwise(F.lit(0.0))).alias("distance")))
     # run ids are dense per key: a run is emitted when run + 1 exists
     later = runs.select(*keys, (F.col("_run") - 1).alias("_run"))
     emitted = runs.join(later, on=[*keys, "_run"], how="left_semi").select(
@@ -108,6 +109,7 @@ def lidar_pipeline(lines: DataFrame, value_col: str = "value", order_col: str =
 def scan_frames(grouped: DataFrame, scan_col: str = "scan") -> DataFrame:
     """Plot data per point: rotation, x, y, and the largest distance overall (axis range, a
     scalar subquery). Distinct rotations in order come from ``scan_ids``."""
+    grouped = materialize(grouped)
     max_range = grouped.select(F.max("distance")).scalar()
     return with_cartesian(grouped).select(scan_col, "seq", "x", "y", max_range.alias("max_range"))
 

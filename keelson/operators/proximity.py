@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import geometry
+from keelson.plans.stages import materialize
 
 _NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
 
@@ -76,6 +77,7 @@ def proximity_exists(left: DataFrame, right: DataFrame, radius: float, flag: str
     rows matching ``probe`` (default all) are tested; the others get False. The test is a semi join over the 9 neighbour cells, so pairs are
     never materialised; the per-cell answers are merged by a distinct on the row id."""
     ids = list(id_cols)
+    left = materialize(left)
     carried = list(dict.fromkeys([*ids, *keys, *left_cols, *left_xy]))
     probing = left if probe is None else left.filter(probe)
     L = with_neighbour_cells(probing.select(*carried),
@@ -104,6 +106,7 @@ def proximity_exists(left: DataFrame, right: DataFrame, radius: float, flag: str
 def box_collision_pairs(state: DataFrame, radius: float = 0.5) -> DataFrame:
     """Pairs of vehicles (``name_a < name_b``) whose positions differ by less than ``radius``
     in both x and y (strict)."""
+    state = materialize(state)  # read by both sides of the self-join
     a = state.select(F.col("name").alias("name_a"), F.col("x").alias("_ax"), F.col("y").alias("_ay"))
     b = state.select(F.col("name").alias("name_b"), F.col("x").alias("_bx"), F.col("y").alias("_by"))
     pairs = proximity_join(a, b, radius, ("_ax", "_ay"), ("_bx", "_by"), metric="box", strict=True)

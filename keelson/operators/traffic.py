@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions import formats, parsing
 from keelson.plans.ordered import shift
-from keelson.plans.stages import computed_once
+from keelson.plans.stages import computed_once, materialize
 
 MS_TO_KMH = 3.6  # fixed conversion factor
 
@@ -131,6 +131,8 @@ def anchored_batch_avg_speed(df: DataFrame, batch_ms: int = 10_000, origin_ms: i
          .agg(F.avg(F.col(speed_col)).alias("_avg_ms"),
               F.min(ts_ms).alias("window_start_ms"),
               F.max(ts_ms).alias("window_end_ms")))
+    if with_idle:
+        g = materialize(g)  # read three times below
     out = g.select(*key_cols,
                    (origin + F.col("_batch") * batch_ms).alias("batch_start_ms"),
                    F.col("_batch"),

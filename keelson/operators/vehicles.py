@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions import geometry
 from keelson.plans.ordered import DEFAULT_BUCKET_WIDTH, running_sum
+from keelson.plans.stages import materialize
 
 CLOSENESS = 0.5  # fixed: distance at or below which two positions are "the same place"
 KINDS = ("create", "move", "remove")
@@ -47,8 +48,8 @@ def project_vehicles(cmds: DataFrame, bucket_width: int = DEFAULT_BUCKET_WIDTH)
     The moves that count are those after the create that opened the vehicle's current life
     (``seq > start_seq``): by construction no create/remove follows it. Their positions are one
     bucketed running sum per name, so a vehicle with a very long history is not one task."""
-    cmds = _valid(cmds)
-    live = live_epochs(cmds)
+    cmds = _valid(materialize(cmds))
+    live = materialize(live_epochs(cmds))
     moves = (cmds.filter(F.col("type") == "move").select("name", "seq", "x", "y")
              .join(live, on="name", how="inner")
              .filter(F.col("seq") > F.col("start_seq")))
@@ -92,6 +93,7 @@ def vehicle_number_of_moves(state: DataFrame) -> DataFrame:
 
 def vehicle_previous_positions(history: DataFrame) -> DataFrame:
     """All history rows except the current position."""
+    history = materialize(history)
     last = history.groupBy("name").agg(F.max("pos_idx").alias("_last"))
     return history.join(last, "name").filter(F.col("pos_idx") < F.col("_last")).drop("_last")
 

@@ -16,6 +16,7 @@ from keelson.functions import codecs, geometry
 from keelson.operators import (admission as ad, audit as au, cep, lidar as ld, proximity as px,
                                routing as rt, traffic as tr, vehicles as vh)
 from keelson.plans import views as V
+from keelson.plans.stages import materialize
 from keelson.streaming import vehicles as sv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -383,7 +384,7 @@ def q_live_vehicle_names(spark, sf):
 
 @register("vehicle_by_name", _sql(_PROJ, "SELECT * FROM state WHERE name = (SELECT min(name) FROM state)"))
 def q_vehicle_by_name(spark, sf):
-    st = _state(spark, sf)
+    st = materialize(_state(spark, sf))  # read by the lookup and by its key subquery
     return vh.vehicle_by_name(st, st.select(F.min("name")).scalar())
 
 
@@ -398,7 +399,7 @@ def q_vehicles_at_position(spark, sf):
     FROM state a JOIN state b ON a.name < b.name
     WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 1.0"""))
 def q_proximity_join(spark, sf):
-    st = _state(spark, sf)
+    st = materialize(_state(spark, sf))  # both sides of the self-join
     a = st.select(F.col("name").alias("name_a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
     b = st.select(F.col("name").alias("name_b"), F.col("x").alias("bx"), F.col("y").alias("by"))
     pairs = px.proximity_join(a, b, 1.0, ("ax", "ay"), ("bx", "by"))

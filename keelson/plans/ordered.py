@@ -11,6 +11,10 @@ window with no key sends the whole table to one task. The helpers here use a two
    those columns by step 1, so the join adds no shuffle of the rows; AQE may broadcast the
    summary at run time when its measured size is small, otherwise it stays a sort-merge join.
 
+Each primitive reads its input twice (rows and summary). An input that is itself the result of
+shuffles is first written once with a reliable checkpoint (``stages.materialize``), so chained
+primitives cost linear, not exponential, work.
+
 Results are identical to the single-window form for any bucket width (see tests).
 """
 
@@ -21,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.plans.stages import materialize
+
 BUCKET = "_bkt"
 # Default bucket width in units of the order column. Offsets are dense, so this is about
 # 262k rows per bucket: large enough that the summary stays small (1e12 rows -> 3.8e6
@@ -50,7 +56,7 @@ def shift(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence[str
     from a NULL value."""
     keys = list(keys)
     cols = list(dict.fromkeys([order_col, *cols]))
-    b = _with_bucket(df, order_col, bucket_width, keys)
+    b = _with_bucket(materialize(df), order_col, bucket_width, keys)
     w_local = Window.partitionBy(*_part(keys), F.col(BUCKET)).orderBy(F.col(order_col))
     fn = F.lag if direction == 1 else F.lead
     for c in cols:
@@ -76,7 +82,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order_col: str, exprs: dict[
     the same key up to this row (``inclusive``) or strictly before it. Integer expressions give
     exact results; NULL values count as 0."""
     keys = list(keys)
-    b = _with_bucket(df, order_col, bucket_width, keys)
+    b = _with_bucket(materialize(df), order_col, bucket_width, keys)
     tmp = {name: f"_v_{name}" for name in exprs}
     for name, e in exprs.items():
         b = b.withColumn(tmp[name], F.coalesce(e, F.lit(0)))
@@ -103,7 +109,7 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order_col: str, value_col:
     ``value_col`` must be non-decreasing along the order for the running max to be the latest
     value; callers pass the order column itself (e.g. the seq of the last marker row)."""
     keys = list(keys)
-    b = _with_bucket(df, order_col, bucket_width, keys)
+    b = _with_bucket(materialize(df), order_col, bucket_width, keys)
     w_local = (Window.partitionBy(*_part(keys), F.col(BUCKET)).orderBy(F.col(order_col))
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     b = b.withColumn(out_col, F.max(F.col(value_col)).over(w_local))
@@ -131,7 +137,7 @@ def change_count(df: DataFrame, keys: Sequence[str], order_col: str, value_col:
     adds the changes at bucket boundaries and carries the counts; one join brings them back."""
     keys = list(keys)
     v, o = F.col(value_col), F.col(order_col)
-    b = _with_bucket(df, order_col, bucket_width, keys)
+    b = _with_bucket(materialize(df), order_col, bucket_width, keys)
     w = Window.partitionBy(*_part(keys), F.col(BUCKET)).orderBy(o)
     prev = F.lag(v, 1).over(w)
     b = b.withColumn("_first_in_bkt", F.lag(o, 1).over(w).isNull())

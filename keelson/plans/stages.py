@@ -17,3 +17,49 @@ def computed_once(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     """``df`` plus the given columns, evaluated exactly once per row."""
     row = F.struct(*[e.alias(n) for n, e in exprs.items()])
     return df.select("*", F.inline(F.array(row)))
+
+
+# Logical operators whose recomputation costs a shuffle or more. A plan without any of them is a
+# scan plus per-row work, which is cheaper to read twice than to write and read back.
+_COSTLY = ("Join", "Aggregate", "Window", "Repartition", "RebalancePartitions", "Sort", "Union",
+           "Expand", "Distinct", "Deduplicate", "TransformWithState", "FlatMapGroups", "MapInPandas",
+           "ArrowEvalPython", "BatchEvalPython", "CoGroup")
+
+
+def _operators(df: DataFrame) -> set[str]:
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    names = set()
+    for line in plan.splitlines():
+        token = line.lstrip(" :+-!").split(" ", 1)[0]
+        if token:
+            names.add(token)
+    return names
+
+
+def is_costly(df: DataFrame) -> bool:
+    """True when recomputing ``df`` would re-run shuffles (joins, aggregates, windows...)."""
+    return any(op.startswith(c) for op in _operators(df) for c in _COSTLY)
+
+
+def materialize(df: DataFrame, force: bool = False) -> DataFrame:
+    """Cut lineage before ``df`` is consumed more than once.
+
+    Spark plans are trees: a DataFrame read by two branches is computed twice unless both
+    branches end in an identical exchange, which column pruning usually prevents. Two-level
+    scans read their input twice, so chaining them would multiply the upstream work. Writing
+    the input once with a reliable ``checkpoint`` into the shared ``spark.checkpoint.dir``
+    (``keelson.session.checkpoint_root``) keeps the cost linear and survives executor loss.
+
+    Skipped for streaming frames, for inputs that are only scans and per-row work (unless
+    ``force``), and when the session sets ``keelson.materialize=never``."""
+    from keelson.session import checkpoint_root
+
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    if spark.conf.get("keelson.materialize", "auto") == "never":
+        return df
+    if not force and not is_costly(df):
+        return df
+    checkpoint_root(spark)
+    return df.checkpoint(eager=True)

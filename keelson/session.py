@@ -25,6 +25,8 @@ _DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # delete checkpointed intermediates once nothing references them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # commit a changelog per micro-batch instead of a full state snapshot
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
