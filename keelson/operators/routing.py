@@ -23,6 +23,16 @@ from keelson.operators.traffic import MS_TO_KMH
 from keelson.plans.stages import computed_once
 
 
+# The BAD texts of the original processor (exception classes stand for its
+# exception messages).
+BAD_BLANK = "BAD: <blank line>"
+BAD_PREFIX = "BAD: "
+BAD_TOKENS = " | reason=expected 3 tokens"
+BAD_NEGATIVE = " | reason=negative speed"
+BAD_INSTANT = " | DateTimeParseException"
+BAD_NUMBER = " | NumberFormatException"
+
+
 def parse_traffic_strict(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``sensor_id, speed_ms, ts, instant_text`` and ``reason`` (NULL when the line is
     good): blank, tokens, instant, int, double, negative. Each stage is computed once per row
@@ -56,11 +66,11 @@ def route_traffic(records: DataFrame, value_col: str = "value") -> DataFrame:
     r = F.col("reason")
     text = (F.when(r.isNull(), formats.format_processed("instant_text", "sensor_id",
                                                         F.col("speed_ms") * F.lit(MS_TO_KMH)))
-            .when(r == "blank", F.lit("BAD: <blank line>"))
-            .when(r == "tokens", F.concat(F.lit("BAD: "), v, F.lit(" | reason=expected 3 tokens")))
-            .when(r == "negative", F.concat(F.lit("BAD: "), v, F.lit(" | reason=negative speed")))
-            .when(r == "instant", F.concat(F.lit("BAD: "), v, F.lit(" | DateTimeParseException")))
-            .otherwise(F.concat(F.lit("BAD: "), v, F.lit(" | NumberFormatException"))))
+            .when(r == "blank", F.lit(BAD_BLANK))
+            .when(r == "tokens", F.concat(F.lit(BAD_PREFIX), v, F.lit(BAD_TOKENS)))
+            .when(r == "negative", F.concat(F.lit(BAD_PREFIX), v, F.lit(BAD_NEGATIVE)))
+            .when(r == "instant", F.concat(F.lit(BAD_PREFIX), v, F.lit(BAD_INSTANT)))
+            .otherwise(F.concat(F.lit(BAD_PREFIX), v, F.lit(BAD_NUMBER))))
     return p.select("topic", "partition", "offset", "timestamp", mid.alias("mid"),
                     F.when(r.isNull(), F.lit("OUT")).otherwise(F.lit("BAD")).alias("route"),
                     r.alias("reason"), F.concat(mid, F.lit(" "), text).alias("value"))
