@@ -37,8 +37,14 @@ def _operators(df: DataFrame) -> set[str]:
 
 
 def is_costly(df: DataFrame) -> bool:
-    """True when recomputing ``df`` would re-run shuffles (joins, aggregates, windows...)."""
-    return any(op.startswith(c) for op in _operators(df) for c in _COSTLY)
+    """True when recomputing ``df`` would re-run shuffles (joins, aggregates, windows...).
+    When the plan cannot be inspected (e.g. a Spark Connect client) the answer is True, so the
+    caller materializes, which is always correct."""
+    try:
+        ops = _operators(df)
+    except Exception:
+        return True
+    return any(op.startswith(c) for op in ops for c in _COSTLY)
 
 
 def materialize(df: DataFrame, force: bool = False) -> DataFrame:
