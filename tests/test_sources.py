@@ -71,3 +71,20 @@ def test_publish_continues_offsets(spark):
     import pytest
     with pytest.raises(RuntimeError):
         topics.read_topic(spark, root, "t", kafka_servers="localhost:9092")
+
+
+def test_text_line_order_across_splits(spark):
+    d = tempfile.mkdtemp(prefix="splits-")
+    n = 5000
+    with open(os.path.join(d, "big.txt"), "w") as f:
+        for i in range(n):
+            f.write(f"line-{i:06d}\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        df = topics.read_text_lines(spark, d)
+        assert df.rdd.getNumPartitions() > 5
+        got = [r.value for r in df.orderBy("seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [f"line-{i:06d}" for i in range(n)]
