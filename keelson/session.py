@@ -64,6 +64,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence test through the Hadoop FileSystem of the path (local, HDFS, object stores)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return bool(fs.exists(p))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused sub-folder of the checkpoint root (one per run)."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")

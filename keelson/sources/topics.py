@@ -81,8 +81,10 @@ def read_topic_stream(spark: SparkSession, root: str, topic: str, kafka_servers:
 
 def topic_end(spark: SparkSession, root: str, topic: str) -> DataFrame:
     """Per partition the next offset to write (0 for a new topic)."""
+    from keelson.session import path_exists
+
     path = os.path.join(root, topic)
-    if not os.path.exists(path) and "://" not in root:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], "partition int, next_offset long")
     return (spark.read.schema(TOPIC_SCHEMA).parquet(path).groupBy("partition")
             .agg((F.max("offset") + 1).alias("next_offset")))

@@ -10,14 +10,13 @@ snapshot, computes the same result and overwrites its own partitions.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from keelson.operators.admission import admit_commands_snapshot
 from keelson.operators.vehicles import project_vehicles
+from keelson.session import path_exists
 
 LOG_COLS = ["seq", "type", "name", "x", "y"]
 SUB_SEQ_SLOTS = 2  # emitted commands of one pending command: obstacle removes (0), then the move (1)
@@ -32,7 +31,7 @@ def judge_batch(pending: DataFrame, log_path: str, verdict_path: str, batch_id:
     """Judge one micro-batch against the log of earlier batches and record the outcome."""
     spark = pending.sparkSession
     log_schema = "seq long, type string, name string, x double, y double, batch_id long"
-    if os.path.exists(log_path) or "://" in log_path:
+    if path_exists(spark, log_path):
         log = spark.read.schema(log_schema).parquet(log_path).filter(F.col("batch_id") < batch_id)
     else:
         log = spark.createDataFrame([], log_schema)
