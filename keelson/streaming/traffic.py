@@ -92,3 +92,26 @@ def speed_change_stream(avgs: DataFrame, threshold: float = 20.0, inclusive: boo
               f"current_speed double")
     proc = SpeedChangeProcessor(key_cols, order_col, value_col, threshold, inclusive)
     return avgs.groupBy(*key_cols).transformWithStateInPandas(proc, schema, "Append", "None")
+
+
+def start_windowed_average_lines(events: DataFrame, path: str, checkpoint: str, watermark: str = "0 seconds",
+                                 available_now: bool = True):
+    """Stream the 10 s means as text, one shard per window (``<path>/window_start=<ms>/``).
+
+    Windows are final when emitted (append mode), and each micro-batch overwrites exactly the
+    window partitions it produced (dynamic partition overwrite), so a replayed batch rewrites the
+    same files instead of adding copies."""
+    from keelson.functions.formats import format_average
+
+    avgs = tumbling_avg_speed_stream(events, watermark)
+    lines = avgs.select(F.col("window_start_ms").alias("window_start"),
+                        format_average("window_start_ms", "window_end_ms", "sensor_id", "avg_speed_kmh").alias("value"))
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        (df.repartition("window_start").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("window_start").text(path))
+
+    w = lines.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()

@@ -265,3 +265,22 @@ def test_snapshot_admission_replay_is_idempotent(spark):
     assert spark.read.parquet(log).count() == 3  # two creates, one move, nothing duplicated
     assert [r.verdict for r in spark.read.parquet(verdicts).filter("batch_id = 1").orderBy("seq").collect()] == [
         "move", "duplicate_create"]
+
+
+def test_windowed_average_lines_stream(spark):
+    t = V.traffic(V.events(spark, SF))
+    pdf = t.toPandas()
+    root = tempfile.mkdtemp(prefix="winlines-")
+    folder = os.path.join(root, "in")
+    _write_chunks(pdf, folder, 4)
+    for k, c in enumerate(_closing_rows(pdf)):
+        _write_chunks(c, folder, 1, stamp=100 + k, name=f"close-{k}")
+    stream = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    q = st.start_windowed_average_lines(stream, os.path.join(root, "out"), os.path.join(root, "ck"))
+    q.awaitTermination()
+    from keelson.functions import formats
+    exp = tr.tumbling_avg_speed(t).select(
+        formats.format_average("window_start_ms", "window_end_ms", "sensor_id", "avg_speed_kmh").alias("v"))
+    horizon = pdf["ts"].max().value // 10**6 + 10_000
+    got = spark.read.text(os.path.join(root, "out")).filter(F.col("window_start") < horizon)
+    assert sorted(r.value for r in got.collect()) == sorted(r.v for r in exp.collect())
