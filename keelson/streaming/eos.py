@@ -40,3 +40,10 @@ def start_routing(records: DataFrame, out_path: str, checkpoint: str, fail_at_of
     elif available_now:
         w = w.trigger(availableNow=True)
     return w.start(out_path)
+
+
+def dedupe_stream(outputs: DataFrame, delay: str = "10 minutes", mid_col: str = "mid",
+                  ts_col: str = "timestamp") -> DataFrame:
+    """Consumer-side guard for at-least-once sinks: drop repeated message ids that arrive within
+    ``delay`` of each other (state is bounded by the watermark, unlike a plain dropDuplicates)."""
+    return outputs.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([mid_col])

@@ -284,3 +284,15 @@ def test_windowed_average_lines_stream(spark):
     horizon = pdf["ts"].max().value // 10**6 + 10_000
     got = spark.read.text(os.path.join(root, "out")).filter(F.col("window_start") < horizon)
     assert sorted(r.value for r in got.collect()) == sorted(r.v for r in exp.collect())
+
+
+def test_dedupe_stream_drops_redelivered_mids(spark):
+    lines = V.traffic_lines(V.events(spark, SF))
+    from keelson.operators.routing import route_traffic
+    routed = route_traffic(lines).select("mid", "value", "timestamp", "offset")
+    again = routed.filter("offset >= 300 AND offset < 500")  # one poll delivered twice
+    pdf = routed.unionByName(again).toPandas()
+    folder = _write_chunks(pdf, tempfile.mkdtemp(prefix="dedupe-"), 4, order="offset")
+    stream = spark.readStream.schema(routed.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = _drain(spark, eos.dedupe_stream(stream), "dedupe_out")
+    assert out.count() == 1000 and out.select("mid").distinct().count() == 1000
