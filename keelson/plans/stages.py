@@ -19,11 +19,12 @@ def computed_once(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
-# Logical operators whose recomputation costs a shuffle or more. A plan without any of them is a
-# scan plus per-row work, which is cheaper to read twice than to write and read back.
+# Logical operators whose recomputation costs a shuffle, or a parse (``Generate`` is how
+# ``computed_once`` runs JSON / text parsing). A plan without any of them is a scan plus cheap
+# per-row work, which is cheaper to read twice than to write and read back.
 _COSTLY = ("Join", "Aggregate", "Window", "Repartition", "RebalancePartitions", "Sort", "Union",
            "Expand", "Distinct", "Deduplicate", "TransformWithState", "FlatMapGroups", "MapInPandas",
-           "ArrowEvalPython", "BatchEvalPython", "CoGroup")
+           "ArrowEvalPython", "BatchEvalPython", "CoGroup", "Generate")
 
 
 def _operators(df: DataFrame) -> set[str]:
