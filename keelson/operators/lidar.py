@@ -93,7 +93,7 @@ def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = ()
     return emitted.unionByName(lead_zero)
 
 
-def lidar_pipeline(lines: DataFrame, value_col: str = "value", order_col: str = "seq",
+def lidar_chain(lines: DataFrame, value_col: str = "value", order_col: str = "seq",
                    key_cols: Sequence[str] = (), min_quality: int = MIN_QUALITY,
                    bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """JSON scan lines -> decode (undecodable dropped) -> quality filter -> rotation ->

@@ -245,10 +245,10 @@ def q_scan_total_distance_legacy(spark, sf):
     return leg.withColumn("distance", r6("distance"))
 
 
-@register("lidar_pipeline", _TOTALS_SQL)
-def q_lidar_pipeline(spark, sf):
+@register("lidar_chain", _TOTALS_SQL)
+def q_lidar_chain(spark, sf):
     lines = codecs.encode_lidar(_lidar(spark, sf)).select("seq", "value")
-    return ld.lidar_pipeline(lines).withColumn("distance", r6("distance"))
+    return ld.lidar_chain(lines).withColumn("distance", r6("distance"))
 
 
 @register("scan_frames", _sql(_LIDAR[:3], """

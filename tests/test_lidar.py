@@ -77,10 +77,10 @@ def test_group_matches_sequential_fold_with_keys(spark, bw):
         assert [got[(key, s)] for s, _ in mine] == exp
 
 
-def test_pipeline_from_json(spark):
+def test_chain_from_json(spark):
     lines = codecs.encode_lidar(_df(spark)).select("seq", "value")
     bad = spark.createDataFrame([(100, '{"winkel": 1'), (101, '{"winkel": 1.0, "qualitaet": 20}')], "seq long, value string")
-    tot = ld.lidar_pipeline(lines.unionByName(bad))
+    tot = ld.lidar_chain(lines.unionByName(bad))
     assert sorted((r.scan, round(r.distance, 6)) for r in tot.collect()) == [
         (0, 328.557522), (1, 120.710678), (2, 0.174531)]
 
