@@ -65,3 +65,22 @@ def test_admit_ordered_job(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(root, "out")).select(
         "world_id", "seq", "sub_seq", "verdict", "type", "name", "x", "y").collect())
     assert got == sorted(tuple(r) for r in sv.admit_commands_ordered(cmds).collect())
+
+
+def test_vehicle_jobs(spark):
+    from keelson.functions import codecs
+    from keelson.operators import admission, vehicles as vh
+    root = tempfile.mkdtemp(prefix="job-veh-")
+    cmds = V.vehicle_commands(V.events(spark, "/root/testdata/sf0.001"))
+    hist_cmds, pending = V.split_commands(cmds)
+    topics.publish(codecs.encode_vehicle_commands(hist_cmds), root, "vehicles", order_col="seq")
+    jobs.main(["vehicles", "--topics", root, "--topic", "vehicles", "--output", os.path.join(root, "model")])
+    state = spark.read.parquet(os.path.join(root, "model", "state"))
+    exp = vh.vehicles(vh.project_vehicles(hist_cmds))
+    assert sorted(tuple(r) for r in state.collect()) == sorted(tuple(r) for r in exp.collect())
+    topics.publish(codecs.encode_vehicle_commands(pending), root, "pending", order_col="seq")
+    jobs.main(["admit", "--topics", root, "--topic", "pending", "--history", os.path.join(root, "model", "history"),
+               "--output", os.path.join(root, "verdicts")])
+    got = spark.read.parquet(os.path.join(root, "verdicts")).groupBy("verdict").count()
+    exp_v = admission.admit_commands_snapshot(pending, vh.project_vehicles(hist_cmds)).groupBy("verdict").count()
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in exp_v.collect())
