@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from keelson.functions import codecs
 from keelson.operators import admission, proximity, vehicles as vh
