@@ -261,6 +261,11 @@ def q_scan_frames(spark, sf):
     return fr.withColumn("x", r6("x")).withColumn("y", r6("y"))
 
 
+@register("scan_ids", _sql(_LIDAR[:3], "SELECT DISTINCT scan FROM grouped"))
+def q_scan_ids(spark, sf):
+    return ld.scan_ids(_grouped(spark, sf))
+
+
 @register("lidar_cartesian", _sql(["lidar"], """
     SELECT seq, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y,
            round(sqrt(x * x + y * y), 6) AS length, round(atan2(y, x), 6) + 0.0 AS heading
@@ -388,6 +393,16 @@ def q_vehicle_by_name(spark, sf):
     return vh.vehicle_by_name(st, st.select(F.min("name")).scalar())
 
 
+@register("vehicle_position", _sql(_PROJ, "SELECT name, x, y FROM state"))
+def q_vehicle_position(spark, sf):
+    return vh.vehicle_position(_state(spark, sf))
+
+
+@register("vehicle_number_of_moves", _sql(_PROJ, "SELECT name, greatest(moves, 0) AS moves FROM state"))
+def q_vehicle_number_of_moves(spark, sf):
+    return vh.vehicle_number_of_moves(_state(spark, sf))
+
+
 @register("vehicles_at_position", _sql(_PROJ, """
     SELECT * FROM state WHERE sqrt((x - 3.2) * (x - 3.2) + (y - 4.1) * (y - 4.1)) <= 0.5"""))
 def q_vehicles_at_position(spark, sf):
