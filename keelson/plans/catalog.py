@@ -203,6 +203,44 @@ def _grouped(spark, sf):
     return ld.scan_group(ld.lidar_quality_filter(_lidar(spark, sf)))
 
 
+SQL_VIEWS["scanners"] = """sc AS (
+        SELECT seq, angle, distance, quality, CAST(user_id % 4 AS INTEGER) AS scanner
+        FROM (SELECT *, event_id AS seq, CAST((event_id * 37) % 3600 AS DOUBLE) / 10 AS angle,
+                     CAST(value AS DOUBLE) AS distance, CAST((event_id * 7) % 31 AS INTEGER) AS quality
+              FROM events)
+        WHERE quality >= 15),
+    sc1 AS (
+        SELECT *, CASE WHEN angle < lag(angle, 1, 0.0) OVER (PARTITION BY scanner ORDER BY seq) THEN 1 ELSE 0 END AS f
+        FROM sc),
+    sc_grouped AS (
+        SELECT scanner, seq, angle, distance, quality,
+               CAST(sum(f) OVER (PARTITION BY scanner ORDER BY seq ROWS UNBOUNDED PRECEDING) AS INTEGER) AS scan
+        FROM sc1),
+    sc_points AS (
+        SELECT *, cos(radians(angle)) * distance AS x, sin(radians(angle)) * distance AS y FROM sc_grouped),
+    sc_segments AS (
+        SELECT scanner, scan, seq, sqrt((x - px) * (x - px) + (y - py) * (y - py)) AS distance
+        FROM (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, lag(scan) OVER w AS pscan
+              FROM sc_points WINDOW w AS (PARTITION BY scanner ORDER BY seq))
+        WHERE pscan = scan)"""
+
+
+def _scanner_grouped(spark, sf):
+    return ld.scan_group(ld.lidar_quality_filter(V.lidar(V.events(spark, sf), with_scanner=True)), ["scanner"])
+
+
+@register("scan_group_by_scanner", _sql(["scanners"], "SELECT scanner, seq, angle, distance, quality, scan FROM sc_grouped"))
+def q_scan_group_by_scanner(spark, sf):
+    return _scanner_grouped(spark, sf)
+
+
+@register("scan_total_distance_by_scanner", _sql(["scanners"], """
+    SELECT scanner, scan, round(sum(distance), 6) AS distance FROM sc_segments GROUP BY scanner, scan"""))
+def q_scan_total_distance_by_scanner(spark, sf):
+    seg = ld.scan_segment_distance(_scanner_grouped(spark, sf), ["scanner"])
+    return ld.scan_total_distance(seg, ["scanner"]).withColumn("distance", r6("distance"))
+
+
 @register("lidar_quality_filter", _sql(["lidar"], "SELECT * FROM lidar WHERE quality >= 15"))
 def q_lidar_quality_filter(spark, sf):
     return ld.lidar_quality_filter(_lidar(spark, sf))

@@ -74,14 +74,16 @@ def traffic_lines(ev: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- lidar
 
-def lidar(ev: DataFrame) -> DataFrame:
-    """``seq, angle DOUBLE (degrees), distance DOUBLE, quality INT``."""
-    return ev.select(
-        F.col("event_id").alias("seq"),
-        ((F.col("event_id") * 37) % 3600 / 10.0).alias("angle"),
-        F.col("value").cast("double").alias("distance"),
-        ((F.col("event_id") * 7) % 31).cast("int").alias("quality"),
-    )
+def lidar(ev: DataFrame, with_scanner: bool = False) -> DataFrame:
+    """``seq, angle DOUBLE (degrees), distance DOUBLE, quality INT``; ``with_scanner`` adds
+    ``scanner = user_id % 4`` so that the log interleaves four independent scanners."""
+    cols = [F.col("event_id").alias("seq"),
+            ((F.col("event_id") * 37) % 3600 / 10.0).alias("angle"),
+            F.col("value").cast("double").alias("distance"),
+            ((F.col("event_id") * 7) % 31).cast("int").alias("quality")]
+    if with_scanner:
+        cols.append((F.col("user_id") % 4).cast("int").alias("scanner"))
+    return ev.select(*cols)
 
 
 def lidar_lines(ev: DataFrame) -> DataFrame:
