@@ -63,6 +63,31 @@ def project_vehicles(cmds: DataFrame, bucket_width: int = DEFAULT_BUCKET_WIDTH)
     return starts.unionByName(steps)
 
 
+def apply_commands(history: DataFrame, cmds: DataFrame, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """Incremental read model: the history after applying ``cmds`` (all later than the commands
+    behind ``history``) to ``history``. Equal to ``project_vehicles`` over the whole log, at the
+    cost of the live history plus the new commands instead of the whole log.
+
+    * a name with a create/remove among ``cmds`` starts over from its last marker there
+      (``project_vehicles(cmds)``), its previous history is dropped;
+    * any other live name keeps its history and appends its moves: running sums of the vectors
+      from its last position, indexes continuing after its last index."""
+    cmds = _valid(materialize(cmds))
+    history = materialize(history)
+    marked = cmds.filter(F.col("type").isin("create", "remove")).select("name").distinct()
+    fresh = project_vehicles(cmds, bucket_width)
+    kept = history.join(marked, on="name", how="left_anti")
+    last = kept.groupBy("name").agg(F.max_by(F.struct("x", "y"), F.col("pos_idx")).alias("_p"),
+                                    F.max("pos_idx").alias("_last"))
+    moves = (cmds.filter(F.col("type") == "move").select("name", "seq", "x", "y")
+             .join(marked, on="name", how="left_anti").join(last, on="name", how="inner"))
+    moves = running_sum(moves, ["name"], "seq", {"_k": F.lit(1), "_sx": F.col("x"), "_sy": F.col("y")},
+                        bucket_width=bucket_width)
+    steps = moves.select("name", (F.col("_last") + F.col("_k")).cast("long").alias("pos_idx"),
+                         (F.col("_p.x") + F.col("_sx")).alias("x"), (F.col("_p.y") + F.col("_sy")).alias("y"))
+    return kept.select("name", "pos_idx", "x", "y").unionByName(steps).unionByName(fresh)
+
+
 def vehicles(history: DataFrame) -> DataFrame:
     """Read model summary per live vehicle: ``name, x, y`` (current position) and ``moves``
     (number of moves = history length - 1)."""

@@ -113,3 +113,26 @@ def test_command_codec(spark):
     assert got[1] == ("create", 1.0, 2.0, None) and got[2] == ("move", -1.0, 0.5, None)
     assert got[3] == ("remove", None, None, None)
     assert got[4][3] == "unknown type" and got[5][3] == "malformed"
+
+
+@pytest.mark.parametrize("cut", [0, 1, 3, 5, 8, 12])
+def test_apply_commands_equals_full_fold(spark, cut):
+    rows = [(1, "create", "F", 0.0, 0.0), (2, "move", "F", 1.0, 0.0), (3, "create", "G", 5.0, 5.0),
+            (4, "move", "F", 0.0, 1.0), (5, "move", "G", 1.0, 1.0), (6, "remove", "G", None, None),
+            (7, "create", "G", 1.0, 1.0), (8, "move", "G", 1.0, 0.0), (9, "create", "F", 2.0, 2.0),
+            (10, "move", "F", 1.0, 1.0), (11, "move", "Z", 1.0, 0.0), (12, "move", "G", -1.0, 0.0)]
+    full = sorted(tuple(r) for r in vh.project_vehicles(_cmds(spark, rows)).collect())
+    head = vh.project_vehicles(_cmds(spark, rows[:cut]))
+    inc = sorted(tuple(r) for r in vh.apply_commands(head, _cmds(spark, rows[cut:])).select(
+        "name", "pos_idx", "x", "y").collect())
+    assert inc == full
+
+
+def test_apply_commands_on_fixture(spark):
+    from keelson.plans import views as V
+    cmds = V.vehicle_commands(V.events(spark, "/root/testdata/sf0.01"))
+    full = sorted(tuple(r) for r in vh.project_vehicles(cmds).collect())
+    a = vh.project_vehicles(cmds.filter("seq < 3000"))
+    b = vh.apply_commands(a, cmds.filter("seq >= 3000 AND seq < 7000"))
+    c = vh.apply_commands(b, cmds.filter("seq >= 7000"))
+    assert sorted(tuple(r) for r in c.select("name", "pos_idx", "x", "y").collect()) == full
