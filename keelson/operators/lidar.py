@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import codecs, geometry
-from keelson.plans.ordered import DEFAULT_BUCKET_WIDTH, change_count, shift
+from keelson.plans.ordered import DEFAULT_BUCKET_WIDTH, change_count, running_sum, shift
 from keelson.plans.stages import materialize
 
 MIN_QUALITY = 15  # fixed: readings below this quality are dropped before grouping
@@ -57,13 +57,39 @@ def scan_segment_distance(grouped: DataFrame, key_cols: Sequence[str] = (), orde
                       geometry.vector_distance("x", "y", "_p_x", "_p_y").alias("distance"))
 
 
+def scan_points(df: DataFrame, key_cols: Sequence[str] = (), order_col: str = "seq",
+                angle_col: str = "angle", distance_col: str = "distance", out_col: str = "scan",
+                bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+    """Rotation index and segment in one two-level pass: adds ``scan`` (as ``scan_group``),
+    ``x, y`` and ``segment`` — the distance to the previous reading when it is in the same
+    rotation, else NULL (as ``scan_segment_distance``). A reading continues the previous
+    reading's rotation exactly when no new rotation starts at it, so the previous point's
+    coordinates ride along in the rotation pass (``change_count(prev_cols=...)``)."""
+    pts = with_cartesian(df, angle_col, distance_col)
+    out = change_count(pts, key_cols, order_col, angle_col, lambda prev, cur: cur < prev, out_col,
+                       first_prev=F.lit(0.0), start_col="_new_scan", bucket_width=bucket_width,
+                       prev_cols=["x", "y"], prev_prefix="_p_")
+    seg = F.when(~F.col("_new_scan") & F.col("_p_x").isNotNull(),
+                 geometry.vector_distance("x", "y", "_p_x", "_p_y"))
+    return (out.withColumn(out_col, F.col(out_col).cast("int")).withColumn("segment", seg)
+            .drop("_new_scan", "_p_x", "_p_y"))
+
+
+def segments_of(points: DataFrame, key_cols: Sequence[str] = (), order_col: str = "seq",
+                scan_col: str = "scan") -> DataFrame:
+    """The segment rows of ``scan_points`` output, shaped like ``scan_segment_distance``."""
+    return points.filter(F.col("segment").isNotNull()).select(
+        *key_cols, scan_col, order_col, F.col("segment").alias("distance"))
+
+
 def scan_total_distance(segments: DataFrame, key_cols: Sequence[str] = (), scan_col: str = "scan") -> DataFrame:
     """Path length per rotation: sum of its segments (partial aggregation before the shuffle)."""
     return segments.groupBy(*key_cols, scan_col).agg(F.sum("distance").alias("distance"))
 
 
 def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = (), order_col: str = "seq",
-                               scan_col: str = "scan", bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                               scan_col: str = "scan", bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                               monotone: bool = False) -> DataFrame:
     """The totals a running-sum consumer of the segment stream emits, reproduced exactly.
 
     The consumer starts in rotation 0 with sum 0. On a segment of another rotation it emits
@@ -74,8 +100,15 @@ def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = ()
     ``scan``, ``distance``.
 
     Runs come from one fused ``change_count`` pass; per-run sums are a partial aggregation; the
-    last run is the one without a successor (a semi join of the small runs table with itself)."""
+    last run is the one without a successor (a semi join of the small runs table with itself).
+
+    ``monotone=True`` declares that rotation ids never decrease along the order (true for the
+    output of ``scan_group`` / ``scan_points``): then every rotation is one run and the result
+    needs aggregates only — per rotation the sum, the first segment and the count, per key the
+    first and last rotation — and no ordered pass at all."""
     keys = list(key_cols)
+    if monotone:
+        return _legacy_monotone(segments, keys, order_col, scan_col)
     s = segments.select(*keys, order_col, scan_col, "distance")
     s = change_count(s, keys, order_col, scan_col, lambda prev, cur: cur != prev, "_run",
                      first_prev=None, start_col="_start", bucket_width=bucket_width)
@@ -93,17 +126,43 @@ def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = ()
     return emitted.unionByName(lead_zero)
 
 
+def _legacy_monotone(segments: DataFrame, keys: list[str], order_col: str, scan_col: str) -> DataFrame:
+    per_scan = materialize(segments.groupBy(*keys, scan_col).agg(
+        F.sum("distance").alias("_sum"), F.min_by(F.col("distance"), F.col(order_col)).alias("_first")))
+    w_keys = per_scan.groupBy(*keys).agg(F.min(scan_col).alias("_lo"), F.max(scan_col).alias("_hi"))
+    runs = (per_scan.join(w_keys, on=keys) if keys
+            else per_scan.withColumn("_lo", w_keys.select("_lo").scalar())
+            .withColumn("_hi", w_keys.select("_hi").scalar()))
+    # the leading run keeps its first segment only when it is rotation 0
+    keep_first = (F.col(scan_col) == F.col("_lo")) & (F.col(scan_col) == 0)
+    distance = F.when(keep_first, F.col("_sum")).otherwise(F.col("_sum") - F.col("_first"))
+    emitted = runs.filter(F.col(scan_col) < F.col("_hi")).select(
+        *keys, scan_col, distance.alias("distance"))
+    lead_zero = runs.filter((F.col(scan_col) == F.col("_lo")) & (F.col(scan_col) != 0)).select(
+        *keys, F.lit(0).cast("long").alias("emit_seq"), F.lit(0).cast("int").alias(scan_col),
+        F.lit(0.0).alias("distance"))
+    return _rank_scans(emitted, per_scan, keys, scan_col).unionByName(lead_zero)
+
+
+def _rank_scans(emitted: DataFrame, per_scan: DataFrame, keys: list[str], scan_col: str) -> DataFrame:
+    """``emit_seq`` = 1-based position of the rotation among the key's rotations with segments:
+    a running count over the small per-rotation table (bucketed, so no single task)."""
+    ranked = running_sum(per_scan.select(*keys, scan_col), keys, scan_col, {"emit_seq": F.lit(1)},
+                         bucket_width=1 << 16)
+    return emitted.join(ranked, on=[*keys, scan_col]).select(
+        *keys, F.col("emit_seq").cast("long").alias("emit_seq"), scan_col, "distance")
+
+
 def lidar_chain(lines: DataFrame, value_col: str = "value", order_col: str = "seq",
                    key_cols: Sequence[str] = (), min_quality: int = MIN_QUALITY,
                    bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """JSON scan lines -> decode (undecodable dropped) -> quality filter -> rotation ->
-    segments -> total path length per rotation, as one Spark plan."""
+    """JSON scan lines -> decode (undecodable dropped) -> quality filter -> rotation and
+    segments (one fused ordered pass) -> total path length per rotation."""
     dec = codecs.decode_lidar(lines, value_col)
     readings = dec.filter(F.col("decode_error").isNull()).select(*key_cols, order_col, "angle", "distance", "quality")
-    grouped = scan_group(lidar_quality_filter(readings, min_quality), key_cols, order_col,
+    points = scan_points(lidar_quality_filter(readings, min_quality), key_cols, order_col,
                          bucket_width=bucket_width)
-    seg = scan_segment_distance(grouped, key_cols, order_col, bucket_width=bucket_width)
-    return scan_total_distance(seg, key_cols)
+    return scan_total_distance(segments_of(points, key_cols, order_col), key_cols)
 
 
 def scan_frames(grouped: DataFrame, scan_col: str = "scan") -> DataFrame:

@@ -237,7 +237,8 @@ def q_scan_group_by_scanner(spark, sf):
 @register("scan_total_distance_by_scanner", _sql(["scanners"], """
     SELECT scanner, scan, round(sum(distance), 6) AS distance FROM sc_segments GROUP BY scanner, scan"""))
 def q_scan_total_distance_by_scanner(spark, sf):
-    seg = ld.scan_segment_distance(_scanner_grouped(spark, sf), ["scanner"])
+    lid = ld.lidar_quality_filter(V.lidar(V.events(spark, sf), with_scanner=True))
+    seg = ld.segments_of(ld.scan_points(lid, ["scanner"]), ["scanner"])
     return ld.scan_total_distance(seg, ["scanner"]).withColumn("distance", r6("distance"))
 
 
@@ -262,7 +263,9 @@ _TOTALS_SQL = _sql(_LIDAR, "SELECT scan, round(sum(distance), 6) AS distance FRO
 
 @register("scan_total_distance", _TOTALS_SQL)
 def q_scan_total_distance(spark, sf):
-    tot = ld.scan_total_distance(ld.scan_segment_distance(_grouped(spark, sf)))
+    # rotation index and segments in one fused ordered pass
+    pts = ld.scan_points(ld.lidar_quality_filter(_lidar(spark, sf)))
+    tot = ld.scan_total_distance(ld.segments_of(pts))
     return tot.withColumn("distance", r6("distance"))
 
 
@@ -279,7 +282,9 @@ def q_scan_total_distance(spark, sf):
     UNION ALL
     SELECT CAST(0 AS BIGINT), 0, 0.0 FROM runs WHERE run_id = 1 AND scan <> 0"""))
 def q_scan_total_distance_legacy(spark, sf):
-    leg = ld.scan_total_distance_legacy(ld.scan_segment_distance(_grouped(spark, sf)))
+    pts = ld.scan_points(ld.lidar_quality_filter(_lidar(spark, sf)))
+    # rotations from scan_points never decrease, so each rotation is one run
+    leg = ld.scan_total_distance_legacy(ld.segments_of(pts), monotone=True)
     return leg.withColumn("distance", r6("distance"))
 
 

@@ -124,7 +124,8 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order_col: str, value_col:
 
 def change_count(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
                  changed, out_col: str, first_prev: Column | None = None,
-                 start_col: str | None = None, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                 start_col: str | None = None, bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                 prev_cols: Sequence[str] = (), prev_prefix: str = "prev_") -> DataFrame:
     """``out_col`` = number of rows up to this one (per key, in order) where
     ``changed(previous value, value)`` holds — a segment index that increases at every change.
 
@@ -134,20 +135,30 @@ def change_count(df: DataFrame, keys: Sequence[str], order_col: str, value_col:
 
     One fused two-level pass: a window over ``(keys, bucket)`` counts local changes; a summary
     row per bucket keeps its first and last value and local count; a window over the summary
-    adds the changes at bucket boundaries and carries the counts; one join brings them back."""
+    adds the changes at bucket boundaries and carries the counts; one join brings them back.
+
+    ``prev_cols`` are also returned from the previous row of the key (``prev_prefix + c``, NULL
+    on the first row), carried across bucket boundaries by the same summary — a lag fused into
+    the same pass."""
     keys = list(keys)
+    prev_cols = list(prev_cols)
     v, o = F.col(value_col), F.col(order_col)
     b = _with_bucket(materialize(df), order_col, bucket_width, keys)
     w = Window.partitionBy(*_part(keys), F.col(BUCKET)).orderBy(o)
     prev = F.lag(v, 1).over(w)
     b = b.withColumn("_first_in_bkt", F.lag(o, 1).over(w).isNull())
+    for c in prev_cols:
+        b = b.withColumn(prev_prefix + c, F.lag(F.col(c), 1).over(w))
     b = b.withColumn("_chg", F.when(F.col("_first_in_bkt"), F.lit(0))
                      .otherwise(F.coalesce(changed(prev, v).cast("int"), F.lit(0))))
     b = b.withColumn("_local", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    tail = [F.max_by(F.struct(*[F.col(c).alias(c) for c in prev_cols]), o).alias("_tail")] if prev_cols else []
     summary = b.groupBy(*keys, BUCKET).agg(
-        F.min_by(v, o).alias("_first"), F.max_by(v, o).alias("_last"), F.sum("_chg").alias("_n"))
+        F.min_by(v, o).alias("_first"), F.max_by(v, o).alias("_last"), F.sum("_chg").alias("_n"), *tail)
     ws = Window.partitionBy(*_part(keys)).orderBy(F.col(BUCKET))
     prev_last = F.lag("_last", 1).over(ws)
+    if prev_cols:
+        summary = summary.withColumn("_prev_tail", F.lag("_tail", 1).over(ws))
     if first_prev is None:
         at_start = F.lit(1)
     else:
@@ -156,7 +167,7 @@ def change_count(df: DataFrame, keys: Sequence[str], order_col: str, value_col:
         F.coalesce(changed(prev_last, F.col("_first")).cast("int"), F.lit(0))).cast("long")
     summary = summary.withColumn("_boundary", boundary)
     carry = summary.select(
-        *keys, BUCKET, "_boundary",
+        *keys, BUCKET, "_boundary", *(["_prev_tail"] if prev_cols else []),
         (F.coalesce(F.sum(F.col("_n") + F.col("_boundary"))
                     .over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
          + F.col("_boundary")).alias("_carry"))
@@ -165,4 +176,7 @@ def change_count(df: DataFrame, keys: Sequence[str], order_col: str, value_col:
     if start_col:
         out = out.withColumn(start_col, F.when(F.col("_first_in_bkt"), F.col("_boundary") == 1)
                              .otherwise(F.col("_chg") == 1))
-    return out.drop(BUCKET, "_first_in_bkt", "_chg", "_local", "_carry", "_boundary")
+    for c in prev_cols:
+        out = out.withColumn(prev_prefix + c, F.when(F.col("_first_in_bkt"), F.col("_prev_tail")[c])
+                             .otherwise(F.col(prev_prefix + c)))
+    return out.drop(BUCKET, "_first_in_bkt", "_chg", "_local", "_carry", "_boundary", "_prev_tail")

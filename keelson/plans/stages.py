@@ -48,25 +48,46 @@ def is_costly(df: DataFrame) -> bool:
     return any(op.startswith(c) for op in ops for c in _COSTLY)
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame, force: bool = False) -> DataFrame:
     """Cut lineage before ``df`` is consumed more than once.
 
     Spark plans are trees: a DataFrame read by two branches is computed twice unless both
     branches end in an identical exchange, which column pruning usually prevents. Two-level
     scans read their input twice, so chaining them would multiply the upstream work. Writing
-    the input once with a reliable ``checkpoint`` into the shared ``spark.checkpoint.dir``
-    (``keelson.session.checkpoint_root``) keeps the cost linear and survives executor loss.
+    the input once as a Parquet table in the shared ``spark.checkpoint.dir``
+    (``keelson.session.checkpoint_root``) keeps the cost linear, survives executor loss, and lets
+    each reader scan only the columns it needs (Parquet is columnar; an RDD checkpoint is not).
+    ``release_materialized`` deletes the tables of a session when its job is done.
 
     Skipped for streaming frames, for inputs that are only scans and per-row work (unless
     ``force``), and when the session sets ``keelson.materialize=never``."""
-    from keelson.session import checkpoint_root
+    from keelson.session import fresh_path
 
     if df.isStreaming:
         return df
     spark = df.sparkSession
-    if spark.conf.get("keelson.materialize", "auto") == "never":
-        return df
-    if not force and not is_costly(df):
+    mode = spark.conf.get("keelson.materialize", "auto")
+    if mode == "never" or (not force and not is_costly(df)):
         return df
-    checkpoint_root(spark)
-    return df.checkpoint(eager=True)
+    if mode == "checkpoint":
+        from keelson.session import checkpoint_root
+        checkpoint_root(spark)
+        return df.checkpoint(eager=True)
+    path = fresh_path(spark, "materialized")
+    df.write.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.parquet(path)
+
+
+def release_materialized(spark) -> int:
+    """Delete the tables ``materialize`` wrote for this application; returns how many."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm = spark._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)

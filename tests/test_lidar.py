@@ -96,3 +96,43 @@ def test_decode_truncates_quality(spark):
 def test_encode_shape(spark):
     v = codecs.encode_lidar(_df(spark, [(1, 10.0, 100.0, 20)])).first().value
     assert v == '{"winkel":10.0,"distanz":100.0,"qualitaet":20}'
+
+
+@pytest.mark.parametrize("bw", [1, 3, 1 << 20])
+def test_scan_points_equals_separate_passes(spark, bw):
+    df = ld.lidar_quality_filter(_df(spark))
+    pts = ld.scan_points(df, bucket_width=bw)
+    assert sorted((r.seq, r.scan) for r in pts.collect()) == sorted(
+        (r.seq, r.scan) for r in ld.scan_group(df).collect())
+    got = sorted((r.scan, r.seq, round(r.distance, 6)) for r in ld.segments_of(pts).collect())
+    exp = sorted((r.scan, r.seq, round(r.distance, 6)) for r in ld.scan_segment_distance(ld.scan_group(df)).collect())
+    assert got == exp
+
+
+def test_scan_points_fixture_keyed(spark):
+    from keelson.plans import views as V
+    df = ld.lidar_quality_filter(V.lidar(V.events(spark, "/root/testdata/sf0.01"), with_scanner=True))
+    a = ld.segments_of(ld.scan_points(df, ["scanner"], bucket_width=97), ["scanner"])
+    b = ld.scan_segment_distance(ld.scan_group(df, ["scanner"]), ["scanner"])
+    rows = lambda d: sorted((r.scanner, r.scan, r.seq, round(r.distance, 6)) for r in d.collect())
+    assert rows(a) == rows(b)
+
+
+@pytest.mark.parametrize("drop_g0", [False, True])
+def test_legacy_monotone_equals_generic(spark, drop_g0):
+    from keelson.plans import views as V
+    df = ld.lidar_quality_filter(V.lidar(V.events(spark, "/root/testdata/sf0.01"), with_scanner=True))
+    seg = ld.segments_of(ld.scan_points(df, ["scanner"]), ["scanner"])
+    if drop_g0:
+        seg = seg.filter("scan > 0")
+    rows = lambda d: sorted((r.scanner, r.emit_seq, r.scan, round(r.distance, 6)) for r in d.collect())
+    assert rows(ld.scan_total_distance_legacy(seg, ["scanner"], monotone=True)) == rows(
+        ld.scan_total_distance_legacy(seg, ["scanner"]))
+
+
+def test_legacy_recurring_group_generic(spark):
+    # a stream where rotation 1 recurs after rotation 2: the generic fold treats it as a new run
+    seg = spark.createDataFrame([(1, 0, 1.0), (2, 0, 2.0), (3, 1, 4.0), (4, 1, 8.0), (5, 2, 16.0),
+                                 (6, 1, 32.0), (7, 1, 64.0), (8, 3, 128.0)], "seq long, scan int, distance double")
+    got = sorted((r.emit_seq, r.scan, r.distance) for r in ld.scan_total_distance_legacy(seg).collect())
+    assert got == [(1, 0, 3.0), (2, 1, 8.0), (3, 2, 0.0), (4, 1, 64.0)]
