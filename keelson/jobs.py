@@ -36,9 +36,9 @@ from keelson.streaming import eos
 def _lidar_totals(spark, a):
     readings = topics.read_lidar_scans(spark, a.input)
     good, _ = codecs.split_decoded(readings)
-    grouped = lidar.scan_group(lidar.lidar_quality_filter(good), ["file"])
-    seg = lidar.scan_segment_distance(grouped, ["file"])
-    out = (lidar.scan_total_distance_legacy(seg, ["file"]) if a.legacy
+    points = lidar.scan_points(lidar.lidar_quality_filter(good), ["file"])
+    seg = lidar.segments_of(points, ["file"])
+    out = (lidar.scan_total_distance_legacy(seg, ["file"], monotone=True) if a.legacy
            else lidar.scan_total_distance(seg, ["file"]))
     out.write.mode(a.mode).parquet(a.output)
 
