@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions import codecs, formats
 from keelson.operators import admission, audit, cep, lidar, traffic, vehicles
-from keelson.plans.stages import release_materialized
+from keelson.plans.stages import materialized_mark, release_materialized
 from keelson.session import build_session, fresh_path
 from keelson.sources import topics
 from keelson.streaming import eos
@@ -135,10 +135,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--threshold", type=float, default=20.0)
     a = p.parse_args(argv)
     spark = build_session(app_name=f"keelson-{a.job}")
+    mark = materialized_mark(spark)
     try:
         JOBS[a.job](spark, a)
     finally:
-        release_materialized(spark)  # intermediate tables of this job in spark.checkpoint.dir
+        release_materialized(spark, since=mark)  # this job's intermediates in spark.checkpoint.dir
 
 
 if __name__ == "__main__":

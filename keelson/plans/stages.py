@@ -82,9 +82,16 @@ def materialize(df: DataFrame, force: bool = False) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def release_materialized(spark) -> int:
-    """Delete the tables ``materialize`` wrote for this application; returns how many."""
-    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+def materialized_mark(spark) -> int:
+    """A marker for ``release_materialized(spark, since=...)``: tables written from now on."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def release_materialized(spark, since: int = 0) -> int:
+    """Delete the tables ``materialize`` wrote for this application after the ``since`` marker
+    (default: all of them); returns how many were deleted."""
+    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    paths, written[since:] = written[since:], []
     jvm = spark._jvm
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     for path in paths:
