@@ -302,3 +302,30 @@ def test_dedupe_stream_drops_redelivered_mids(spark):
     stream = spark.readStream.schema(routed.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     out = _drain(spark, eos.dedupe_stream(stream), "dedupe_out")
     assert out.count() == 1000 and out.select("mid").distinct().count() == 1000
+
+
+def test_lidar_chain_stream_equals_batch(spark):
+    from keelson.operators import lidar as ld
+    from keelson.streaming.lidar import lidar_chain_stream
+    lid = ld.lidar_quality_filter(V.lidar(V.events(spark, "/root/testdata/sf0.01"), with_scanner=True)).select(
+        "scanner", "seq", "angle", "distance")
+    pdf = lid.toPandas()
+    folder = tempfile.mkdtemp(prefix="lidar-stream-")
+    _write_chunks(pdf, folder, 4)
+    # one closing reading per scanner: its angle drops, which closes the last rotation
+    closing = pd.DataFrame({"scanner": [0, 1, 2, 3], "seq": [10**7 + k for k in range(4)],
+                            "angle": [-1.0] * 4, "distance": [1.0] * 4}).astype(pdf.dtypes.to_dict())
+    _write_chunks(closing, folder, 1, stamp=100, name="close")
+    stream = spark.readStream.schema(lid.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    out = _drain(spark, lidar_chain_stream(stream, ["scanner"]), "lidar_stream_out")
+    seg = ld.scan_segment_distance(ld.scan_group(lid, ["scanner"]), ["scanner"])
+    r6 = lambda v: round(v, 6)
+    got_seg = sorted((r.scanner, r.scan, r.seq, r6(r.distance)) for r in out.filter("kind = 'segment'").collect())
+    assert got_seg == sorted((r.scanner, r.scan, r.seq, r6(r.distance)) for r in seg.collect())
+    got_tot = sorted((r.scanner, r.scan, r6(r.distance)) for r in out.filter("kind = 'total'").collect())
+    exp_tot = sorted((r.scanner, r.scan, r6(r.distance)) for r in ld.scan_total_distance(seg, ["scanner"]).collect())
+    assert got_tot == exp_tot
+    got_leg = sorted((r.scanner, r.emit_seq, r.scan, r6(r.distance)) for r in out.filter("kind = 'legacy'").collect())
+    exp_leg = sorted((r.scanner, r.emit_seq, r.scan, r6(r.distance))
+                     for r in ld.scan_total_distance_legacy(seg, ["scanner"]).collect())
+    assert got_leg == exp_leg and len(exp_leg) > 50
