@@ -35,10 +35,11 @@ DEFAULT_BUCKET_WIDTH = 1 << 18
 
 
 def _with_bucket(df: DataFrame, order_col: str, bucket_width: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Add the bucket column and hash-partition on ``(keys, bucket)`` once, explicitly. Both
-    branches of a two-level scan (row window and bucket summary) then read the same exchange,
-    which Spark reuses: the rows are shuffled once. Without it, column pruning gives the two
-    branches different exchanges and the input is shuffled twice (measured: 3.4x slower)."""
+    """Add the bucket column and hash-partition on ``(keys, bucket)`` once, explicitly. When both
+    branches of a two-level scan (row window and bucket summary) need the same columns they read
+    the same exchange, which Spark reuses, and the rows are shuffled once (measured 3.4x faster
+    than two independently planned shuffles); otherwise the summary branch shuffles only its
+    narrow columns."""
     b = df.withColumn(BUCKET, F.floor(F.col(order_col) / F.lit(bucket_width)).cast("long"))
     return b.repartition(*[F.col(k) for k in keys], F.col(BUCKET))
 
