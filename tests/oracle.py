@@ -1,8 +1,8 @@
 """Run registered queries in Spark and their SQL in DuckDB and compare them.
 
 Usage: ``python tests/oracle.py [sf_dir] [name ...]``. Also used by ``tests/test_oracle.py``.
-Comparison: same column names, same row count, same multiset of rows after sorting columns by
-name and rounding doubles to 6 decimals.
+Comparison: same column names and types, same row count, same multiset of rows after sorting
+columns by name and rounding doubles to 6 decimals.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ def duck(sf_dir: str):
     return con
 
 
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -59,6 +62,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
     problems = []
     if sorted(scols) != sorted(dcols):
         problems.append(f"columns spark={scols} duck={dcols}")
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    duck_types = {d[0]: str(d[1]) for d in res.description}
+    type_diffs = {k: (v, duck_types.get(k)) for k, v in spark_types.items() if v != duck_types.get(k)}
+    if type_diffs:
+        problems.append(f"types differ {type_diffs}")
     if len(srows) != len(drows):
         problems.append(f"rows spark={len(srows)} duck={len(drows)}")
     if not problems:
