@@ -79,3 +79,66 @@ def admit_from_log(history_cmds: DataFrame, pending: DataFrame) -> DataFrame:
     """Project the snapshot from a command log, then judge ``pending`` against it."""
     hist = project_vehicles(history_cmds)
     return admit_commands_snapshot(pending, hist)
+
+
+# ---------------------------------------------------------------- the rules one by one
+# Building blocks with the same semantics as the single-pass job above. Each takes commands
+# (``seq, type, name, x, y``) and the snapshot ``state`` (``vehicles``) and returns the commands
+# it applies to with a ``verdict`` column: the rule's verdict, or NULL when the rule passes.
+
+def _live(state: DataFrame) -> DataFrame:
+    return state.select("name", F.col("x").alias("_cx"), F.col("y").alias("_cy"), "moves",
+                        F.lit(True).alias("_live"))
+
+
+def reject_duplicate_create(cmds: DataFrame, state: DataFrame) -> DataFrame:
+    """Creates of a live name -> 'duplicate_create' (left join flag: semi and anti in one pass)."""
+    c = cmds.filter(F.col("type") == "create").join(_live(state).select("name", "_live"), "name", "left")
+    return c.withColumn("verdict", F.when(F.col("_live"), F.lit("duplicate_create"))).drop("_live")
+
+
+def reject_unknown_remove(cmds: DataFrame, state: DataFrame) -> DataFrame:
+    """Removes of an absent name -> 'unknown_remove'."""
+    c = cmds.filter(F.col("type") == "remove").join(_live(state).select("name", "_live"), "name", "left")
+    return c.withColumn("verdict", F.when(F.col("_live").isNull(), F.lit("unknown_remove"))).drop("_live")
+
+
+def reject_unknown_move(cmds: DataFrame, state: DataFrame) -> DataFrame:
+    """Moves of an absent name -> 'unknown_move'."""
+    c = cmds.filter(F.col("type") == "move").join(_live(state).select("name", "_live"), "name", "left")
+    return c.withColumn("verdict", F.when(F.col("_live").isNull(), F.lit("unknown_move"))).drop("_live")
+
+
+def reject_zero_move(moves: DataFrame) -> DataFrame:
+    """Moves by the vector (0, 0) -> 'zero_move'."""
+    return moves.withColumn("verdict", F.when((F.col("x") == 0) & (F.col("y") == 0), F.lit("zero_move")))
+
+
+def motion_limit_to_remove(moves: DataFrame, state: DataFrame, max_moves: int = MAX_MOVES) -> DataFrame:
+    """Moves of a vehicle that already moved ``max_moves`` times -> 'motion_limit' (emits a remove)."""
+    c = moves.join(_live(state).select("name", "moves"), "name", "inner")
+    return c.withColumn("verdict", F.when(F.col("moves") >= max_moves, F.lit("motion_limit"))).drop("moves")
+
+
+def revisit_to_remove(moves: DataFrame, history: DataFrame, state: DataFrame,
+                      radius: float = CLOSENESS) -> DataFrame:
+    """Moves whose target is within ``radius`` of an earlier (not the current) position of the
+    same vehicle -> 'revisit' (emits a remove). Semi join on ``(name, grid cell)``."""
+    c = (moves.join(_live(state), "name", "inner")
+         .withColumn("_nx", F.col("_cx") + F.col("x")).withColumn("_ny", F.col("_cy") + F.col("y")))
+    c = proximity.proximity_exists(
+        c, materialize(history).select("name", "pos_idx", "x", "y"), radius, "_revisit", ["seq"],
+        left_xy=("_nx", "_ny"), right_xy=("x", "y"), keys=["name"], left_cols=["moves"],
+        extra=lambda: F.col("_r_pos_idx") < F.col("moves"))
+    return (c.withColumn("verdict", F.when(F.col("_revisit"), F.lit("revisit")))
+            .drop("_cx", "_cy", "moves", "_live", "_nx", "_ny", "_revisit"))
+
+
+def remove_obstacles(moves: DataFrame, state: DataFrame, radius: float = CLOSENESS) -> DataFrame:
+    """For each move, the other vehicles within ``radius`` of its target: rows ``seq, name``
+    (the obstacle), each to be removed before the move. Grid equi-join, mover excluded."""
+    c = (moves.join(_live(state).select("name", "_cx", "_cy"), "name", "inner")
+         .select("seq", "name", (F.col("_cx") + F.col("x")).alias("_nx"), (F.col("_cy") + F.col("y")).alias("_ny")))
+    others = state.select(F.col("name").alias("_oname"), F.col("x").alias("_ox"), F.col("y").alias("_oy"))
+    hits = proximity.proximity_join(c, others, radius, left_xy=("_nx", "_ny"), right_xy=("_ox", "_oy"))
+    return hits.filter(F.col("_oname") != F.col("name")).select("seq", F.col("_oname").alias("name"))

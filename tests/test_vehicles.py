@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from keelson.functions import codecs
 from keelson.operators import admission, proximity, vehicles as vh
@@ -136,3 +137,33 @@ def test_apply_commands_on_fixture(spark):
     b = vh.apply_commands(a, cmds.filter("seq >= 3000 AND seq < 7000"))
     c = vh.apply_commands(b, cmds.filter("seq >= 7000"))
     assert sorted(tuple(r) for r in c.select("name", "pos_idx", "x", "y").collect()) == full
+
+
+def test_rules_one_by_one_equal_single_pass(spark):
+    from keelson.plans import views as V
+    cmds = V.vehicle_commands(V.events(spark, "/root/testdata/sf0.01"))
+    hist_cmds, pending = V.split_commands(cmds)
+    history = vh.project_vehicles(hist_cmds)
+    state = vh.vehicles(history)
+    full = admission.admit_commands_snapshot(pending, history)
+    by_verdict = {}
+    for r in full.collect():
+        by_verdict.setdefault(r.verdict, set()).add((r.seq, r.name))
+
+    def flagged(df, verdict):
+        return {(r.seq, r.name) for r in df.filter(F.col("verdict") == verdict).collect()}
+
+    assert flagged(admission.reject_duplicate_create(pending, state), "duplicate_create") == by_verdict["duplicate_create"]
+    assert flagged(admission.reject_unknown_remove(pending, state), "unknown_remove") == by_verdict["unknown_remove"]
+    moves = admission.reject_unknown_move(pending, state)
+    assert flagged(moves, "unknown_move") == by_verdict["unknown_move"]
+    moves = admission.reject_zero_move(moves.filter(F.col("verdict").isNull()).drop("verdict"))
+    assert flagged(moves, "zero_move") == by_verdict["zero_move"]
+    moves = admission.motion_limit_to_remove(moves.filter(F.col("verdict").isNull()).drop("verdict"), state)
+    assert flagged(moves, "motion_limit") == by_verdict["motion_limit"]
+    moves = admission.revisit_to_remove(moves.filter(F.col("verdict").isNull()).drop("verdict"), history, state)
+    assert flagged(moves, "revisit") == by_verdict["revisit"]
+    movers = moves.filter(F.col("verdict").isNull()).drop("verdict")
+    assert {(r.seq, r.name) for r in movers.collect()} == by_verdict["move"]
+    obstacles = {(r.seq, r.name) for r in admission.remove_obstacles(movers, state).collect()}
+    assert obstacles == by_verdict["obstacle"] and len(obstacles) > 100
