@@ -177,3 +177,39 @@ def windowed_text_sink(lines: DataFrame, path: str, window_col: str = "window_st
 def dual_sink(routed: DataFrame, path: str) -> None:
     """OUT and BAD in one write partitioned by ``route``: both routes commit together."""
     routed.write.mode("append").partitionBy("route").parquet(path)
+
+
+# ---------------------------------------------------------------- operation names of the blueprint
+
+def lidar_scan_source(spark: SparkSession, path: str) -> DataFrame:
+    """Scan file of JSON lines, in file order (``read_lidar_scans``)."""
+    return read_lidar_scans(spark, path)
+
+
+def traffic_line_source(spark: SparkSession, path: str, topic: str = "traffic-data") -> DataFrame:
+    """Traffic text lines as topic records (``read_traffic_file``)."""
+    return read_traffic_file(spark, path, topic)
+
+
+def topic_source(spark: SparkSession, root: str, topic: str, kafka_servers: str | None = None) -> DataFrame:
+    """All records of a topic from the earliest offset, re-read on every run (``read_topic``)."""
+    return read_topic(spark, root, topic, kafka_servers)
+
+
+def topic_source_committed(spark: SparkSession, root: str, topic: str, kafka_servers: str | None = None,
+                           max_per_trigger: int = MAX_RECORDS_PER_POLL) -> DataFrame:
+    """Committed records only, at most ``max_per_trigger`` per micro-batch, progress in the
+    query checkpoint (``read_topic_stream``)."""
+    return read_topic_stream(spark, root, topic, kafka_servers, max_per_trigger, committed_only=True)
+
+
+def topic_sink(df: DataFrame, root: str, topic: str, value_col: str = "value",
+               kafka_servers: str | None = None) -> None:
+    """Append string values with a NULL key (``publish``)."""
+    publish(df, root, topic, value_col, kafka_servers=kafka_servers)
+
+
+def topic_sink_with_event_time(df: DataFrame, root: str, topic: str, ts_col: str, value_col: str = "value",
+                               kafka_servers: str | None = None) -> None:
+    """Append values with each row's own event time as record timestamp (``publish``)."""
+    publish(df, root, topic, value_col, ts_col=ts_col, kafka_servers=kafka_servers)

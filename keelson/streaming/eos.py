@@ -47,3 +47,8 @@ def dedupe_stream(outputs: DataFrame, delay: str = "10 minutes", mid_col: str =
     """Consumer-side guard for at-least-once sinks: drop repeated message ids that arrive within
     ``delay`` of each other (state is bounded by the watermark, unlike a plain dropDuplicates)."""
     return outputs.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([mid_col])
+
+
+def eos_read_process_write(records: DataFrame, out_path: str, checkpoint: str, **kwargs) -> StreamingQuery:
+    """The exactly-once read-process-write loop (``start_routing``)."""
+    return start_routing(records, out_path, checkpoint, **kwargs)
