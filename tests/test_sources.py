@@ -88,3 +88,15 @@ def test_text_line_order_across_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [f"line-{i:06d}" for i in range(n)]
+
+
+def test_blueprint_named_sources_and_sinks(spark):
+    root = tempfile.mkdtemp(prefix="named-")
+    df = spark.createDataFrame([(1, "a", "2025-10-03 05:22:40"), (2, "b", "2025-10-03 05:22:41")],
+                               "seq long, value string, t string").withColumn("ts", F.to_timestamp("t"))
+    topics.topic_sink(df, root, "plain")
+    topics.topic_sink_with_event_time(df, root, "timed", ts_col="ts")
+    assert sorted(r.value for r in topics.topic_source(spark, root, "plain").collect()) == ["a", "b"]
+    timed = topics.topic_source(spark, root, "timed").orderBy("value").collect()
+    assert [str(r.timestamp) for r in timed] == ["2025-10-03 05:22:40", "2025-10-03 05:22:41"]
+    assert topics.topic_source_committed(spark, root, "plain").isStreaming
