@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,16 +70,28 @@ class VehicleFoldProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         live, x, y, moves, last = (self.state.get() if self.state.exists() else (False, None, None, 0, None))
         for pdf in _ordered_chunks(rows, self.presorted):
-            for t, s, cx, cy in zip(pdf["type"], pdf["seq"], pdf["x"], pdf["y"]):
-                if t == "create":
-                    live, x, y, moves = True, float(cx), float(cy), 0
-                elif t == "move" and live:
-                    x, y, moves = x + float(cx), y + float(cy), moves + 1
-                elif t == "remove":
-                    live, x, y, moves = False, None, None, 0
+            # vectorised per chunk: the last create/remove decides; moves after it add up
+            t = pdf["type"].to_numpy()
+            seq = pdf["seq"].to_numpy(dtype="int64")
+            vx = pdf["x"].to_numpy(dtype="float64")
+            vy = pdf["y"].to_numpy(dtype="float64")
+            marks = np.flatnonzero((t == "create") | (t == "remove"))
+            if len(marks):
+                m = int(marks[-1])
+                if t[m] == "create":
+                    live, x, y, moves = True, float(vx[m]), float(vy[m]), 0
                 else:
-                    continue
-                last = int(s)
+                    live, x, y, moves = False, None, None, 0
+                last = int(seq[m])
+                tail = slice(m + 1, None)
+            else:
+                tail = slice(0, None)
+            mv = t[tail] == "move"
+            if live and mv.any():
+                x = x + float(vx[tail][mv].sum())
+                y = y + float(vy[tail][mv].sum())
+                moves += int(mv.sum())
+                last = int(seq[tail][mv][-1])
         self.state.update((live, x, y, moves, last))
         yield pd.DataFrame([{"name": key[0], "live": live, "x": x, "y": y, "moves": moves, "last_seq": last}])
 
