@@ -329,3 +329,24 @@ def test_lidar_chain_stream_equals_batch(spark):
     exp_leg = sorted((r.scanner, r.emit_seq, r.scan, r6(r.distance))
                      for r in ld.scan_total_distance_legacy(seg, ["scanner"]).collect())
     assert got_leg == exp_leg and len(exp_leg) > 50
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as hst
+
+_coord = hst.sampled_from([-1.0, -0.5, -0.25, 0.0, 0.2, 0.25, 0.5, 0.7, 1.0, 1.5])
+_cmd = hst.tuples(hst.sampled_from(["create", "move", "move", "remove"]), hst.sampled_from(["A", "B", "C", "D"]),
+                  _coord, _coord)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(cmds=hst.lists(_cmd, min_size=1, max_size=40), worlds=hst.integers(1, 3))
+def test_ordered_admission_property(spark, cmds, worlds):
+    rows = [(i % worlds, i, t, n, None if t == "remove" else x, None if t == "remove" else y)
+            for i, (t, n, x, y) in enumerate(cmds)]
+    df = spark.createDataFrame(rows, "world_id int, seq long, type string, name string, x double, y double")
+    got = sorted((r.world_id, r.seq, r.sub_seq, r.verdict, r.name) for r in sv.admit_commands_ordered(df).collect())
+    exp = []
+    for w in range(worlds):
+        exp += [(w, *t) for t in _sequential_admission([(s, t, n, x, y) for ww, s, t, n, x, y in rows if ww == w])]
+    assert got == sorted(exp)
