@@ -334,7 +334,8 @@ def test_lidar_chain_stream_equals_batch(spark):
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as hst
 
-_coord = hst.sampled_from([-1.0, -0.5, -0.25, 0.0, 0.2, 0.25, 0.5, 0.7, 1.0, 1.5])
+# quarter multiples are exact in binary, so summation order cannot flip a test at exactly 0.5
+_coord = hst.sampled_from([-1.0, -0.5, -0.25, 0.0, 0.25, 0.5, 0.75, 1.0, 1.5])
 _cmd = hst.tuples(hst.sampled_from(["create", "move", "move", "remove"]), hst.sampled_from(["A", "B", "C", "D"]),
                   _coord, _coord)
 

@@ -167,3 +167,58 @@ def test_rules_one_by_one_equal_single_pass(spark):
     assert {(r.seq, r.name) for r in movers.collect()} == by_verdict["move"]
     obstacles = {(r.seq, r.name) for r in admission.remove_obstacles(movers, state).collect()}
     assert obstacles == by_verdict["obstacle"] and len(obstacles) > 100
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as hst
+
+# quarter multiples are exact in binary, so summation order cannot flip a test at exactly 0.5
+_c = hst.sampled_from([-1.0, -0.5, -0.25, 0.0, 0.25, 0.5, 0.75, 1.0])
+_command = hst.tuples(hst.sampled_from(["create", "move", "move", "remove"]), hst.sampled_from(["A", "B", "C"]), _c, _c)
+
+
+def _fold(rows):
+    veh = {}
+    for _, t, n, x, y in rows:
+        if t == "create":
+            veh[n] = [(x, y)]
+        elif t == "remove":
+            veh.pop(n, None)
+        elif n in veh:
+            px, py = veh[n][-1]
+            veh[n].append((px + x, py + y))
+    return veh
+
+
+def _snapshot_ref(history_rows, pending_rows, radius=0.5):
+    veh, out = _fold(history_rows), []
+    near = lambda a, b: ((a[0] - b[0]) ** 2 + (a[1] - b[1]) ** 2) ** 0.5 <= radius
+    for s, t, n, x, y in pending_rows:
+        if t == "create":
+            out.append((s, 0, "duplicate_create" if n in veh else "create", n))
+        elif t == "remove":
+            out.append((s, 0, "remove" if n in veh else "unknown_remove", n))
+        elif n not in veh:
+            out.append((s, 0, "unknown_move", n))
+        elif x == 0 and y == 0:
+            out.append((s, 0, "zero_move", n))
+        elif len(veh[n]) - 1 >= 5:
+            out.append((s, 0, "motion_limit", n))
+        else:
+            new = (veh[n][-1][0] + x, veh[n][-1][1] + y)
+            if any(near(p, new) for p in veh[n][:-1]):
+                out.append((s, 0, "revisit", n))
+            else:
+                out += [(s, 0, "obstacle", o) for o, h in veh.items() if o != n and near(h[-1], new)]
+                out.append((s, 1, "move", n))
+    return sorted(out)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(hist=hst.lists(_command, min_size=1, max_size=30), pend=hst.lists(_command, min_size=1, max_size=20))
+def test_snapshot_admission_property(spark, hist, pend):
+    fix = lambda rows, base: [(base + i, t, n, None if t == "remove" else x, None if t == "remove" else y)
+                              for i, (t, n, x, y) in enumerate(rows)]
+    h, p = fix(hist, 0), fix(pend, 1000)
+    out = admission.admit_commands_snapshot(_cmds(spark, p), vh.project_vehicles(_cmds(spark, h)))
+    assert sorted((r.seq, r.sub_seq, r.verdict, r.name) for r in out.collect()) == _snapshot_ref(h, p)
