@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from keelson.operators.admission import admit_commands_snapshot
 from keelson.operators.vehicles import apply_commands, project_vehicles
+from keelson.plans.stages import materialized_mark, release_materialized
 from keelson.session import path_exists
 
 LOG_COLS = ["seq", "type", "name", "x", "y"]
@@ -59,6 +60,7 @@ def snapshot_before(spark: SparkSession, snapshot_path: str, batch_id: int) -> D
 def judge_batch(pending: DataFrame, snapshot_path: str, log_path: str, verdict_path: str, batch_id: int) -> None:
     """Judge one micro-batch against the snapshot of earlier batches and record the outcome."""
     spark = pending.sparkSession
+    mark = materialized_mark(spark)
     history = snapshot_before(spark, snapshot_path, batch_id)
     verdicts = admit_commands_snapshot(pending.select(*LOG_COLS), history).persist()
     try:
@@ -70,6 +72,7 @@ def judge_batch(pending: DataFrame, snapshot_path: str, log_path: str, verdict_p
         _write_partition(new_history.select("name", "pos_idx", "x", "y"), snapshot_path, batch_id)
     finally:
         verdicts.unpersist()
+        release_materialized(spark, since=mark)  # this batch's intermediate tables
 
 
 def start_snapshot_admission(pending: DataFrame, root: str, checkpoint: str,
