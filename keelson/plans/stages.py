@@ -9,6 +9,8 @@ the parse runs once per row (the generator is part of whole-stage codegen).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +50,13 @@ def is_costly(df: DataFrame) -> bool:
     return any(op.startswith(c) for op in ops for c in _COSTLY)
 
 
-_WRITTEN: dict[str, list[str]] = {}
+# tables written by ``materialize``, per (application, thread): a job or micro-batch releases only
+# what its own thread wrote
+_WRITTEN: dict[tuple[str, int], list[str]] = {}
+
+
+def _owner(spark) -> tuple[str, int]:
+    return spark.sparkContext.applicationId, threading.get_ident()
 
 
 def materialize(df: DataFrame, force: bool = False) -> DataFrame:
@@ -78,19 +86,19 @@ def materialize(df: DataFrame, force: bool = False) -> DataFrame:
         return df.checkpoint(eager=True)
     path = fresh_path(spark, "materialized")
     df.write.parquet(path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _WRITTEN.setdefault(_owner(spark), []).append(path)
     return spark.read.parquet(path)
 
 
 def materialized_mark(spark) -> int:
     """A marker for ``release_materialized(spark, since=...)``: tables written from now on."""
-    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+    return len(_WRITTEN.get(_owner(spark), []))
 
 
 def release_materialized(spark, since: int = 0) -> int:
-    """Delete the tables ``materialize`` wrote for this application after the ``since`` marker
+    """Delete the tables ``materialize`` wrote in this thread after the ``since`` marker
     (default: all of them); returns how many were deleted."""
-    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    written = _WRITTEN.get(_owner(spark), [])
     paths, written[since:] = written[since:], []
     jvm = spark._jvm
     conf = spark._jsparkSession.sessionState().newHadoopConf()
