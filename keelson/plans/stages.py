@@ -1,10 +1,13 @@
-"""Compute expensive columns once.
+"""Compute things once: expensive columns within a plan, and whole inputs read twice.
 
-Catalyst pushes a filter through a projection by substituting the projected expressions into
+``computed_once`` — Catalyst pushes a filter through a projection by substituting the projected expressions into
 the filter, so a filter on a parsed column (``decode_error IS NULL``) re-runs the parser below
 the projection, and the projection runs it again. Producing the columns with a one-element
 ``inline`` generator stops that: a filter on generator output stays above the generator, and
 the parse runs once per row (the generator is part of whole-stage codegen).
+
+``materialize`` — a DataFrame read by two branches of a plan is computed twice; inputs that are
+the result of shuffles or parsing are written once to the shared checkpoint folder instead.
 """
 
 from __future__ import annotations
