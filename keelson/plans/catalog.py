@@ -252,6 +252,14 @@ def q_scan_group(spark, sf):
     return _grouped(spark, sf)
 
 
+@register("scan_points", _sql(_LIDAR, """
+    SELECT p.seq, p.angle, p.distance, p.quality, p.scan, round(s.distance, 6) AS segment
+    FROM grouped p LEFT JOIN segments s ON p.seq = s.seq"""))
+def q_scan_points(spark, sf):
+    pts = ld.scan_points(ld.lidar_quality_filter(_lidar(spark, sf)))
+    return pts.select("seq", "angle", "distance", "quality", "scan", r6("segment").alias("segment"))
+
+
 @register("scan_segment_distance", _sql(_LIDAR, "SELECT scan, seq, round(distance, 6) AS distance FROM segments"))
 def q_scan_segment_distance(spark, sf):
     seg = ld.scan_segment_distance(_grouped(spark, sf))
@@ -414,6 +422,13 @@ def q_project_vehicles(spark, sf):
     return _history(spark, sf)
 
 
+@register("project_vehicles_incremental", _sql(_PROJ, "SELECT * FROM history"))
+def q_project_vehicles_incremental(spark, sf):
+    # the first half of the log folded, then the second half applied incrementally
+    older, newer = V.split_commands(_cmds(spark, sf))
+    return vh.apply_commands(vh.project_vehicles(older), newer)
+
+
 @register("vehicles", _sql(_PROJ, "SELECT * FROM state"))
 def q_vehicles(spark, sf):
     return _state(spark, sf)
