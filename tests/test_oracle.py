@@ -20,7 +20,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from keelson.plans import catalog
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
 
 
 @pytest.mark.parametrize("name", NAMES)
