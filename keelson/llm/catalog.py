@@ -2,24 +2,55 @@
 
 from __future__ import annotations
 
-from keelson.llm import byte_bpe, exact_dedup
+import public_tokenizers as tokenizer_files
+from pyspark.sql import functions as F
+
+from keelson.llm import byte_bpe, exact_dedup, langid, packing, pii, simhash
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(n):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op1_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(langid.sample_of(docs.filter(fold(4) != 2)))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op2_simhash(spark, sf_dir):
+    return simhash.near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
 def op4_byte_bpe(spark, sf_dir):
-    import public_tokenizers as P
     return byte_bpe.encode_digest(_table(spark, sf_dir, "documents"),
-                                  P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+                                  tokenizer_files.path("byte_bpe_multi_50k.tiktoken"), tokenizer_files.PATTERN)
+
+
+def op7_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_files.path("word_bpe_49k.json"))
+
+
+def op10_pii(spark, sf_dir):
+    return pii.digest(_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_simhash, op3_exact_dedup, op4_byte_bpe, op7_packing,
+                                   op10_pii, pipeline)}
 
 ORACLE = {"op3_exact_dedup": """
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
