@@ -66,7 +66,8 @@ def train(sample: DataFrame) -> dict:
     score = emb @ w
     check = np.flatnonzero(held) if held.any() else fit
     z = x[check] @ score + bias
-    loss = [-np.log(_softmax(z / t)[np.arange(len(check)), y[check]] + 1e-12).mean() for t in (ts := np.geomspace(0.2, 8, 25))]
+    ts = np.geomspace(0.2, 8, 25)
+    loss = [-np.log(_softmax(z / t)[np.arange(len(check)), y[check]] + 1e-12).mean() for t in ts]
     t = float(ts[int(np.argmin(loss))])
     low = float(np.quantile(_softmax(z / t).max(axis=1), 0.001))
     return {"langs": langs, "score": score / t, "bias": bias / t, "reject_below": min(0.5, low)}
@@ -79,8 +80,6 @@ def sample_of(docs: DataFrame, n: int = SAMPLE) -> DataFrame:
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
     """``docs`` with lang_pred, score and rejected; the calibrated score is the largest probability."""
-    schema = docs.select("doc_id", "text").schema
-
     def one(text):
         if not model["langs"] or not has_letter(text):
             return "und", 0.0, True
@@ -92,6 +91,5 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
             got = [one(t) for t in b["text"]]
             yield pd.concat([b, pd.DataFrame(got, columns=["lang_pred", "score", "rejected"], index=b.index)], axis=1)
 
-    del schema
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInPandas(run, cols + ", lang_pred string, score double, rejected boolean")

@@ -52,8 +52,8 @@ def _luhn(digits: Column) -> Column:
 def _strict(kind: str, match: Column) -> Column:
     digits = F.regexp_replace(match, "[^0-9]", "")
     if kind == "ip":
-        return F.forall(F.split(match, r"\."), lambda p: (F.length(F.ltrim(F.lit("0"), p)) <= 3)
-                        & (F.coalesce(F.substring(F.ltrim(F.lit("0"), p), 1, 3).try_cast("int"), F.lit(0)) <= 255))
+        return F.forall(F.split(match, r"\."), lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3)
+                        & (F.coalesce(F.substring(F.ltrim(p, F.lit("0")), 1, 3).try_cast("int"), F.lit(0)) <= 255))
     if kind == "card":
         return F.when(F.length(digits).between(12, 19), _luhn(digits)).otherwise(False)
     if kind == "phone":
