@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers as tokenizer_files
 from pyspark.sql import functions as F
 
-from keelson.llm import byte_bpe, exact_dedup, langid, packing, pii, simhash
+from keelson.llm import ann, byte_bpe, exact_dedup, hmm, langid, licenses, packing, pii, simhash, toxicity
 
 
 def _table(spark, sf_dir, name):
@@ -36,10 +36,28 @@ def op4_byte_bpe(spark, sf_dir):
                                   tokenizer_files.path("byte_bpe_multi_50k.tiktoken"), tokenizer_files.PATTERN)
 
 
+def op5_license_scan(spark, sf_dir):
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op6_learned_partitions(spark, sf_dir):
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_files.path("word_bpe_49k.json"))
 
 
+def op8_hmm(spark, sf_dir):
+    return hmm.score(_table(spark, sf_dir, "documents"), fold(10) == 0)
+
+
+def op9_toxicity(spark, sf_dir):
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(toxicity.sample_of(docs, labels.filter(fold(5) != 0)))
+    return toxicity.score(docs, model).select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted", "offsets")
+
+
 def op10_pii(spark, sf_dir):
     return pii.digest(_table(spark, sf_dir, "documents"))
 
@@ -49,8 +67,8 @@ def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_simhash, op3_exact_dedup, op4_byte_bpe, op7_packing,
-                                   op10_pii, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_simhash, op3_exact_dedup, op4_byte_bpe, op5_license_scan,
+                                   op6_learned_partitions, op7_packing, op8_hmm, op9_toxicity, op10_pii, pipeline)}
 
 ORACLE = {"op3_exact_dedup": """
 WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm

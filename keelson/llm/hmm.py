@@ -76,11 +76,11 @@ def encode(docs: DataFrame, vocab: dict, held: Column) -> DataFrame:
                     share -= mass[ids[i] - SYMBOLS]
                 total = 0.0
                 for w, i in zip(ws, ids):
-                    c = head.get(w)
+                    c = head.get(w, 0 if w == END else None)
                     if c is None:
                         rest[w] += 1
                         continue
-                    known += 1
+                    known += c > 0
                     lc = np.log10(c + 0.1)
                     total += lc
                     if SYMBOLS <= i < SYMBOLS + CLASSES:
