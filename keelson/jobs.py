@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from keelson.functions import codecs, formats
 from keelson.operators import admission, audit, cep, lidar, traffic, vehicles
 from keelson.plans.stages import materialized_mark, release_materialized
-from keelson.session import build_session, fresh_path
+from keelson.session import build_session, path_exists
 from keelson.sources import topics
 from keelson.streaming import eos
 
@@ -60,7 +60,7 @@ def _traffic_averages(spark, a):
 def _traffic_jumps(spark, a):
     avgs = traffic.anchored_batch_avg_speed(_traffic_events(spark, a.input),
                                             origin_ms=a.origin_ms, with_idle=a.idle)
-    jumps = cep.speed_change(avgs, threshold=a.threshold)
+    jumps = cep.speed_change(avgs, threshold=a.threshold, order_col="batch_start_ms")
     jumps.select(formats.format_speed_change("sensor_id", "previous_speed", "current_speed").alias("value")) \
         .write.mode(a.mode).text(a.output)
 
@@ -81,10 +81,19 @@ def _admit(spark, a):
     admission.admit_commands_snapshot(good, hist).write.mode(a.mode).parquet(a.output)
 
 
+def _checkpoint(spark, a) -> str:
+    """The streaming checkpoint belongs to the output: by default it lies beside it, so a later run
+    goes on where the last one ended. A new checkpoint for an output that has rows would lose input."""
+    ckpt = a.checkpoint or f"{a.output.rstrip('/')}_checkpoint"
+    if path_exists(spark, f"{a.output}/_spark_metadata") and not path_exists(spark, ckpt):
+        raise ValueError(f"{a.output} was written with another checkpoint than {ckpt}; pass it with --checkpoint")
+    return ckpt
+
+
 def _admit_ordered(spark, a):
     from keelson.streaming import vehicles as sv
 
-    ckpt = a.checkpoint or fresh_path(spark, "admit-ordered")
+    ckpt = _checkpoint(spark, a)
     schema = spark.read.parquet(a.input).schema
     cmds = spark.readStream.schema(schema).option("maxFilesPerTrigger", a.max_per_trigger).parquet(a.input)
     q = (sv.admit_commands_ordered(cmds).writeStream.format("parquet").option("checkpointLocation", ckpt)
@@ -93,7 +102,7 @@ def _admit_ordered(spark, a):
 
 
 def _route(spark, a):
-    ckpt = a.checkpoint or fresh_path(spark, "route")
+    ckpt = _checkpoint(spark, a)
     src = topics.read_topic_stream(spark, a.topics, a.topic, max_per_trigger=a.max_per_trigger)
     q = eos.start_routing(src, a.output, ckpt, available_now=not a.continuous,
                           processing_time="10 seconds" if a.continuous else None)

@@ -25,16 +25,21 @@ def _cell_size(radius: float) -> float:
     return radius * (1 + 1e-9)
 
 
+def _cell(x: str, size: float) -> Column:
+    """Cell number, held within long range; distances are checked exactly afterwards."""
+    return F.floor(F.greatest(F.least(F.col(x) / size, F.lit(4e18)), F.lit(-4e18))).cast("long")
+
+
 def with_cell(df: DataFrame, x: str, y: str, radius: float, prefix: str = "_c") -> DataFrame:
     size = _cell_size(radius)
-    return (df.withColumn(prefix + "x", F.floor(F.col(x) / size).cast("long"))
-            .withColumn(prefix + "y", F.floor(F.col(y) / size).cast("long")))
+    return (df.withColumn(prefix + "x", _cell(x, size))
+            .withColumn(prefix + "y", _cell(y, size)))
 
 
 def with_neighbour_cells(df: DataFrame, x: str, y: str, radius: float, prefix: str = "_c") -> DataFrame:
     size = _cell_size(radius)
-    cx = F.floor(F.col(x) / size).cast("long")
-    cy = F.floor(F.col(y) / size).cast("long")
+    cx = _cell(x, size)
+    cy = _cell(y, size)
     cells = F.array(*[F.struct((cx + dx).alias("x"), (cy + dy).alias("y")) for dx, dy in _NEIGHBOURS])
     return (df.withColumn("_cell", F.explode(cells))
             .withColumn(prefix + "x", F.col("_cell.x")).withColumn(prefix + "y", F.col("_cell.y"))

@@ -30,8 +30,8 @@ SUB_SEQ_SLOTS = 2  # emitted commands of one pending command: obstacle removes (
 
 
 def _write_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    """Write a batch's folder itself, so that an empty frame also leaves a readable table."""
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def _batches(spark: SparkSession, path: str) -> list[int]:
@@ -51,7 +51,8 @@ def _batches(spark: SparkSession, path: str) -> list[int]:
 
 def snapshot_before(spark: SparkSession, snapshot_path: str, batch_id: int) -> DataFrame:
     """History rows of the read model as left by the last batch before ``batch_id``."""
-    earlier = [b for b in _batches(spark, snapshot_path) if b < batch_id]
+    earlier = [b for b in _batches(spark, snapshot_path)
+               if b < batch_id and path_exists(spark, f"{snapshot_path}/batch_id={b}/_SUCCESS")]
     if not earlier:
         return spark.createDataFrame([], HISTORY_SCHEMA)
     return spark.read.schema(HISTORY_SCHEMA).parquet(f"{snapshot_path}/batch_id={max(earlier)}")
@@ -68,7 +69,7 @@ def judge_batch(pending: DataFrame, snapshot_path: str, log_path: str, verdict_p
         emitted = verdicts.filter(F.col("type").isNotNull()).select(
             (F.col("seq") * SUB_SEQ_SLOTS + F.col("sub_seq")).alias("seq"), "type", "name", "x", "y")
         _write_partition(emitted, log_path, batch_id)
-        new_history = apply_commands(history, spark.read.parquet(f"{log_path}/batch_id={batch_id}"))
+        new_history = apply_commands(history, spark.read.schema(emitted.schema).parquet(f"{log_path}/batch_id={batch_id}"))
         _write_partition(new_history.select("name", "pos_idx", "x", "y"), snapshot_path, batch_id)
     finally:
         verdicts.unpersist()
