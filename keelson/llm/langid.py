@@ -3,7 +3,8 @@
 Subwords are byte pairs and triples of the lower-cased text (ASCII non-letters become spaces),
 hashed to ``BUCKETS``. Training: SGD in numpy on at most ``SAMPLE`` labelled rows (smallest hashes of
 doc_id); a fifth of them calibrates a temperature and the rejection threshold. Null texts and texts
-with no letter are ``und`` with score 0. Without labelled rows every text is ``und``.
+with no letter are ``und`` with score 0. Without labelled rows every text is ``und``. Extra columns have no part in a
+prediction; repeated rows get equal predictions; an id with several labelled rows counts once in training.
 """
 
 from __future__ import annotations
@@ -42,11 +43,18 @@ def _softmax(z):
 
 def train(sample: DataFrame) -> dict:
     """``sample``: doc_id, text, lang (bounded). The model: languages, weights, temperature, threshold."""
-    rows = [(r["lang"], features(r["text"])) for r in sample.collect() if has_letter(r["text"])]
-    langs = sorted({x for x, _ in rows})
+    def run(batches):
+        for b in batches:
+            b = b[b["text"].map(has_letter)]
+            yield pd.DataFrame({"lang": b["lang"], "f": [features(t).astype(np.float32).tobytes() for t in b["text"]]})
+
+    rows = sample.select("lang", "text").mapInPandas(run, "lang string, f binary").collect()  # 32 KiB a row
+    langs = sorted({r["lang"] for r in rows})
     if not langs:
         return {"langs": []}
-    x = np.array([f for _, f in rows])
+    rows = sorted((r["lang"], bytes(r["f"])) for r in rows)
+    np.random.default_rng(5).shuffle(rows)
+    x = np.array([np.frombuffer(f, np.float32) for _, f in rows])
     y = np.array([langs.index(a) for a, _ in rows])
     rng = np.random.default_rng(7)
     emb, w, bias = rng.normal(0, 0.1, (BUCKETS, DIM)), rng.normal(0, 0.1, (DIM, len(langs))), np.zeros(len(langs))
@@ -74,22 +82,33 @@ def train(sample: DataFrame) -> dict:
 
 
 def sample_of(docs: DataFrame, n: int = SAMPLE) -> DataFrame:
-    return (docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(n))
+    """At most ``n`` labelled rows, one for each id, smallest hashes first; ids are picked before texts are read."""
+    rows = docs.filter("lang IS NOT NULL").select("doc_id", "text", "lang")
+    some = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    one = rows.join(some, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("r"))
+    return one.select("doc_id", "r.text", "r.lang").orderBy("doc_id")
 
 
-def predict(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with lang_pred, score and rejected; the calibrated score is the largest probability."""
+def guess(model: dict):
+    """The prediction as a function of a text column: struct of lang_pred, score and rejected."""
     def one(text):
         if not model["langs"] or not has_letter(text):
             return "und", 0.0, True
         p = _softmax(features(text) @ model["score"] + model["bias"])
         return model["langs"][int(p.argmax())], float(min(p.max(), 1.0)), bool(p.max() < model["reject_below"])
 
-    def run(batches):
-        for b in batches:
-            got = [one(t) for t in b["text"]]
-            yield pd.concat([b, pd.DataFrame(got, columns=["lang_pred", "score", "rejected"], index=b.index)], axis=1)
+    @F.pandas_udf("lang_pred string, score double, rejected boolean")
+    def run(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(t) for t in text], columns=["lang_pred", "score", "rejected"])
+
+    return run
+
+
+def predict(docs: DataFrame, model: dict) -> DataFrame:
+    """doc_id, lang_pred, score and rejected; the calibrated score is the largest probability."""
+    return docs.select("doc_id", guess(model)("text").alias("g")).select("doc_id", "g.lang_pred", "g.score", "g.rejected")
+
 
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInPandas(run, cols + ", lang_pred string, score double, rejected boolean")
+def accepted(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose language is not rejected."""
+    return docs.filter(~guess(model)("text").getField("rejected"))
