@@ -89,12 +89,12 @@ def _found(text: Column, kind: str, pattern: str, strict: bool) -> Column:
     return F.when(F.size(hits) > 0, got).otherwise(empty)
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, base and loose arrays of spans sorted by start, then kind."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    order = lambda a: F.array_sort(F.transform(a, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["base"].alias("base"), s["gaz"].alias("gaz"), s["ctx"].alias("ctx"))))
+def found_in(text: Column) -> Column:
+    """Spans of a text, sorted by start, then kind."""
+    text = F.coalesce(text, F.lit(""))
     every = F.concat(*[_found(text, k, p, True) for k, p in BASE.items()], *[_found(text, k, p, False) for k, p in LOOSE.items()])
-    return docs.select("doc_id", order(every).alias("found"))
+    names = ("start", "kind", "end", "base", "gaz", "ctx")
+    return F.array_sort(F.transform(every, lambda s: F.struct(*[s[n].alias(n) for n in names])))
 
 
 def _sigmoid(z: float) -> float:
@@ -134,9 +134,8 @@ def train(found: DataFrame) -> list[float]:
     return w
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """doc_id, base and spans: arrays of (start, kind, end, ...)."""
-    found = materialize(candidates(docs), force=True)
+def spans(found: DataFrame) -> tuple[Column, Column]:
+    """The base spans and all spans, as columns of ``found`` (a table with the column ``found``)."""
     w = train(found)
 
     def accepted(s):
@@ -147,7 +146,7 @@ def spans(docs: DataFrame) -> DataFrame:
 
     base = F.filter("found", lambda s: s["base"])
     clear = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return found.select("doc_id", base.alias("base"), F.filter("found", lambda s: s["base"] | (accepted(s) & clear(s))).alias("spans"))
+    return base, F.filter("found", lambda s: s["base"] | (accepted(s) & clear(s)))
 
 
 def _joined(a) -> Column:
@@ -156,23 +155,33 @@ def _joined(a) -> Column:
 
 
 def digest(docs: DataFrame) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans; a row for every row of ``docs``."""
+    found = materialize(docs.select("doc_id", found_in(F.col("text")).alias("found")), force=True)
+    base, every = spans(found)
+    rows = found.select("doc_id", base.alias("base"), every.alias("spans"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-    return spans(docs).select("doc_id", *[count(k) for k in range(4)],
-                              F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+    return rows.select("doc_id", *[count(k) for k in range(4)],
+                       F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """Documents with every span replaced by its kind in brackets; n_chars follows the text."""
+    """``docs`` with every span replaced by its kind in brackets; n_chars follows a changed text. Rows travel whole
+    beside their spans, so repeated or null ids and any extra columns stay as they are."""
+    held = materialize(docs.select(F.struct("*").alias("doc"), found_in(F.col("text")).alias("found")), force=True)
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    old = F.col("doc").getField("text")
 
     def step(acc, s):
-        new = F.concat(acc["out"], F.substring(F.col("text"), acc["pos"] + 1, s["start"] - acc["pos"]), F.element_at(marks, s["kind"] + 1))
+        new = F.concat(acc["out"], F.substring(old, acc["pos"] + 1, s["start"].cast("int") - acc["pos"]), F.element_at(marks, s["kind"] + 1))
         return F.when(s["start"] >= acc["pos"], F.struct(s["end"].cast("int").alias("pos"), new.alias("out"))).otherwise(acc)
 
-    some = spans(docs).filter("size(spans) > 0").select("doc_id", F.transform("spans", lambda s: F.struct(s["start"].cast("int").alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).alias("_spans"))
-    done = F.aggregate("_spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step)
-    text = F.concat(done["out"], F.substring(F.col("text"), done["pos"] + 1, F.length("text")))
-    out = docs.join(some, "doc_id", "left").withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(text))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*docs.columns)
+    rows = held.select("doc", spans(held)[1].alias("spans"))
+    done = F.aggregate("spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step)
+    changed = F.size("spans") > 0
+    text = F.concat(done["out"], F.substring(old, done["pos"] + 1, F.length(old)))
+    rows = rows.select("doc", F.when(changed, text).otherwise(old).alias("new"), changed.alias("changed"))
+    out = {c: F.col("doc").getField(c) for c in docs.columns}
+    if "n_chars" in out:
+        kind = docs.schema["n_chars"].dataType
+        out["n_chars"] = F.when(F.col("changed"), F.length("new").cast(kind)).otherwise(out["n_chars"])
+    return rows.select(*[c.alias(n) for n, c in (out | {"text": F.col("new")}).items()])
