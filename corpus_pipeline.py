@@ -3,26 +3,31 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from keelson.llm import exact_dedup, langid, packing, pii, simhash
 from keelson.session import fresh_path
 
 
+def _rows_of(docs, kept):
+    """Rows of ``docs`` with an id of ``kept``; null is an id like any other, repeated ids share one fate."""
+    ids = kept.select(F.col("doc_id").alias("kept_id"))
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+
+
 def language_id(spark, docs, sf_dir):
     """Documents whose language is rejected go."""
     model = langid.train(langid.sample_of(docs))
-    return langid.predict(docs, model).filter("NOT rejected").select(*docs.columns)
+    return langid.accepted(docs, model)
 
 
 def exact(spark, docs, sf_dir):
-    kept = exact_dedup.exact_groups(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return _rows_of(docs, exact_dedup.exact_groups(docs).filter("kept"))
 
 
 def near(spark, docs, sf_dir):
     """The smallest doc_id of each group stays."""
-    kept = simhash.near_groups(docs).filter("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return _rows_of(docs, simhash.near_groups(docs).filter("doc_id <=> component_id"))
 
 
 def private(spark, docs, sf_dir):

@@ -3,7 +3,8 @@
 Texts are equal when identical after lower-casing A-Z; null counts as empty. Rows are grouped by a
 128-bit hash (MD5) of the normalised text. Only rows of groups with two or more members carry their
 text through a shuffle, where grouping by (hash, text) compares the bytes; a collision therefore
-gives two groups. Empty tables give empty results; extra columns are ignored; the ids must be unique.
+gives two groups. Empty tables give empty results; extra columns are ignored. Rows that repeat an id and its
+text share one fate; a null id stays only where no row of its group has an id.
 """
 
 from __future__ import annotations
@@ -35,4 +36,4 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keep_id = F.coalesce("keep_id", "doc_id")
     return out.select("doc_id", keep_id.alias("keep_id"),
                       F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-                      (keep_id == F.col("doc_id")).alias("kept"), "text_sha256")
+                      keep_id.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256")
