@@ -25,9 +25,9 @@ _LIDAR_WIRE = T.StructType([
     T.StructField("_corrupt_record", T.StringType()),
 ])
 _POS = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
-_GROUPED_WIRE = T.StructType([T.StructField("group", T.LongType()),
+_GROUPED_WIRE = T.StructType([T.StructField("group", T.DoubleType()),
                               T.StructField("data", T.StructType(_LIDAR_WIRE.fields[:3]))])
-_DISTANCE_WIRE = T.StructType([T.StructField("scan", T.LongType()), T.StructField("distance", T.DoubleType())])
+_DISTANCE_WIRE = T.StructType([T.StructField("scan", T.DoubleType()), T.StructField("distance", T.DoubleType())])
 _COMMAND_WIRE = T.StructType([
     T.StructField("type", T.StringType()), T.StructField("name", T.StringType()),
     T.StructField("startPosition", _POS), T.StructField("moveVector", _POS),
@@ -35,6 +35,13 @@ _COMMAND_WIRE = T.StructType([
 VEHICLE_TYPES = ("create", "move", "remove")
 
 
+def _parsed(value_col: str, wire: T.StructType, **options):
+    """``from_json`` without single quotes and NaN; a record whose text goes on after its last brace is NULL."""
+    value = F.col(value_col)
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    return F.when(value.rlike(r"\}\s*\z"), F.from_json(value, wire, strict | options))
+
+
 def _lidar_struct(angle="angle", distance="distance", quality="quality"):
     return F.struct(F.col(angle).alias(WINKEL), F.col(distance).alias(DISTANZ), F.col(quality).alias(QUALITAET))
 
@@ -47,8 +54,7 @@ def encode_lidar(df: DataFrame, out_col: str = "value") -> DataFrame:
 def decode_lidar(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``angle, distance, quality`` and ``decode_error``: 'malformed' (not JSON, or a field
     of the wrong type) or 'missing field'."""
-    j = F.from_json(F.col(value_col), _LIDAR_WIRE,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    j = _parsed(value_col, _LIDAR_WIRE, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
     out = computed_once(df, {"_j": j})
     q = F.col(f"_j.{QUALITAET}").try_cast("int")
     err = (F.when(F.col("_j").isNull() | F.col("_j._corrupt_record").isNotNull(), F.lit("malformed"))
@@ -64,10 +70,10 @@ def encode_lidar_grouped(df: DataFrame, scan_col: str = "scan", out_col: str = "
 
 
 def decode_lidar_grouped(df: DataFrame, value_col: str = "value") -> DataFrame:
-    j = F.from_json(F.col(value_col), _GROUPED_WIRE)
+    j = _parsed(value_col, _GROUPED_WIRE)
     out = computed_once(df, {"_j": j})
     q = F.col(f"_j.data.{QUALITAET}").try_cast("int")
-    scan = F.col("_j.group").try_cast("int")
+    scan = F.col("_j.group").try_cast("long")
     err = F.when(F.col("_j").isNull() | scan.isNull() | F.col(f"_j.data.{WINKEL}").isNull()
                  | F.col(f"_j.data.{DISTANZ}").isNull() | q.isNull(), F.lit("malformed"))
     return (out.withColumn("scan", scan).withColumn("angle", F.col(f"_j.data.{WINKEL}"))
@@ -80,9 +86,9 @@ def encode_lidar_distance(df: DataFrame, scan_col: str = "scan", out_col: str =
 
 
 def decode_lidar_distance(df: DataFrame, value_col: str = "value") -> DataFrame:
-    j = F.from_json(F.col(value_col), _DISTANCE_WIRE)
+    j = _parsed(value_col, _DISTANCE_WIRE)
     out = computed_once(df, {"_j": j})
-    scan = F.col("_j.scan").try_cast("int")
+    scan = F.col("_j.scan").try_cast("long")
     err = F.when(F.col("_j").isNull() | scan.isNull() | F.col("_j.distance").isNull(), F.lit("malformed"))
     return (out.withColumn("scan", scan).withColumn("distance", F.col("_j.distance"))
             .withColumn("decode_error", err).drop("_j"))
@@ -102,7 +108,7 @@ def encode_vehicle_commands(df: DataFrame, out_col: str = "value") -> DataFrame:
 def decode_vehicle_commands(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``type, name, x, y`` (start position for create, vector for move) and
     ``decode_error``; an unknown type or malformed JSON is an error (ignored by projections)."""
-    j = F.from_json(F.col(value_col), _COMMAND_WIRE)
+    j = _parsed(value_col, _COMMAND_WIRE)
     out = computed_once(df, {"_j": j})
     typ = F.col("_j.type")
     pos = F.when(typ == "create", F.col("_j.startPosition")).when(typ == "move", F.col("_j.moveVector"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators import proximity
-from keelson.operators.vehicles import CLOSENESS, project_vehicles, vehicles
+from keelson.operators.vehicles import CLOSENESS, project_vehicles, vehicles, well_formed
 from keelson.plans.stages import materialize
 
 MAX_MOVES = 5  # fixed: the sixth move of a vehicle turns into its removal
@@ -38,7 +38,7 @@ def admit_commands_snapshot(pending: DataFrame, history: DataFrame, state: DataF
     live = state.select("name", F.col("x").alias("_cx"), F.col("y").alias("_cy"), "moves",
                         F.lit(True).alias("_live"))
     t = F.col("type")
-    cmds = (pending.join(live, on="name", how="left")
+    cmds = (well_formed(pending).join(live, on="name", how="left")
             .withColumn("_live", F.coalesce("_live", F.lit(False)))
             .withColumn("_nx", F.col("_cx") + F.col("x")).withColumn("_ny", F.col("_cy") + F.col("y")))
     zero = (F.col("x") == 0) & (F.col("y") == 0)

@@ -33,9 +33,8 @@ def scan_group(df: DataFrame, key_cols: Sequence[str] = (), order_col: str = "se
     whenever the angle is strictly lower than the previous reading's angle (so a first reading
     with a negative angle is in rotation 1). One fused two-level pass (``change_count``): no
     task ever holds a whole device or the whole un-keyed log."""
-    out = change_count(df, key_cols, order_col, angle_col, lambda prev, cur: cur < prev, out_col,
-                       first_prev=F.lit(0.0), bucket_width=bucket_width)
-    return out.withColumn(out_col, F.col(out_col).cast("int"))
+    return change_count(df, key_cols, order_col, angle_col, lambda prev, cur: cur < prev, out_col,
+                        first_prev=F.lit(0.0), bucket_width=bucket_width)
 
 
 def with_cartesian(df: DataFrame, angle_col: str = "angle", distance_col: str = "distance") -> DataFrame:
@@ -71,8 +70,7 @@ def scan_points(df: DataFrame, key_cols: Sequence[str] = (), order_col: str = "s
                        prev_cols=["x", "y"], prev_prefix="_p_")
     seg = F.when(~F.col("_new_scan") & F.col("_p_x").isNotNull(),
                  geometry.vector_distance("x", "y", "_p_x", "_p_y"))
-    return (out.withColumn(out_col, F.col(out_col).cast("int")).withColumn("segment", seg)
-            .drop("_new_scan", "_p_x", "_p_y"))
+    return out.withColumn("segment", seg).drop("_new_scan", "_p_x", "_p_y")
 
 
 def segments_of(points: DataFrame, key_cols: Sequence[str] = (), order_col: str = "seq",
@@ -121,7 +119,7 @@ def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = ()
     emitted = runs.join(later, on=[*keys, "_run"], how="left_semi").select(
         *keys, F.col("_run").cast("long").alias("emit_seq"), scan_col, "distance")
     lead_zero = runs.filter((F.col("_run") == 1) & (F.col(scan_col) != 0)).select(
-        *keys, F.lit(0).cast("long").alias("emit_seq"), F.lit(0).cast("int").alias(scan_col),
+        *keys, F.lit(0).cast("long").alias("emit_seq"), F.lit(0).cast(segments.schema[scan_col].dataType).alias(scan_col),
         F.lit(0.0).alias("distance"))
     return emitted.unionByName(lead_zero)
 
@@ -139,7 +137,7 @@ def _legacy_monotone(segments: DataFrame, keys: list[str], order_col: str, scan_
     emitted = runs.filter(F.col(scan_col) < F.col("_hi")).select(
         *keys, scan_col, distance.alias("distance"))
     lead_zero = runs.filter((F.col(scan_col) == F.col("_lo")) & (F.col(scan_col) != 0)).select(
-        *keys, F.lit(0).cast("long").alias("emit_seq"), F.lit(0).cast("int").alias(scan_col),
+        *keys, F.lit(0).cast("long").alias("emit_seq"), F.lit(0).cast(segments.schema[scan_col].dataType).alias(scan_col),
         F.lit(0.0).alias("distance"))
     return _rank_scans(emitted, per_scan, keys, scan_col).unionByName(lead_zero)
 
@@ -165,13 +163,14 @@ def lidar_chain(lines: DataFrame, value_col: str = "value", order_col: str = "se
     return scan_total_distance(segments_of(points, key_cols, order_col), key_cols)
 
 
-def scan_frames(grouped: DataFrame, scan_col: str = "scan") -> DataFrame:
-    """Plot data per point: rotation, x, y, and the largest distance overall (axis range, a
+def scan_frames(grouped: DataFrame, scan_col: str = "scan", key_cols: Sequence[str] = ()) -> DataFrame:
+    """Plot data per point: keys, rotation, x, y, and the largest distance overall (axis range, a
     scalar subquery). Distinct rotations in order come from ``scan_ids``."""
     grouped = materialize(grouped)
     max_range = grouped.select(F.max("distance")).scalar()
-    return with_cartesian(grouped).select(scan_col, "seq", "x", "y", max_range.alias("max_range"))
+    return with_cartesian(grouped).select(*key_cols, scan_col, "seq", "x", "y", max_range.alias("max_range"))
 
 
-def scan_ids(grouped: DataFrame, scan_col: str = "scan") -> DataFrame:
-    return grouped.select(scan_col).distinct().orderBy(scan_col)
+def scan_ids(grouped: DataFrame, scan_col: str = "scan", key_cols: Sequence[str] = ()) -> DataFrame:
+    """Distinct rotations in order; with ``key_cols`` those of each scanner."""
+    return grouped.select(*key_cols, scan_col).distinct().orderBy(*key_cols, scan_col)

@@ -28,14 +28,17 @@ CLOSENESS = 0.5  # fixed: distance at or below which two positions are "the same
 KINDS = ("create", "move", "remove")
 
 
-def _valid(cmds: DataFrame) -> DataFrame:
-    return cmds.filter(F.col("type").isin(*KINDS) & F.col("name").isNotNull())
+def well_formed(cmds: DataFrame) -> DataFrame:
+    """Commands of a known type with a name and, unless they remove, a position or vector; the
+    others are ignored by the read model and by admission alike."""
+    placed = (F.col("type") == "remove") | (F.col("x").isNotNull() & F.col("y").isNotNull())
+    return cmds.filter(F.col("type").isin(*KINDS) & F.col("name").isNotNull() & placed)
 
 
 def live_epochs(cmds: DataFrame) -> DataFrame:
     """One row per live vehicle: ``name, start_seq, x0, y0`` of the create that opened its
     current life (the name's last create/remove is a create)."""
-    markers = _valid(cmds).filter(F.col("type").isin("create", "remove"))
+    markers = well_formed(cmds).filter(F.col("type").isin("create", "remove"))
     last = markers.groupBy("name").agg(
         F.max_by(F.struct("seq", "type", "x", "y"), F.col("seq")).alias("m"))
     return last.filter(F.col("m.type") == "create").select(
@@ -48,7 +51,7 @@ def project_vehicles(cmds: DataFrame, bucket_width: int = DEFAULT_BUCKET_WIDTH)
     The moves that count are those after the create that opened the vehicle's current life
     (``seq > start_seq``): by construction no create/remove follows it. Their positions are one
     bucketed running sum per name, so a vehicle with a very long history is not one task."""
-    cmds = _valid(materialize(cmds))
+    cmds = well_formed(materialize(cmds))
     live = materialize(live_epochs(cmds))
     moves = (cmds.filter(F.col("type") == "move").select("name", "seq", "x", "y")
              .join(live, on="name", how="inner")
@@ -72,7 +75,7 @@ def apply_commands(history: DataFrame, cmds: DataFrame, bucket_width: int = DEFA
       (``project_vehicles(cmds)``), its previous history is dropped;
     * any other live name keeps its history and appends its moves: running sums of the vectors
       from its last position, indexes continuing after its last index."""
-    cmds = _valid(materialize(cmds))
+    cmds = well_formed(materialize(cmds))
     history = materialize(history)
     marked = cmds.filter(F.col("type").isin("create", "remove")).select("name").distinct()
     fresh = project_vehicles(cmds, bucket_width)

@@ -182,7 +182,7 @@ SQL_VIEWS.update({
         FROM filtered),
     grouped AS (
         SELECT seq, angle, distance, quality,
-               CAST(sum(f) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) AS INTEGER) AS scan
+               CAST(sum(f) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS scan
         FROM g1)""",
     "segments": """points AS (
         SELECT *, cos(radians(angle)) * distance AS x, sin(radians(angle)) * distance AS y FROM grouped),
@@ -214,7 +214,7 @@ SQL_VIEWS["scanners"] = """sc AS (
         FROM sc),
     sc_grouped AS (
         SELECT scanner, seq, angle, distance, quality,
-               CAST(sum(f) OVER (PARTITION BY scanner ORDER BY seq ROWS UNBOUNDED PRECEDING) AS INTEGER) AS scan
+               CAST(sum(f) OVER (PARTITION BY scanner ORDER BY seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS scan
         FROM sc1),
     sc_points AS (
         SELECT *, cos(radians(angle)) * distance AS x, sin(radians(angle)) * distance AS y FROM sc_grouped),
@@ -288,7 +288,7 @@ def q_scan_total_distance(spark, sf):
     SELECT run_id AS emit_seq, scan, round(distance, 6) AS distance FROM runs
     WHERE run_id < (SELECT max(run_id) FROM runs)
     UNION ALL
-    SELECT CAST(0 AS BIGINT), 0, 0.0 FROM runs WHERE run_id = 1 AND scan <> 0"""))
+    SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), 0.0 FROM runs WHERE run_id = 1 AND scan <> 0"""))
 def q_scan_total_distance_legacy(spark, sf):
     pts = ld.scan_points(ld.lidar_quality_filter(_lidar(spark, sf)))
     # rotations from scan_points never decrease, so each rotation is one run
@@ -312,6 +312,20 @@ def q_scan_frames(spark, sf):
     return fr.withColumn("x", r6("x")).withColumn("y", r6("y"))
 
 
+@register("scan_frames_by_scanner", _sql(["scanners"], """
+    SELECT scanner, scan, seq, round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y,
+           (SELECT max(distance) FROM sc_grouped) AS max_range
+    FROM sc_points"""))
+def q_scan_frames_by_scanner(spark, sf):
+    fr = ld.scan_frames(_scanner_grouped(spark, sf), key_cols=["scanner"])
+    return fr.withColumn("x", r6("x")).withColumn("y", r6("y"))
+
+
+@register("scan_ids_by_scanner", _sql(["scanners"], "SELECT DISTINCT scanner, scan FROM sc_grouped"))
+def q_scan_ids_by_scanner(spark, sf):
+    return ld.scan_ids(_scanner_grouped(spark, sf), key_cols=["scanner"])
+
+
 @register("scan_ids", _sql(_LIDAR[:3], "SELECT DISTINCT scan FROM grouped"))
 def q_scan_ids(spark, sf):
     return ld.scan_ids(_grouped(spark, sf))

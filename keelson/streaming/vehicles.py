@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from keelson.operators.admission import MAX_MOVES
-from keelson.operators.vehicles import CLOSENESS
+from keelson.operators.vehicles import CLOSENESS, well_formed
 
 ADMISSION_SCHEMA = ("world_id int, seq long, sub_seq int, verdict string, type string, name string, "
                     "x double, y double")
@@ -257,6 +257,6 @@ def admit_commands_ordered(cmds: DataFrame, presorted: bool = True) -> DataFrame
     cmds = cmds.select(F.col("world_id").cast("int").alias("world_id"), "seq", "type", "name",
                        F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     sorted_input = presorted and not cmds.isStreaming
-    cmds = _prepare(cmds, "world_id", sorted_input)
+    cmds = _prepare(well_formed(cmds), "world_id", sorted_input)
     return cmds.groupBy("world_id").transformWithStateInPandas(
         OrderedAdmissionProcessor(sorted_input), ADMISSION_SCHEMA, "Append", "None")
