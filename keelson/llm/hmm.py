@@ -4,7 +4,8 @@ Token counts cover the whole training corpus (a table; the ``HEAD`` commonest wo
 tasks, the others are joined). The ``SYMBOLS`` commonest words and the end token are symbols of their own; each other word is
 emitted as its suffix class times its share of the class (the same smoothing as the base model). Baum-Welch:
 every round each partition adds up expected counts of its texts, Spark sums them by symbol. The score is
-the exact scaled forward likelihood. Null text counts as empty: its only token is the end.
+the exact scaled forward likelihood. Null text counts as empty: its only token is the end. Rows are told apart by a
+number of their own, so repeated or null ids are scored row by row; a row with a null ``held`` is not learned from.
 """
 
 from __future__ import annotations
@@ -162,21 +163,21 @@ def likelihood(codes: DataFrame, model: dict) -> DataFrame:
                 out[group] = np.add.reduceat(np.log10(scale), starts)
             yield b.drop(columns="ids").assign(hmm=out)
 
-    return codes.select("doc_id", "held_out", "n_tokens", "known", "base", "share", "ids").mapInPandas(
-        run, "doc_id long, held_out boolean, n_tokens long, known long, base double, share double, hmm double")
+    return codes.select("row", "doc_id", "held_out", "n_tokens", "known", "base", "share", "ids").mapInPandas(
+        run, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, share double, hmm double")
 
 
 def score(docs: DataFrame, held: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Learns where ``held`` is false."""
     counts = materialize(token_counts(docs.filter(~held)), force=True)
     vocab = vocabulary(counts)
-    codes = materialize(encode(docs, vocab, held), force=True)
+    codes = materialize(encode(docs, vocab, held).withColumn("row", F.monotonically_increasing_id()), force=True)
     model = baum_welch(codes.filter("NOT held_out"))
-    rest = codes.select("doc_id", F.inline(F.arrays_zip("rest", "rest_n")))
-    rest = (rest.join(counts.select(F.col("word").alias("rest"), "c"), "rest", "left").groupBy("doc_id")
+    rest = codes.select("row", F.inline(F.arrays_zip("rest", "rest_n")))
+    rest = (rest.join(counts.select(F.col("word").alias("rest"), "c"), "rest", "left").groupBy("row")
             .agg(F.sum(F.col("rest_n") * F.log10(F.coalesce("c", F.lit(0)) + 0.1)).alias("more"),
                  F.sum(F.when(F.col("c") > 0, F.col("rest_n")).otherwise(0)).alias("more_known")))
-    out = likelihood(codes, model).join(rest, "doc_id", "left")
+    out = likelihood(codes, model).join(rest, "row", "left")
     more = F.coalesce("more", F.lit(0.0))
     return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                       F.lit(vocab["n"]).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),

@@ -2,7 +2,8 @@
 
 Anchors are words unique to both the text and the template; the longest increasing subsequence of
 their places is kept and the gaps are aligned the same way. A match covers ``COVERAGE`` of the template within
-``SPREAD`` times its length; the text left and right of a match is scanned again. Null text counts as empty.
+``SPREAD`` times its length and holds every word that names the license (``NAMED``): a notice of another version or
+of another license is no match. Matches do not overlap. Null text counts as empty.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ TEMPLATES = {
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "MIT": "Released under the MIT License.",
 }
+# fixed values: the words that tell a license from others of its family
+NAMED = {"Apache-2.0": "Apache 2 0", "CC-BY-NC-4.0": "CC BY NC 4 0", "GPL-3.0": "GNU General 3", "MIT": "MIT"}
 COVERAGE, SPREAD = 0.8, 2.0
 _WORD = re.compile(r"[^\W_]+")
 
@@ -68,36 +71,40 @@ def align(a: list[str], b: list[str], a0=0, a1=None, b0=0, b1=None) -> list[tupl
     return out
 
 
-def scan(words: list[str], template: list[str], lo=0, hi=None) -> list[tuple[int, int, float]]:
-    """Matches (first word, last word + 1, coverage), found around each place of the template's rarest word."""
-    hi = len(words) if hi is None else hi
-    have = Counter(words[lo:hi])
-    wanted = [w for w in template if have[w]]
-    if len(wanted) < COVERAGE * len(template):
+def scan(words: list[str], template: list[str], named: list[str] = ()) -> list[tuple[int, int, float]]:
+    """Matches (first word, last word + 1, coverage), found around each place of the rarest word that a match must
+    hold: one of ``named``, or of the whole template where nothing is named."""
+    have = Counter(words)
+    if sum(1 for w in template if have[w]) < COVERAGE * len(template) or not all(have[w] for w in named):
         return []
-    rare = min(set(template), key=lambda w: (have[w] or len(words) + 1, w))
-    reach, out, end = int(SPREAD * len(template)), [], lo
-    for at in (i for i in range(lo, hi) if words[i] == rare):
-        a0, a1 = max(end, at - reach), min(hi, at + reach + 1)
-        got = align(words, template, a0, a1) if a0 <= at else []
-        got = [p for p in got if abs(p[0] - at) <= reach]
-        if got and len(got) >= COVERAGE * len(template) and got[-1][0] - got[0][0] < SPREAD * len(template):
+    rare = min(named or {w for w in template if have[w]}, key=lambda w: (have[w], w))
+    reach, out, end = int(SPREAD * len(template)), [], 0
+    places = [i for i, w in enumerate(words) if w == rare]
+    apart = template.count(rare) == 1  # then two places of the word belong to two notices
+    for at, left, right in zip(places, [-1, *places], [*places[1:], len(words)]):
+        lo, hi = (left + 1, right) if apart else (0, len(words))
+        if at < end:
+            continue
+        got = align(words, template, max(end, lo, at - reach), min(hi, at + reach + 1))
+        held = Counter(template[j] for _, j in got)
+        if (len(got) >= COVERAGE * len(template) and got[-1][0] - got[0][0] < SPREAD * len(template)
+                and all(held[w] for w in named)):
             out.append((got[0][0], got[-1][0] + 1, len(got) / len(template)))
             end = got[-1][0] + 1
     return out
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, named: dict[str, str] = NAMED) -> DataFrame:
     """One row per match: doc_id, license, start, end (code points), coverage."""
     def run(batches):
-        own = {k: tokens(v) for k, v in templates.items()}
+        own = {k: (tokens(v), tokens(named.get(k, ""))) for k, v in templates.items()}
         for b in batches:
             out = []
             for doc_id, text in zip(b["doc_id"], b["text"]):
                 places = list(_WORD.finditer(text or ""))
                 words = [m.group().lower() for m in places]
                 for name, t in own.items():
-                    out += [(doc_id, name, places[s].start(), places[e - 1].end(), c) for s, e, c in scan(words, t)]
+                    out += [(doc_id, name, places[s].start(), places[e - 1].end(), c) for s, e, c in scan(words, *t)]
             yield pd.DataFrame(out, columns=["doc_id", "license", "start", "end", "coverage"])
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, license string, start long, end long, coverage double")

@@ -2,8 +2,8 @@
 
 Token labels are derived from document labels: a token of a toxic document is labelled when its word
 or prefix is far commoner in toxic documents. The CRF (word and prefix weights, transitions) is
-trained in numpy on at most ``SAMPLE`` labelled rows, cut into blocks of ``BLOCK`` tokens that cover the
-whole texts. Marginals of whole texts give offending offsets and, through a logistic calibrator, the
+trained in numpy on at most ``SAMPLE`` labelled rows of at most ``CHARS`` characters together, cut into blocks of
+``BLOCK`` tokens that cover the whole texts. Marginals of whole texts give offending offsets and, through a logistic calibrator, the
 score. Null and empty texts have no token and get the calibrator's base score.
 """
 
@@ -14,12 +14,13 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.llm.sequences import backward, by_length, forward
+from keelson.plans.stages import materialize
 
-SAMPLE, BLOCK, EPOCHS, STEPS = 6000, 64, 30, 400_000
+SAMPLE, CHARS, BLOCK, EPOCHS, STEPS = 6000, 48_000_000, 64, 30, 400_000
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -135,7 +136,11 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, score double, predicted int, offsets string")
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, n: int = SAMPLE) -> DataFrame:
-    """At most ``n`` labelled rows, smallest hashes first."""
-    some = labels.filter("toxic IS NOT NULL").select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    return docs.select("doc_id", "text").join(some, "doc_id")
+def sample_of(docs: DataFrame, labels: DataFrame, n: int = SAMPLE, chars: int = CHARS) -> DataFrame:
+    """At most ``n`` labelled rows, smallest hashes first, whole texts of at most ``chars`` characters together:
+    rows go by length, so a very long one never displaces the others."""
+    some = labels.filter("toxic IS NOT NULL").select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(n)
+    rows = materialize(docs.select("doc_id", "text").join(some, "doc_id"), force=True)
+    size = F.coalesce(F.length("text"), F.lit(0))
+    before = Window.orderBy(size, "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # n rows, those of ``some``
+    return rows.withColumn("total", F.sum(size).over(before)).filter(F.col("total") <= chars).drop("total")

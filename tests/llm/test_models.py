@@ -75,7 +75,31 @@ def test_toxicity_held_out(spark):
 def test_license_scan(spark):
     t = "The work. " * 3000
     texts = [None, "", t + licenses.TEMPLATES["Apache-2.0"], licenses.TEMPLATES["MIT"] + " x " + licenses.TEMPLATES["MIT"],
-             "a license to the under " * 50]
+             "a license to the under " * 50, "Released under the BSD License.", "Licensed under CC BY-SA 4.0.",
+             licenses.TEMPLATES["GPL-3.0"].replace("3", "2"), t + 2 * (licenses.TEMPLATES["MIT"] + " and ") + t]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = sorted((r.doc_id, r.license) for r in licenses.scan_licenses(df).collect())
-    assert got == [(2, "Apache-2.0"), (3, "MIT"), (3, "MIT")]
+    assert got == [(2, "Apache-2.0"), (3, "MIT"), (3, "MIT"), (8, "MIT"), (8, "MIT")]
+
+
+def test_hmm_scores_repeated_and_null_ids_row_by_row(spark):
+    rows = [(1, "one two three"), (1, "one two three"), (2, "rare words here"), (None, "one rare"), (4, None), (5, "")]
+    rows += [(i, f"word{i} one two") for i in range(20, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = hmm.HEAD
+    try:
+        hmm.HEAD = 3  # most words are then joined, not broadcast
+        got = hmm.score(docs, catalog.fold(10) == 0).collect()
+    finally:
+        hmm.HEAD = whole
+    same = hmm.score(docs, catalog.fold(10) == 0).collect()
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_known, round(r.base_score, 8))
+    assert len(got) == len(rows) and sorted(map(key, got)) == sorted(map(key, same))
+    ones = [r for r in got if r.doc_id == 1]
+    assert len(ones) == 2 and ones[0] == ones[1]
+
+
+def test_toxicity_sample_is_bounded_by_characters(spark):
+    docs = spark.createDataFrame([(1, "a" * 50), (2, "b" * 900), (3, None), (4, "c" * 40)], "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(0).alias("toxic"))
+    assert sorted(r.doc_id for r in toxicity.sample_of(docs, labels, chars=100).collect()) == [1, 3, 4]
