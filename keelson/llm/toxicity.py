@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from keelson.llm.sequences import backward, by_length, forward
 from keelson.plans.stages import materialize
 
-SAMPLE, CHARS, BLOCK, EPOCHS, STEPS = 6000, 48_000_000, 64, 30, 400_000
+SAMPLE, CHARS, BLOCK, EPOCHS, STEPS = 6000, 24_000_000, 64, 30, 400_000
 _TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -51,46 +51,47 @@ def marginals(unary, lengths, model):
 
 
 def train(sample: DataFrame) -> dict:
-    """``sample``: doc_id, text, toxic (bounded)."""
-    rows = [(_TOKEN.findall((r["text"] or "").lower()), r["toxic"]) for r in sample.collect()]
-    n = [sum(1 for _, y in rows if y == k) for k in (0, 1)]
-    df = [Counter(), Counter()]
-    seen = set()
-    for words, y in rows:
-        if (key := hash(tuple(words))) not in seen:  # copies count once
+    """``sample``: doc_id, text, toxic (bounded). Words are held as numbers, features once for each different word."""
+    number, texts, y = {}, [], []
+    for r in sample.orderBy("doc_id", "toxic").toLocalIterator():
+        found = _TOKEN.findall((r["text"] or "").lower())
+        texts.append(np.array([number.setdefault(w, len(number)) for w in found], dtype=np.int32))
+        y.append(float(r["toxic"] == 1))
+    feats, y, sizes = [_features(w) for w in number], np.array(y), np.array([len(t) for t in texts], dtype=int)
+    n, df, seen = [int((y == k).sum()) for k in (0, 1)], [Counter(), Counter()], set()
+    for t, k in zip(texts, y):
+        if (key := t.tobytes()) not in seen:  # copies count once
             seen.add(key)
-            df[y].update({f for w in set(words) for f in _features(w)})
+            df[int(k)].update({f for w in np.unique(t).tolist() for f in feats[w]})
     odds = {f: np.log((c + 0.1) / (n[1] + 1)) - np.log((df[0][f] + 0.1) / (n[0] + 1)) for f, c in df[1].items() if c >= 3}
     toxic = {f for f, v in odds.items() if v > 3}
     index = {f: i for i, f in enumerate(sorted(f for f in odds if df[1][f] >= 5 or f in toxic))}
     model = {"index": index, "first": np.array([0.99, 0.01]), "step": np.array([[0.99, 0.01], [0.5, 0.5]])}
-    weight, bias = np.zeros(len(index) + 1), -4.0
-    ids, label, lengths = [], [], []
-    for words, y in rows:
-        fs = [[index.get(f, len(index)) for f in _features(w)] for w in words]
-        ids += fs
-        label += [y == 1 and any(f in toxic for f in _features(w)) for w in words]
-        lengths += [len(words[i:i + BLOCK]) for i in range(0, len(words), BLOCK)]
-    if ids:
-        ids, label, lengths = np.array(ids), np.array(label, float), np.array(lengths)
-        ends = np.cumsum(lengths) - 1
-        pair = np.setdiff1d(np.arange(len(label) - 1), ends)
-        was, now = label[pair].astype(int), label[pair + 1].astype(int)
+    weight, bias, ids = np.zeros(len(index) + 1), -4.0, np.concatenate([np.zeros(0, np.int32), *texts])
+    of_word = np.array([[index.get(f, len(index)) for f in fs] for fs in feats], dtype=np.int32).reshape(-1, 3)
+    if len(ids):
+        hot = np.array([any(f in toxic for f in fs) for fs in feats])
+        label = (np.repeat(y == 1, sizes) & hot[ids]).astype(float)
+        lengths = np.array([min(BLOCK, m - i) for m in sizes.tolist() for i in range(0, m, BLOCK)])
+        inner = np.ones(len(ids), bool)
+        inner[np.cumsum(lengths) - lengths] = False
+        now = np.flatnonzero(inner)
         square = np.full(len(weight), 1e-6)
         # transition factors: the maximum-likelihood bigram odds of the token labels
-        step = np.bincount(was * 2 + now, minlength=4).reshape(2, 2) + 1.0
+        step = np.bincount(label[now - 1].astype(np.int8) * 2 + label[now].astype(np.int8), minlength=4).reshape(2, 2) + 1.0
         model["step"] = step / step.sum(axis=1, keepdims=True)
         model["first"] = np.array([1 - label.mean(), label.mean()]) * 0.998 + 0.001
         for _ in range(EPOCHS):
-            g = label - marginals(bias + weight[ids].sum(axis=1), lengths, model)
-            grad = sum(np.bincount(ids[:, j], g, len(weight)) for j in range(3)) - 0.01 * weight
+            g = label - marginals((bias + weight[of_word].sum(axis=1))[ids], lengths, model)
+            by_word = np.bincount(ids, g, len(feats))
+            grad = sum(np.bincount(of_word[:, j], by_word, len(weight)) for j in range(3)) - 0.01 * weight
             square += grad ** 2
             weight += grad / np.sqrt(square)
             weight[-1] = 0.0
             bias += 0.2 * np.sign(g.sum()) * min(1.0, abs(g.mean()) * 50)
     model |= {"weight": weight, "bias": bias, "doc": np.zeros(3)}
-    x = np.array([f for f, _ in _score([w for w, _ in rows], model)]) if rows else np.zeros((0, 3))
-    y, c = np.array([float(k == 1) for _, k in rows]), np.array([-2.0, 0.0, 0.0])
+    unary = (bias + weight[of_word].sum(axis=1))[ids]
+    x, c = np.array([f for f, _ in _documents(unary, sizes, model)]), np.array([-2.0, 0.0, 0.0])
     for _ in range(3000 if len(x) else 0):
         c += 2.0 * ((y - _sigmoid(x @ c)) @ x) / len(x)
     return model | {"doc": c}
@@ -108,15 +109,17 @@ class _Unary(dict):
         return v
 
 
-def _score(texts, model, cache=None):
+def _documents(unary, lengths, model):
     """Per text: calibrator input (1, max marginal, log expected toxic tokens), marginals."""
-    cache = cache if cache is not None else _Unary(model)
-    lengths = np.array([len(w) for w in texts], dtype=int)
-    p = marginals(np.array([cache[w] for ws in texts for w in ws]), lengths, model)
-    for part in np.split(p, np.cumsum(lengths)[:-1]) if len(texts) else ():
+    p = marginals(unary, lengths, model)
+    for part in np.split(p, np.cumsum(lengths)[:-1]) if len(lengths) else ():
         yield (1.0, part.max() if len(part) else 0.0, np.log1p(part.sum())), part
 
 
+def _score(texts, model, cache):
+    return _documents(np.array([cache[w] for ws in texts for w in ws]), np.array([len(w) for w in texts], dtype=int), model)
+
+
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score, predicted, offsets (start:end of tokens whose marginal is at least one half)."""
     def run(batches):
