@@ -20,21 +20,38 @@ def _active(lengths: np.ndarray) -> np.ndarray:
     return np.searchsorted(-lengths, -np.arange(lengths[0]), side="left") if len(lengths) and lengths[0] else np.zeros(0, int)
 
 
+def _by_step(starts: np.ndarray, lengths: np.ndarray):
+    """Active sequences and first place of each step, and the flat position of each place: the places of a step
+    are neighbours, in the order of the sequences."""
+    active = _active(lengths)
+    first = np.cumsum(active) - active
+    n = int(active.sum())
+    at = starts[np.arange(n) - np.repeat(first, active)] + np.repeat(np.arange(len(active)), active)
+    return active.tolist(), first.tolist(), at
+
+
 def forward(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: np.ndarray, step: np.ndarray):
     """Normalised alphas and scales of sequences given longest first; ``emit`` is (steps, states)."""
+    active, place, at = _by_step(starts, lengths)
+    a, s, move = np.ascontiguousarray(emit[at].T), np.ones(len(at)), np.ascontiguousarray(step.T)
+    for t, m in enumerate(active):
+        lo, hi = place[t], place[t] + m
+        here = a[:, lo:hi]
+        here *= first[:, None] if t == 0 else move @ a[:, place[t - 1]:place[t - 1] + m]
+        s[lo:hi] = total = here.sum(axis=0)
+        here /= total
     alpha, scale = np.empty_like(emit), np.ones(len(emit))
-    for t, m in enumerate(_active(lengths)):
-        at = starts[:m] + t
-        a = (first if t == 0 else alpha[at - 1] @ step) * emit[at]
-        scale[at] = s = a.sum(axis=1)
-        alpha[at] = a / s[:, None]
+    alpha[at], scale[at] = a.T, s
     return alpha, scale
 
 
 def backward(emit, scale, starts, lengths, step):
-    beta = np.ones_like(emit)
-    active = _active(lengths)
+    active, place, at = _by_step(starts, lengths)
+    e = np.ascontiguousarray((emit[at] / scale[at][:, None]).T)
+    b = np.ones_like(e)
     for t in range(len(active) - 2, -1, -1):
-        at = starts[:active[t + 1]] + t
-        beta[at] = (emit[at + 1] * beta[at + 1] / scale[at + 1][:, None]) @ step.T
+        m, lo, nxt = active[t + 1], place[t], place[t + 1]
+        b[:, lo:lo + m] = step @ (e[:, nxt:nxt + m] * b[:, nxt:nxt + m])
+    beta = np.ones_like(emit)
+    beta[at] = b.T
     return beta

@@ -32,10 +32,10 @@ def _sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def marginals(unary, lengths, model):
-    """P(toxic) of every token; ``lengths`` of the sequences in order."""
+def marginals(unary, lengths, model, most=STEPS):
+    """P(toxic) of every token; ``lengths`` of the sequences in order, worked on ``most`` tokens at a time."""
     out, begin = np.empty(len(unary)), np.cumsum(lengths) - lengths
-    for group in by_length(lengths, STEPS):
+    for group in by_length(lengths, most):
         group = group[lengths[group] > 0]
         if not len(group):
             continue
@@ -82,7 +82,7 @@ def train(sample: DataFrame) -> dict:
         model["step"] = step / step.sum(axis=1, keepdims=True)
         model["first"] = np.array([1 - label.mean(), label.mean()]) * 0.998 + 0.001
         for _ in range(EPOCHS):
-            g = label - marginals((bias + weight[of_word].sum(axis=1))[ids], lengths, model)
+            g = label - marginals((bias + weight[of_word].sum(axis=1))[ids], lengths, model, 1 << 15)
             by_word = np.bincount(ids, g, len(feats))
             grad = sum(np.bincount(of_word[:, j], by_word, len(weight)) for j in range(3)) - 0.01 * weight
             square += grad ** 2
