@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers as tokenizer_files
 from pyspark.sql import functions as F
 
-from keelson.llm import ann, byte_bpe, exact_dedup, hmm, langid, licenses, packing, pii, simhash, toxicity
+from keelson.llm import ann, byte_bpe, exact_dedup, hmm, langid, license_notices, licenses, packing, pii, simhash, toxicity
 
 
 def _table(spark, sf_dir, name):
@@ -37,7 +37,7 @@ def op4_byte_bpe(spark, sf_dir):
 
 
 def op5_license_scan(spark, sf_dir):
-    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"), notices=license_notices.covered())
 
 
 def op6_learned_partitions(spark, sf_dir):

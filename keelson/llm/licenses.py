@@ -3,7 +3,8 @@
 Anchors are words unique to both the text and the template; the longest increasing subsequence of
 their places is kept and the gaps are aligned the same way. A match covers ``COVERAGE`` of the template within
 ``SPREAD`` times its length and holds every word that names the license (``NAMED``): a notice of another version or
-of another license is no match. Matches do not overlap. Null text counts as empty.
+of another license is no match. Matches do not overlap (``best``). Null text counts as empty. ``TEMPLATES`` holds four
+short notices, ``license_notices.covered`` the licenses that the registered query looks for.
 """
 
 from __future__ import annotations
@@ -71,17 +72,26 @@ def align(a: list[str], b: list[str], a0=0, a1=None, b0=0, b1=None) -> list[tupl
     return out
 
 
-def scan(words: list[str], template: list[str], named: list[str] = ()) -> list[tuple[int, int, float]]:
+def scan(words: list[str], template: list[str], named: list[str] = (), where: dict | None = None) -> list[tuple]:
     """Matches (first word, last word + 1, coverage), found around each place of the rarest word that a match must
-    hold: one of ``named``, or of the whole template where nothing is named."""
-    have = Counter(words)
-    if sum(1 for w in template if have[w]) < COVERAGE * len(template) or not all(have[w] for w in named):
+    hold, or, where nothing is named, of as many template words as no match can miss all."""
+    where = places_of(words) if where is None else where
+    if len(words) < COVERAGE * len(template) or not all(w in where for w in named):
         return []
-    rare = min(named or {w for w in template if have[w]}, key=lambda w: (have[w], w))
+    need = Counter(template)
+    if sum(min(n, len(where.get(w, ()))) for w, n in need.items()) < COVERAGE * len(template):
+        return []
+    by_rare = sorted(named or need, key=lambda w: (len(where.get(w, ())), w))
+    rare, missed = [], 0
+    for w in by_rare:
+        rare.append(w)
+        missed += need[w]
+        if named or missed > len(template) - COVERAGE * len(template):
+            break
     reach, out, end = int(SPREAD * len(template)), [], 0
-    places = [i for i, w in enumerate(words) if w == rare]
-    apart = template.count(rare) == 1  # then two places of the word belong to two notices
-    for at, left, right in zip(places, [-1, *places], [*places[1:], len(words)]):
+    for at, w, left, right in sorted((at, w, left, right) for w in rare if w in where for at, left, right in
+                                     zip(where[w], [-1, *where[w]], [*where[w][1:], len(words)])):
+        apart = need[w] == 1  # then two places of the word belong to two notices
         lo, hi = (left + 1, right) if apart else (0, len(words))
         if at < end:
             continue
@@ -94,17 +104,39 @@ def scan(words: list[str], template: list[str], named: list[str] = ()) -> list[t
     return out
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, named: dict[str, str] = NAMED) -> DataFrame:
-    """One row per match: doc_id, license, start, end (code points), coverage."""
+def places_of(words: list[str]) -> dict[str, list[int]]:
+    out: dict[str, list[int]] = {}
+    for i, w in enumerate(words):
+        out.setdefault(w, []).append(i)
+    return out
+
+
+def best(found: list[tuple]) -> list[tuple]:
+    """Of overlapping matches (license, first, end, coverage, template words) the one with the most words matched
+    less missing stays."""
+    out = []
+    for m in sorted(found, key=lambda m: (-(2 * m[3] - 1) * m[4], m[2] - m[1], m[0], m[1])):
+        if all(m[2] <= s or e <= m[1] for _, s, e, _, _ in out):
+            out.append(m)
+    return sorted(out, key=lambda m: m[1])
+
+
+def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, named: dict[str, str] = NAMED,
+                  notices: list[tuple[str, str, str]] | None = None) -> DataFrame:
+    """One row per match: doc_id, license, start, end (code points), coverage. ``notices`` (license, text, words that
+    must match) holds any number for a license and stands in for ``templates`` and ``named``."""
+    notices = notices or [(k, v, named.get(k, "")) for k, v in templates.items()]
+
     def run(batches):
-        own = {k: (tokens(v), tokens(named.get(k, ""))) for k, v in templates.items()}
+        own = [(k, tokens(v), tokens(n)) for k, v, n in notices]
         for b in batches:
             out = []
             for doc_id, text in zip(b["doc_id"], b["text"]):
                 places = list(_WORD.finditer(text or ""))
                 words = [m.group().lower() for m in places]
-                for name, t in own.items():
-                    out += [(doc_id, name, places[s].start(), places[e - 1].end(), c) for s, e, c in scan(words, *t)]
+                where = places_of(words)
+                found = [(k, *m, len(t)) for k, t, n in own for m in scan(words, t, n, where)]
+                out += [(doc_id, k, places[s].start(), places[e - 1].end(), c) for k, s, e, c, _ in best(found)]
             yield pd.DataFrame(out, columns=["doc_id", "license", "start", "end", "coverage"])
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, license string, start long, end long, coverage double")
