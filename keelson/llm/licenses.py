@@ -1,7 +1,8 @@
 """License scan by patience alignment of whole texts with notice templates.
 
 Anchors are words unique to both the text and the template; the longest increasing subsequence of
-their places is kept and the gaps are aligned the same way. A match covers ``COVERAGE`` of the template within
+their places is kept and the gaps are aligned the same way; a gap without anchors is matched from the side where an
+anchor stands. A match covers ``COVERAGE`` of the template within
 ``SPREAD`` times its length and holds every word that names the license (``NAMED``): a notice of another version or
 of another license is no match. Matches do not overlap (``best``). Null text counts as empty. ``TEMPLATES`` holds four
 short notices, ``license_notices.covered`` the licenses that the registered query looks for.
@@ -26,6 +27,7 @@ TEMPLATES = {
 # fixed values: the words that tell a license from others of its family
 NAMED = {"Apache-2.0": "Apache 2 0", "CC-BY-NC-4.0": "CC BY NC 4 0", "GPL-3.0": "GNU General 3", "MIT": "MIT"}
 COVERAGE, SPREAD = 0.8, 2.0
+STRAY = 0.25  # what a word between aligned ones takes from a match when far words at its ends are left off
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -33,8 +35,8 @@ def tokens(text: str) -> list[str]:
     return [m.group().lower() for m in _WORD.finditer(text)]
 
 
-def align(a: list[str], b: list[str], a0=0, a1=None, b0=0, b1=None) -> list[tuple[int, int]]:
-    """Aligned places (in a, in b), both increasing."""
+def align(a: list[str], b: list[str], a0=0, a1=None, b0=0, b1=None, left=False, right=False) -> list[tuple[int, int]]:
+    """Aligned places (in a, in b), both increasing. ``left`` and ``right``: an anchor stands at that side."""
     a1, b1 = len(a) if a1 is None else a1, len(b) if b1 is None else b1
     if a0 >= a1 or b0 >= b1:
         return []
@@ -53,25 +55,41 @@ def align(a: list[str], b: list[str], a0=0, a1=None, b0=0, b1=None) -> list[tupl
         chain.append(pairs[n])
         n = back[n]
     chain = chain[::-1]
-    if not chain:  # equal ends of a gap without anchors
-        out = []
-        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
-            out.append((a0, b0))
+    if not chain:  # equal ends of a gap without anchors, those beside an anchor first; no anchor at one side: only the other
+        head, tail, size = [], [], b1 - b0
+        while right and a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+            a1, b1 = a1 - 1, b1 - 1
+            tail.append((a1, b1))
+        while (left or not right) and a0 < a1 and b0 < b1 and a[a0] == b[b0]:
+            head.append((a0, b0))
             a0, b0 = a0 + 1, b0 + 1
-        tail = []
-        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+        while not left and not right and a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
             a1, b1 = a1 - 1, b1 - 1
             tail.append((a1, b1))
-        return out + tail[::-1]
+        rest = align(a, b, a0, a1, b0, b1, left, right) if b1 - b0 < size else []
+        return head + rest + tail[::-1]
     out, i0, j0 = [], a0, b0
     for i, j in [*chain, (a1, b1)]:
-        out += align(a, b, i0, i, j0, j)
+        out += align(a, b, i0, i, j0, j, left, right or i < a1)
         if i < a1:
             out.append((i, j))
-        i0, j0 = i + 1, j + 1
+        i0, j0, left = i + 1, j + 1, True
     return out
 
 
+def dense(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The run of pairs with the most words aligned less ``STRAY`` for each word between: without far words at the ends."""
+    most, value, first, run = 0.0, 0.0, 0, (0, 0)
+    for n, (i, _) in enumerate(pairs):
+        value -= STRAY * (i - pairs[n - 1][0] - 1) if n else 0
+        if value < 0:
+            value, first = 0.0, n
+        value += 1
+        if value >= most:
+            most, run = value, (first, n + 1)
+    return pairs[run[0]:run[1]]
+
+
 def scan(words: list[str], template: list[str], named: list[str] = (), where: dict | None = None) -> list[tuple]:
     """Matches (first word, last word + 1, coverage), found around each place of the rarest word that a match must
     hold, or, where nothing is named, of as many template words as no match can miss all."""
@@ -95,12 +113,20 @@ def scan(words: list[str], template: list[str], named: list[str] = (), where: di
         lo, hi = (left + 1, right) if apart else (0, len(words))
         if at < end:
             continue
-        got = align(words, template, max(end, lo, at - reach), min(hi, at + reach + 1))
-        held = Counter(template[j] for _, j in got)
-        if (len(got) >= COVERAGE * len(template) and got[-1][0] - got[0][0] < SPREAD * len(template)
-                and all(held[w] for w in named)):
-            out.append((got[0][0], got[-1][0] + 1, len(got) / len(template)))
-            end = got[-1][0] + 1
+        lo, hi = max(end, lo, at - reach), min(hi, at + reach + 1)
+        j = template.index(w)
+        got = align(words, template, lo, at, 0, j, right=True) + [(at, j)]
+        got += align(words, template, at + 1, hi, j + 1, left=True)
+        if not apart:  # the place may be a later one of the word
+            free = align(words, template, lo, hi)
+            got = max(got, free, key=lambda pairs: len(dense(pairs)))
+        for run in (dense(got), got):
+            held = {template[j] for _, j in run}
+            if (len(run) >= COVERAGE * len(template) and run[-1][0] - run[0][0] < SPREAD * len(template)
+                    and all(n in held for n in named)):
+                out.append((run[0][0], run[-1][0] + 1, len(run) / len(template)))
+                end = run[-1][0] + 1
+                break
     return out
 
 
@@ -113,9 +139,13 @@ def places_of(words: list[str]) -> dict[str, list[int]]:
 
 def best(found: list[tuple]) -> list[tuple]:
     """Of overlapping matches (license, first, end, coverage, template words) the one with the most words matched
-    less missing stays."""
+    less missing, less half of the inserted ones, stays."""
+    def worth(m):
+        _, first, end, coverage, n = m
+        return coverage * n - (1 - coverage) * n - (end - first - coverage * n) / 2
+
     out = []
-    for m in sorted(found, key=lambda m: (-(2 * m[3] - 1) * m[4], m[2] - m[1], m[0], m[1])):
+    for m in sorted(found, key=lambda m: (-round(worth(m), 6), m[2] - m[1], m[0], m[1])):
         if all(m[2] <= s or e <= m[1] for _, s, e, _, _ in out):
             out.append(m)
     return sorted(out, key=lambda m: m[1])

@@ -40,3 +40,27 @@ def test_query_covers_full_texts_and_families(spark, tmp_path):
     assert got == [(i, k) for i, k, _ in texts if k]
     assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1",
             "LGPL-3.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0"} <= {k for _, k in got}
+
+
+def notices_side_by_side(notices):
+    for first, a, _ in notices:
+        for second, b, _ in notices:
+            for between in ([], ["and"], ["see", "also", "the"]):
+                at = len(a) + len(between)
+                yield a + between + b, [(first, 0, len(a)), (second, at, at + len(b))]
+
+
+def test_every_ordered_pair_of_notices_is_found_in_its_place():
+    own = [(k, licenses.tokens(v), licenses.tokens(licenses.NAMED[k])) for k, v in licenses.TEMPLATES.items()]
+    for words, want in notices_side_by_side(own):
+        got = licenses.best([(k, *m, len(t)) for k, t, n in own for m in licenses.scan(words, t, n)])
+        assert [m[:3] for m in got] == want, " ".join(words)
+    one = {k: (k, t, n) for k, t, n in NOTICES[::-1] if len(t) < 50}
+    for words, want in notices_side_by_side(list(one.values())):
+        assert [m[:3] for m in look(words)] == want, " ".join(words)
+
+
+def test_full_texts_side_by_side():
+    full = [(k, t, n) for k, t, n in NOTICES if len(t) >= 100 and len(t) < 2500]
+    for (first, a, _), (second, b, _) in zip(full, full[1:] + full[:1]):
+        assert [m[:3] for m in look(a + b)] == [(first, 0, len(a)), (second, len(a), len(a) + len(b))], (first, second)
