@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from keelson.llm import exact_dedup, langid, packing, pii, simhash
+from keelson.plans.stages import materialize
 from keelson.session import fresh_path
 
 
-def _rows_of(docs, kept):
-    """Rows of ``docs`` with an id of ``kept``; null is an id like any other, repeated ids share one fate."""
-    ids = kept.select(F.col("doc_id").alias("kept_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+def _numbered(docs):
+    """``docs`` as one struct beside a number of each row, written once so that the numbers stay."""
+    return materialize(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), force=True)
+
+
+def _rows_of(rows, kept):
+    """The documents of ``rows`` whose number is in ``kept``; ids may repeat or be null."""
+    return rows.join(kept.select("row"), "row", "left_semi").select("doc.*")
 
 
 def language_id(spark, docs, sf_dir):
@@ -22,12 +27,16 @@ def language_id(spark, docs, sf_dir):
 
 
 def exact(spark, docs, sf_dir):
-    return _rows_of(docs, exact_dedup.exact_groups(docs).filter("kept"))
+    """The row of largest (doc_id, number) of each group of equal texts stays; null ids are smallest."""
+    rows = _numbered(docs)
+    keyed = rows.select(F.struct(F.col("doc.doc_id").alias("doc_id"), "row").alias("key"), F.col("doc.text").alias("text"))
+    return _rows_of(rows, exact_dedup.exact_groups(keyed, id_col="key").filter("kept").select("doc_id.row"))
 
 
 def near(spark, docs, sf_dir):
-    """The smallest doc_id of each group stays."""
-    return _rows_of(docs, simhash.near_groups(docs).filter("doc_id <=> component_id"))
+    """The row of smallest (doc_id, number) of each group stays; null ids are largest."""
+    rows = _numbered(docs)
+    return _rows_of(rows, simhash.near_firsts(rows.select("doc.doc_id", "doc.text", "row")))
 
 
 def private(spark, docs, sf_dir):

@@ -1,7 +1,7 @@
 """SimHash near-dedup by multi-index hashing.
 
 A fingerprint bit is set when it is set in over half of the XXH64 hashes (seed 42) of the
-word shingles (null or no word: zero). Documents with one fingerprint are one node. Two fingerprints at
+word shingles (null or no word: zero). Documents with one fingerprint are one node, known by its smallest row number. Two fingerprints at
 distance <= 3 have a 32-bit half at distance <= 1: each half probes its Hamming ball of radius 1
 in the table of halves, and the full distance of every match is checked. Links feed an
 alternating star contraction, one written table per round in the shared checkpoint folder.
@@ -39,15 +39,15 @@ def fingerprint(text: str | None, k: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * total > len(spans)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            f = [fingerprint(t, k) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fingerprint": [f"{x:016x}" for x in f],
-                                "hi": [x >> 32 for x in f], "lo": [x & 0xFFFFFFFF for x in f]})
+def fingerprints(docs: DataFrame, k: int = 3, *also: str) -> DataFrame:
+    """doc_id, the columns ``also``, fingerprint, hi, lo; only texts travel through Python."""
+    @F.pandas_udf("fingerprint string, hi long, lo long")
+    def run(text: pd.Series) -> pd.DataFrame:
+        f = [fingerprint(t, k) for t in text]
+        return pd.DataFrame({"fingerprint": [f"{x:016x}" for x in f], "hi": [x >> 32 for x in f], "lo": [x & 0xFFFFFFFF for x in f]})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, fingerprint string, hi long, lo long")
+    own = ["doc_id", *also]
+    return docs.select(*own, run("text").alias("p")).select(*own, "p.fingerprint", "p.hi", "p.lo")
 
 
 def links(nodes: DataFrame, distance: int = 3) -> DataFrame:
@@ -84,10 +84,25 @@ def components(edges: DataFrame) -> DataFrame:
         edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), force=True)
 
 
+def _members(prints: DataFrame, distance: int) -> DataFrame:
+    """fingerprint, root (one for each group), first (its rows' smallest id and row: struct no_id, doc_id, row)."""
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    nodes = materialize(prints.groupBy("fingerprint", "hi", "lo").agg(F.min("row").alias("node"), F.min(first).alias("first")),
+                        force=True)
+    roots = components(links(nodes.select("node", "hi", "lo"), distance))
+    return nodes.join(roots, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("root"), "first")
+
+
 def near_groups(docs: DataFrame, k: int = 3, distance: int = 3) -> DataFrame:
-    """doc_id, fingerprint, component_id (smallest doc_id reachable)."""
-    prints = materialize(fingerprints(docs, k), force=True)
-    nodes = materialize(prints.groupBy("fingerprint", "hi", "lo").agg(F.min("doc_id").alias("node")), force=True)
-    roots = components(links(nodes.drop("fingerprint"), distance))
-    named = nodes.join(roots, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("component_id"))
+    """doc_id, fingerprint, component_id (smallest doc_id reachable, null where no row of the group has an id)."""
+    prints = materialize(fingerprints(docs, k).withColumn("row", F.monotonically_increasing_id()), force=True)
+    members = materialize(_members(prints, distance), force=True)
+    ids = members.groupBy("root").agg(F.min("first").getField("doc_id").alias("component_id"))
+    named = members.select("fingerprint", "root").join(ids, "root").select("fingerprint", "component_id")
     return prints.select("doc_id", "fingerprint").join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def near_firsts(docs: DataFrame, k: int = 3, distance: int = 3) -> DataFrame:
+    """row: of each group, the row of smallest (doc_id, row), null ids last. ``docs``: doc_id, text, row (all different)."""
+    prints = materialize(fingerprints(docs, k, "row"), force=True)
+    return _members(prints, distance).groupBy("root").agg(F.min("first").getField("row").alias("row")).select("row")

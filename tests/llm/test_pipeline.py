@@ -89,3 +89,30 @@ def test_chain_equals_plain_version(spark, tmp_path):
             want[i, p // 4096] = (len(ids[p:p + 4096]), zlib.crc32(ids[p:p + 4096].tobytes()))
     assert got == want
     assert packing.pack(kept.limit(0), P.path("word_bpe_49k.json")).count() == 0
+
+
+def test_dedup_stages_keep_one_row_of_each_group(spark):
+    words = " ".join(f"w{i} and x{i * 7}" for i in range(300))
+    rows = [(1, "a b c"), (1, "a b c"), (1, "d e f"), (2, "a b c"), (None, "D e f"), (None, "g h i"), (None, "g h i"), (None, "j k l"),
+            (7, words), (7, words), (None, words + " end"), (8, words + " tail"), (None, "other " + words[:900]), (None, words[:900])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted((tuple(r) for r in corpus_pipeline.exact(spark, docs, None).collect()), key=key)
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[1].lower(), []).append(r)
+    assert got == sorted((max(g, key=lambda r: (r[0] is not None, r[0] or 0)) for g in groups.values()), key=key)
+    got = sorted((tuple(r) for r in corpus_pipeline.near(spark, docs, None).collect()), key=key)
+    prints, root = [simhash.fingerprint(t) for _, t in rows], list(range(len(rows)))
+    for _ in rows:
+        for i, f in enumerate(prints):
+            for j, g in enumerate(prints):
+                if (f ^ g).bit_count() <= 3:
+                    root[i] = root[j] = min(root[i], root[j])
+    groups = {}
+    for r, p in zip(rows, root):
+        groups.setdefault(p, []).append(r)
+    assert len(groups) < len(set(prints))  # linked fingerprints, null ids among them
+    assert [key(r)[:2] for r in got] == sorted(min(key(r)[:2] for r in g) for g in groups.values())
+    ids = {r.fingerprint: r.component_id for r in simhash.near_groups(docs).collect()}
+    assert all(ids[f"{prints[n]:016x}"] == min((r[0] for r in groups[root[n]] if r[0] is not None), default=None) for n in range(len(rows)))
