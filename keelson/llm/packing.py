@@ -3,14 +3,16 @@
 Spark tokenises, counts pieces by length and numbers the pieces of each length. The plan is made on
 the length histogram (at most ``size`` rows whatever the input): best-fit decreasing over classes
 of bins with equal contents, then swap-based local search that moves or exchanges documents (one for
-one, two for one) from the emptiest bin into fuller ones, each step raising the squared fill,
-until the bin is empty or no step is left. Null text counts as empty (one end token).
+one, two for one) from the emptiest bins into bins as full or fuller, each step raising the squared fill,
+until the lower bound is met or no class of bins has a step left. Null text counts as empty (one end token).
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -22,7 +24,6 @@ from keelson.plans.stages import materialize
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xff]*")  # normalising such text is lower-casing
 _WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
 CACHE = 500_000  # words kept per task; the cache starts again beyond it
-STEPS = 5_000  # local search steps at most
 
 
 class _Words(dict):
@@ -82,45 +83,116 @@ def best_fit(hist: dict[int, int], size: int) -> list[list]:
     return [[n, dict(have)] for cs in free.values() for n, have in cs]
 
 
+def _fill(have) -> int:
+    return sum(x * k for x, k in have)
+
+
+class _Targets:
+    """What each class of bins can take: one row for each length it may give back (or none)."""
+
+    def __init__(self, size: int):
+        self.size, self.used, self.where = size, 0, {}
+        self.rows = np.zeros((4, 1024), np.int64)  # class, given length, most tokens it takes for that, fill; -1: gone
+        self.names: list[tuple] = []
+
+    def add(self, have: tuple) -> None:
+        room, give = self.size - _fill(have), [0, *(x for x, _ in have)]
+        if room <= 0:
+            return
+        if self.used + len(give) > self.rows.shape[1]:
+            live = self.rows[:, :self.used]
+            live = live[:, live[0] >= 0]
+            order = list(dict.fromkeys(live[0].tolist()))
+            new = {c: n for n, c in enumerate(order)}
+            self.names = [self.names[c] for c in order]
+            live[0] = [new[c] for c in live[0].tolist()]
+            self.used, width = live.shape[1], max(1024, 2 * (live.shape[1] + len(give)))
+            self.rows = np.zeros((4, width), np.int64)
+            self.rows[:, :self.used] = live
+            self.where, at = {}, 0
+            for h in self.names:
+                self.where[h] = (at, at + 1 + len(h))
+                at += 1 + len(h)
+        a, b = self.used, self.used + len(give)
+        self.rows[:, a:b] = [[len(self.names)] * len(give), give, [room + g for g in give], [self.size - room] * len(give)]
+        self.names.append(have)
+        self.where[have], self.used = (a, b), b
+
+    def drop(self, have: tuple) -> None:
+        if have in self.where:
+            a, b = self.where.pop(have)
+            self.rows[0, a:b] = -1
+            self.rows[3, a:b] = -1  # no fuller class than any
+
+    def best(self, have: tuple, alone: bool):
+        """(target, lengths taken, length given) of largest gain for a bin ``have``, into bins at least as full."""
+        groups = {x: (x,) for x, _ in have}
+        for n, (x, k) in enumerate(have):
+            for y, _ in have[n + (k < 2):]:
+                groups.setdefault(x + y, (x, y))
+        sums = np.array(sorted(groups), np.int64)
+        name, give, limit, fill = self.rows[:, :self.used]
+        at = np.searchsorted(sums, limit, side="right") - 1
+        gain = np.where((at >= 0) & (fill >= _fill(have)), sums[at] - give, 0)
+        if alone and have in self.where:
+            gain[slice(*self.where[have])] = 0
+        if not len(gain) or gain.max() <= 0:
+            return None
+        row = int(gain.argmax())
+        return self.names[name[row]], groups[int(sums[at[row]])], (int(give[row]),) if give[row] else ()
+
+
 def local_search(classes: list[list], size: int) -> list[list]:
-    fill = lambda have: sum(x * k for x, k in have.items())
-    bins = lambda: sum(n for n, _ in classes)
-    least = -(-sum(n * fill(h) for n, h in classes) // size)
-
-    def change(have, take, give):
-        out = dict(have)
-        for x in take:
-            out[x] = out.get(x, 0) + 1
-        for x in give:
-            out[x] -= 1
-        return {x: k for x, k in out.items() if k}
-
-    for _ in range(STEPS):
-        if bins() <= least or len(classes) < 2:
-            break
-        source = min(range(len(classes)), key=lambda i: fill(classes[i][1]))
-        have = classes[source][1]
-        items = sorted(have, reverse=True)
-        groups = [(x,) for x in items] + [(x, y) for i, x in enumerate(items) for y in items[i:]
-                                          if x != y or have[x] > 1]
-        best = None
-        for j, (_, other) in enumerate(classes):
-            room = size - fill(other)
-            if j == source or not room:
+    """Sweeps from the emptiest class up until a whole sweep finds no step. A step is made in as many pairs of bins of
+    the two classes as there are; a class without a step is left for the next one."""
+    count: dict[tuple, int] = {}
+    targets = _Targets(size)
+
+    def put(have: tuple, n: int) -> None:
+        if have and n:
+            if have not in count:
+                targets.add(have)
+            count[have] = count.get(have, 0) + n
+
+    def take_out(have: tuple, n: int) -> None:
+        count[have] -= n
+        if not count[have]:
+            del count[have]
+            targets.drop(have)
+
+    def change(have, take, give) -> tuple:
+        out = Counter(dict(have))
+        out.update(take)
+        out.subtract(give)
+        return tuple(sorted((x, k) for x, k in out.items() if k))
+
+    for n, have in classes:
+        put(tuple(sorted(have.items())), n)
+    bins, least = sum(count.values()), -(-sum(n * _fill(h) for h, n in count.items()) // size)
+    moved = True
+    while moved and bins > least:
+        moved, heap = False, [(_fill(h), h) for h in count]
+        heapify(heap)
+        while heap and bins > least:
+            source = heappop(heap)[1]
+            if source not in count:
+                continue
+            step = targets.best(source, count[source] == 1)
+            if step is None:
                 continue
-            for take in groups:
-                for give in [()] + [(x,) for x in other]:
-                    gain = sum(take) - sum(give)
-                    if 0 < gain <= room and (best is None or gain > best[0]):
-                        best = (gain, j, take, give)
-        if best is None:
-            break
-        _, j, take, give = best
-        for i in (source, j):
-            classes[i][0] -= 1
-        classes += [[1, change(have, give, take)], [1, change(classes[j][1], take, give)]]
-        classes = [c for c in classes if c[0] and c[1]]
-    return classes
+            moved = True
+            target, take, give = step
+            many = count[source] // 2 if target == source else min(count[source], count[target])
+            take_out(source, many)
+            take_out(target, many)
+            left, filled = change(source, give, take), change(target, take, give)
+            for have in (left, filled):
+                put(have, many)
+            bins -= 0 if left else many
+            for have in {left, filled, source, target}:
+                if have in count:
+                    heappush(heap, (_fill(have), have))
+    return [[n, dict(h)] for h, n in count.items()]
 
 
 def plan(hist: dict[int, int], size: int) -> dict[int, np.ndarray]:

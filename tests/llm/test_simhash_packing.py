@@ -63,3 +63,22 @@ def test_packing_is_gapless_and_tight(spark):
 def test_local_search_empties_a_bin():
     got = packing.local_search([[1, {6: 1}], [1, {5: 1}], [1, {4: 1}]], 10)
     assert sum(n for n, _ in got) == 2
+
+
+def test_local_search_moves_whole_classes_and_passes_stuck_sources():
+    # bins of 6, 5 and 4: far more bins than single steps would empty, beside one of 3
+    got = packing.local_search([[20_000, {6: 1}], [20_000, {5: 1}], [20_000, {4: 1}], [1, {3: 1}]], 10)
+    assert sum(n for n, _ in got) <= 30_001
+    rnd = random.Random(1)
+    hist = {}
+    for _ in range(20_000):
+        x = rnd.randint(1000, 2500)
+        hist[x] = hist.get(x, 0) + 1
+    first = packing.best_fit(dict(hist), 4096)
+    got, held = packing.local_search([list(c) for c in first], 4096), {}
+    for n, have in got:
+        assert 0 < sum(x * k for x, k in have.items()) <= 4096
+        for x, k in have.items():
+            held[x] = held.get(x, 0) + n * k
+    least = -(-sum(x * k for x, k in hist.items()) // 4096)
+    assert held == hist and least <= sum(n for n, _ in got) < sum(n for n, _ in first) - 50
