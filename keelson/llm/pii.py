@@ -165,7 +165,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets; n_chars follows a changed text. Rows travel whole
+    """``docs`` with every span replaced by its kind in brackets (overlapping spans by the first one's); n_chars follows a changed text. Rows travel whole
     beside their spans, so repeated or null ids and any extra columns stay as they are."""
     held = materialize(docs.select(F.struct("*").alias("doc"), found_in(F.col("text")).alias("found")), force=True)
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
@@ -173,7 +173,9 @@ def redact(docs: DataFrame) -> DataFrame:
 
     def step(acc, s):
         new = F.concat(acc["out"], F.substring(old, acc["pos"] + 1, s["start"].cast("int") - acc["pos"]), F.element_at(marks, s["kind"] + 1))
-        return F.when(s["start"] >= acc["pos"], F.struct(s["end"].cast("int").alias("pos"), new.alias("out"))).otherwise(acc)
+        end = s["end"].cast("int")
+        both = F.struct(F.greatest(acc["pos"], end).alias("pos"), acc["out"].alias("out"))  # overlapping spans go as one
+        return F.when(s["start"] >= acc["pos"], F.struct(end.alias("pos"), new.alias("out"))).otherwise(both)
 
     rows = held.select("doc", spans(held)[1].alias("spans"))
     done = F.aggregate("spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step)

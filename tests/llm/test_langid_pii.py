@@ -46,3 +46,10 @@ def test_language_id_on_held_out_rows(spark):
     model = langid.train(langid.sample_of(docs))
     assert [(r.lang_pred, r.score) for r in langid.predict(odd, model).collect()] == [("und", 0.0)] * 3
     assert langid.train(langid.sample_of(docs.limit(0))) == {"langs": []}
+
+
+def test_overlapping_spans_are_redacted_whole(spark):
+    texts = ["+1 415-555-1234.jane@x.com", "4111 1111 1111 1111@x.com", "to +1 415-555-1234.jane@x.com or a@b.org now"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert got == {0: "[PHONE]", 1: "[CARD]", 2: "to [PHONE] or [EMAIL] now"}
