@@ -2,7 +2,8 @@
 
 A bounded sample (``SAMPLE`` rows, smallest hashes of the id) gives an exact neighbour graph, which is cut into
 balanced parts by capacity-bound label propagation. A softmax classifier learned on the parts sends every row to its most
-probable part and every query to several: the fewest that reach ``TARGET`` recall on the sample. Parts are split into
+probable part and every query to several: the fewest that reach ``TARGET`` recall of the exact neighbours over all rows for
+at most ``HELD`` rows kept out of the fit, and more where these parts hold too few candidates. Parts are split into
 candidate and query blocks by their counted sizes, so a hot part is many tasks; each pair of blocks is scored
 in double precision and the best k of each query over all its blocks stay, ties to the smaller id.
 Null and zero vectors and those with null or non-finite components take no part.
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE, PARTS, NEIGHBOURS, TARGET, BLOCK, QUERIES = 3000, 12, 10, 0.98, 8000, 1000
+HELD = 300  # rows kept out of the fit, at most a tenth of those drawn
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -80,19 +82,53 @@ def train(sample: np.ndarray, parts: int = PARTS) -> dict:
         for key, g in (("b", h.T @ p), ("w", x.T @ p), ("c", p.sum(axis=0)), ("a", x.T @ back)):
             m[key] = m[key] - 1.0 * g
     m["a"], m["w"] = m["a"] / spread, m["w"] / spread
-    z = _logits(sample, m)
-    home, rank = z.argmax(axis=1), np.argsort(np.argsort(-z, axis=1), axis=1)
-    hit = rank[np.arange(n)[:, None], home[graph]]  # at which probe a true neighbour's part is searched
-    m["probes"] = next((p for p in range(1, parts + 1) if k <= 0 or (hit < p).mean() >= TARGET), parts)
     return m
 
 
-def route(vectors: DataFrame, model: dict, probes: int) -> DataFrame:
+def probes_for(rows: DataFrame, held: np.ndarray, ids: np.ndarray, model: dict, k: int) -> int:
+    """The fewest probes that find ``TARGET`` of the exact ``k`` neighbours, over all ``rows``, of the ``held`` queries."""
+    parts = len(model["c"])
+    if not len(held) or parts == 1:
+        return parts
+
+    def run(batches):
+        best = None  # query, score, part: the best k of each query so far in this task
+        for b in batches:
+            if not len(b):
+                continue
+            v = np.stack(b["v"].to_list())
+            score = held @ v.T
+            score[ids[:, None] == b["vec_id"].to_numpy()[None, :]] = -np.inf
+            top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+            q = np.repeat(np.arange(len(held)), top.shape[1])
+            home = _logits(v, model).argmax(axis=1)
+            new = pd.DataFrame({"q": q, "score": np.take_along_axis(score, top, 1).ravel(), "part": home[top].ravel()})
+            both = new if best is None else pd.concat([best, new])
+            best = both[both["score"] > -np.inf].sort_values(["q", "score"], ascending=[True, False], kind="stable").groupby("q").head(k)
+        if best is not None:
+            yield best
+
+    near = rows.select("vec_id", "v").mapInPandas(run, "q int, score double, part int")
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "part"))
+    found = near.withColumn("r", rank).filter(F.col("r") <= k).groupBy("q", "part").count().collect()
+    probe = np.argsort(np.argsort(-_logits(held, model), axis=1, kind="stable"), axis=1)
+    hits = np.zeros(parts)
+    for r in found:
+        hits[probe[r["q"], r["part"]]] += r["count"]
+    share = np.cumsum(hits) / max(1.0, hits.sum())
+    return next((p for p in range(1, parts + 1) if share[p - 1] >= TARGET), parts)
+
+
+def route(vectors: DataFrame, model: dict, probes: int, held: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """Each row with its ``probes`` most probable parts, or with more until they hold (``held`` by part) ``least`` rows."""
     def run(batches):
         for b in batches:
             if len(b):
-                top = np.argsort(-_logits(np.stack(b["v"].to_list()), model), axis=1, kind="stable")[:, :probes]
-                yield b.assign(part=list(top.astype(np.int32)))
+                top = np.argsort(-_logits(np.stack(b["v"].to_list()), model), axis=1, kind="stable").astype(np.int32)
+                many = np.full(len(b), probes)
+                if held is not None:
+                    many = np.maximum(many, (np.cumsum(held[top], axis=1) < least).sum(axis=1) + 1)
+                yield b.assign(part=[t[:n] for t, n in zip(top, many)])
 
     return vectors.mapInPandas(run, "vec_id long, v array<double>, part array<int>").withColumn("part", F.explode("part"))
 
@@ -114,14 +150,20 @@ def _best(key, q: pd.DataFrame, c: pd.DataFrame, k: int) -> pd.DataFrame:
 def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score for the rows of ``vectors`` where ``is_query`` holds."""
     rows = usable(vectors)
-    sample = np.array([r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()])
+    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE + HELD).collect()
     empty = "query_id long, rank int, vec_id long, score double"
-    if not len(sample):
+    if not drawn:
         return rows.sparkSession.createDataFrame([], empty)
-    model = train(sample)
+    fit = min(SAMPLE, len(drawn) - min(HELD, len(drawn) // 10))
+    out, ids = np.array([r["v"] for r in drawn]), np.array([r["vec_id"] for r in drawn])
+    model = train(out[:fit])
+    probes = probes_for(rows, out[fit:], ids[fit:], model, k)
     index = route(rows, model, 1)
-    asked = route(rows.filter(is_query), model, model["probes"])
-    size = index.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("cb"))
+    held = np.zeros(len(model["c"]), np.int64)
+    for r in index.groupBy("part").count().collect():  # PARTS rows at most
+        held[r["part"]] = r["count"]
+    asked = route(rows.filter(is_query), model, probes, held, k + 1)  # a query may be one of its candidates
+    size = rows.sparkSession.createDataFrame([(p, -(-int(n) // BLOCK)) for p, n in enumerate(held) if n], "part int, cb int")
     most = asked.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("qb"))
     blocks = F.broadcast(size.join(most, "part"))  # PARTS rows at most
     own = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
