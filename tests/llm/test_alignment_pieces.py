@@ -1,0 +1,147 @@
+"""Tokenizer alignment and SentencePiece encoding against the libraries and brute force."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+P = pytest.importorskip("public_tokenizers")
+
+from keelson.llm import alignment, piece_bpe  # noqa: E402
+
+A, B = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+ODD = [None, "", " ", "  two  spaces ", "a\n  b\tc", "it's 12 café, x’s", "你好 \U0001f600 é", "<|endoftext|> <s> <0x41>", "a▁b c", "\x00 x",
+       "word 12 a's " * 4000, "a" * 3000, "no-space" * 700, "same text", "same text", " lead", "trail ", "naïve x   y"]
+BIG = 9007199254740993
+
+
+def frame(spark, texts):
+    rows = [(None if i == 3 else BIG + i, t, "x", 1, "b", 2.0, "s") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, pairs string, block long, links string, count double, ids string").repartition(3)
+
+
+def sha(x):
+    return hashlib.sha256(x.encode()).hexdigest()
+
+
+def key(r):
+    return tuple((x is None, x or 0) for x in r)
+
+
+def test_piece_ids_equal_the_library(spark):
+    m = piece_bpe.model(B)
+    rnd = random.Random(7)
+    parts = ["a", "e", "t", "th", "the", " ", "  ", "▁", "é", "中", "\U0001f600", "\n", "ing", "00", "\x00", "ß", "--", "...", "ст"]
+    for t in ODD + ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 30))) for _ in range(5000)]:
+        assert m.ids(t) == m.library.encode(t or ""), t
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r for r in piece_bpe.encode_digest(docs, B).collect()}
+    for r in docs.collect():
+        ids = m.library.encode(r.text or "")
+        want = len(ids), sha(",".join(map(str, ids))), sha(m.library.decode(ids))
+        assert tuple(got[r.doc_id])[1:] == want
+
+
+def test_pairs_equal_merging_both_together():
+    m = piece_bpe.model(B)
+    lib, rnd = m.library, random.Random(5)
+    rank = {}
+    for i in sorted((i for i in range(m.n) if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i))),
+                    key=lambda i: -lib.get_score(i)):
+        rank.setdefault(lib.id_to_piece(i), -lib.get_score(i))
+    rank = {p: r for p, r in rank.items() if len(p) > 1}
+    codes = [i for i in range(m.n) if m.order[i] >= 0 or len(lib.id_to_piece(i)) == 1]
+    for _ in range(20_000):
+        u, v = rnd.choice(codes), rnd.choice(codes)
+        a, b = lib.id_to_piece(u), lib.id_to_piece(v)
+        assert m.compatible(u, v) == (piece_bpe.merge_all(list(a + b), rank)[0] == [a, b]), (a, b)
+
+
+def test_caches_start_again_without_change(monkeypatch):
+    monkeypatch.setattr(piece_bpe, "CACHE", 3)
+    monkeypatch.setattr(piece_bpe, "PAIRS", 5)
+    m = piece_bpe.PieceModel(B)
+    for t in ODD:
+        assert m.ids(t) == m.library.encode(t or "")
+    monkeypatch.setattr(alignment, "CACHE", 3)
+    p = alignment.Pair(A, B, P.PATTERN)
+    assert [p.align_texts([t or ""])[0] for t in ODD] == alignment.pair(A, B, P.PATTERN).align_texts([t or "" for t in ODD])
+
+
+def test_piece_digest_takes_odd_rows(spark):
+    lib = piece_bpe.model(B).library
+    want = []
+    for i, t in enumerate(ODD):
+        ids = lib.encode(t or "")
+        want.append((None if i == 3 else BIG + i, len(ids), sha(",".join(map(str, ids))), sha(lib.decode(ids))))
+    docs = frame(spark, ODD)
+    assert sorted(map(tuple, piece_bpe.encode_digest(docs, B).collect()), key=key) == sorted(want, key=key)
+    assert piece_bpe.encode_digest(docs.limit(0), B).count() == 0
+    assert {r.doc_id: r.ids for r in piece_bpe.encode(docs, B).collect()}[BIG + 13] == lib.encode("same text")
+
+
+def plain_alignment(rows):
+    """By the definition: shared ends, overlaps of all pairs of tokens in a group, counts over all rows."""
+    from tokenizers import Tokenizer
+    p = alignment.pair(A, B, P.PATTERN)
+    tok = Tokenizer.from_file(A)
+    tok.encode_special_tokens = True
+    held, out = {}, []
+    for doc_id, t in rows:
+        x = tok.encode(" " + t, add_special_tokens=False).ids if t else []
+        y = p.b.encode(t) if t else []
+        want = (" " + (t or "")).encode()
+        if b"".join(p.a_bytes[i] for i in x) != want or b"".join(p.b_bytes[i] for i in y) != want:
+            x = y = []
+        ea, eb = np.cumsum([len(p.a_bytes[i]) for i in x]).tolist(), np.cumsum([len(p.b_bytes[i]) for i in y]).tolist()
+        groups, links, i, j = [], [], 0, 0
+        for c in sorted(set(ea) & set(eb)):
+            i0, j0 = i, j
+            while i < len(x) and ea[i] <= c:
+                i += 1
+            while j < len(y) and eb[j] <= c:
+                j += 1
+            groups.append(",".join(map(str, x[i0:i])) + "|" + ",".join(map(str, y[j0:j])))
+            links += [(x[k], y[n]) for k in range(i0, i) for n in range(j0, j)
+                      if max(ea[k] - len(p.a_bytes[x[k]]), eb[n] - len(p.b_bytes[y[n]])) < min(ea[k], eb[n])]
+        for link in set(links):
+            held[link] = held.get(link, 0) + 1
+        out.append((doc_id, len(x), len(y), groups, links))
+    most = {}
+    for (a, _), n in held.items():
+        most[a] = max(most.get(a, 0), n)
+    return [(d, na, nb, len(g), len(ls), sum(held[x] == most[x[0]] for x in ls), sum(held[x] for x in ls), sha(";".join(g)) if g else "")
+            for d, na, nb, g, ls in out]
+
+
+@pytest.mark.parametrize("block", [1, 40_000, alignment.BLOCK])
+def test_alignment_equals_brute_force_on_odd_rows(spark, block, monkeypatch):
+    monkeypatch.setattr(alignment, "BLOCK", block)
+    docs = frame(spark, ODD)
+    got = alignment.digest(docs, A, B, P.PATTERN).collect()
+    assert sorted(map(tuple, got), key=key) == sorted(plain_alignment([(r.doc_id, r.text) for r in docs.collect()]), key=key)
+    assert alignment.digest(docs.limit(0), A, B, P.PATTERN).count() == 0
+
+
+def test_alignment_equals_brute_force_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = alignment.digest(docs, A, B, P.PATTERN).collect()
+    assert sorted(map(tuple, got)) == sorted(plain_alignment([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]))
+
+
+def test_cuts_of_random_intervals():
+    rnd = random.Random(2)
+    for _ in range(300):
+        ends, at = [[], []], 0
+        lasts = [[], []]
+        for _ in range(rnd.randint(1, 5)):
+            n = rnd.randint(1, 40)
+            for s in range(2):
+                inner = sorted(rnd.sample(range(1, n), rnd.randint(0, n - 1)))
+                ends[s] += [at + e for e in [*inner, n]]
+                lasts[s].append(len(ends[s]) - 1)
+            at += n
+        a, b = (np.array(e) for e in ends)
+        got = alignment.shared_cuts(a, b, np.array(lasts[0]), np.array(lasts[1]))
+        assert sorted(a[got[0]].tolist()) == sorted(set(ends[0]) & set(ends[1])) and (a[got[0]] == b[got[1]]).all()
