@@ -34,7 +34,7 @@ from keelson.plans.stages import materialize
 
 BLOCK = 4_000_000  # characters of texts that share one numbering of pairs
 STEP = 250_000  # characters aligned together
-CACHE = 150_000  # words whose alignment each process keeps, and as many older ones
+CACHE = 250_000  # words whose alignment each process keeps; the cache starts again beyond it
 LONGEST = 64  # longer words are not kept
 
 
@@ -88,7 +88,6 @@ class Pair:
         a, b = [str(i) for i in range(self.na)], [str(i) for i in range(self.nb)]
         self.words = ["," + x for x in a] + [";" + x for x in a] + ["," + x for x in b] + ["|" + x for x in b]
         self.kept: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
 
     def parts(self, text: str) -> list[str]:
         """A space and the text, cut before each space after a character that is surely none: both tokenizers start a
@@ -122,17 +121,14 @@ class Pair:
     def align_texts(self, texts: list[str]) -> list[tuple]:
         """Of each text the same as of a part; zeros and empty where it has no tokens."""
         cut = [self.parts(t) if t else [] for t in texts]
-        found = [list(map(self.kept.get, ps)) for ps in cut]
-        new = list({p for ps, got in zip(cut, found) if None in got for p, r in zip(ps, got) if r is None})
-        now = {p: self.older[p] for p in new if p in self.older}
-        new = [p for p in new if p not in now]
-        now.update(zip(new, self.align_parts(new) if new else []))
-        if len(self.kept) >= CACHE:
-            self.older, self.kept = self.kept, {}
+        these = set().union(*cut)
+        new = [p for p in these if p not in self.kept]
+        if len(self.kept) + len(new) > CACHE:
+            self.kept = {p: self.kept[p] for p in these if p in self.kept}
+        self.kept.update(zip(new, self.align_parts(new) if new else []))
         out = []
-        for t, ps, got in zip(texts, cut, found):
-            if None in got:
-                got = [r or now[p] for p, r in zip(ps, got)]
+        for t, ps in zip(texts, cut):
+            got = list(map(self.kept.__getitem__, ps))
             if None in got and len(got) > 1:
                 got = self.align_parts([" " + t])
             if not got or None in got:
@@ -140,7 +136,9 @@ class Pair:
             else:
                 na, nb, groups, links, text, codes = zip(*got)
                 out.append((sum(na), sum(nb), sum(groups), sum(links), ";".join(text), b"".join(codes)))
-        self.kept.update((p, r) for p, r in now.items() if r and len(p) <= LONGEST)
+        for p in new:
+            if len(p) > LONGEST:
+                del self.kept[p]
         return out
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from keelson.llm.sequences import backward, by_length, forward
 from keelson.plans.stages import materialize
 
-STATES, SYMBOLS, CLASSES, HEAD, ROUNDS, STEPS = 8, 8192, 64, 131_072, 3, 400_000
+STATES, SYMBOLS, CLASSES, HEAD, ROUNDS, STEPS = 8, 8192, 64, 131_072, 3, 50_000
+WORDS = 300_000  # different words a task counts before it passes them on
 END = b" "  # no word holds a space
 
 
@@ -34,12 +36,20 @@ def word_class(w: bytes) -> int:
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
+    """word, cls, c. A task counts all its texts together, at most ``WORDS`` different words at a time."""
     def run(batches):
+        c = Counter()
+
+        def counted():
+            return pd.DataFrame({"word": list(c), "n": list(c.values()), "cls": [word_class(w) for w in c]})
+
         for b in batches:
-            c = Counter()
             for t in b["text"]:
                 c.update(words(t))
-            yield pd.DataFrame({"word": list(c), "n": list(c.values()), "cls": [word_class(w) for w in c]})
+                if len(c) >= WORDS:
+                    yield counted()
+                    c.clear()
+        yield counted()
 
     return (docs.select("text").mapInPandas(run, "word binary, n long, cls int")
             .groupBy("word", "cls").agg(F.sum("n").alias("c")))
@@ -47,7 +57,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
 def vocabulary(counts: DataFrame) -> dict:
     """Bounded part of the model: head words, totals, class normalisers."""
-    top = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
+    top = counts.orderBy(F.desc(F.col("word") == F.lit(bytearray(END))), F.desc("c"), "word").limit(HEAD).collect()
     head = {bytes(r["word"]): r["c"] for r in top}
     own = [w for w in head if w != END][:SYMBOLS]
     per = counts.groupBy("cls").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
@@ -62,39 +72,47 @@ def vocabulary(counts: DataFrame) -> dict:
 
 
 def encode(docs: DataFrame, vocab: dict, held: Column) -> DataFrame:
-    """doc_id, held_out, symbol ids, totals of head words, and the other words with their counts."""
+    """doc_id, held_out, symbol ids, totals of head words, and the other words with their counts. Only the text travels
+    through Python."""
     head, symbol, mass = vocab["head"], vocab["symbol"], vocab["mass"]
-    base = np.log10(vocab["n"] + 0.1 * (vocab["v"] + 1))
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for doc_id, held_out, t in zip(b["doc_id"], b["held_out"], b["text"]):
-                ws, share, known, rest = words(t), 0.0, 0, Counter()
-                ids = np.array([symbol.get(w, -1) if w != END else SYMBOLS + CLASSES for w in ws], dtype=np.int32)
-                for i in np.flatnonzero(ids < 0):
-                    ids[i] = SYMBOLS + word_class(ws[i])
-                    share -= mass[ids[i] - SYMBOLS]
-                total = 0.0
-                for w, i in zip(ws, ids):
-                    c = head.get(w, 0 if w == END else None)
-                    if c is None:
-                        rest[w] += 1
-                        continue
-                    known += c > 0
-                    lc = np.log10(c + 0.1)
-                    total += lc
-                    if SYMBOLS <= i < SYMBOLS + CLASSES:
-                        share += lc
-                out.append((doc_id, held_out, len(ws), known, total - base * len(ws), share, ids.tobytes(), list(rest), list(rest.values())))
-            yield pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "known", "base", "share", "ids", "rest", "rest_n"])
-
-    return docs.select("doc_id", held.alias("held_out"), "text").mapInPandas(
-        run, "doc_id long, held_out boolean, n_tokens long, known long, base double, share double, ids binary, "
-             "rest array<binary>, rest_n array<long>")
+    base = float(np.log10(vocab["n"] + 0.1 * (vocab["v"] + 1)))
+    end = SYMBOLS + CLASSES
+    # by the place of a word in the head: its symbol, count, log count, and share of its class where it has no symbol
+    code = {w: n for n, w in enumerate(head)}
+    code.setdefault(END, len(code))
+    count = np.array([head.get(w, 0) for w in code], np.float64)
+    sym = np.array([end if w == END else symbol.get(w, SYMBOLS + word_class(w)) for w in code], np.int32)
+    log_count = np.log10(count + 0.1)
+    in_class = (sym >= SYMBOLS) & (sym < end)
+    share = np.where(in_class, log_count - mass[np.where(in_class, sym - SYMBOLS, 0)], 0.0)
+
+    def one(text):
+        ws = words(text)
+        at = np.array(list(map(code.get, ws, repeat(-1))), np.int32)
+        other = np.flatnonzero(at < 0)
+        known = at if not len(other) else at[at >= 0]
+        ids = sym[at]
+        total, rest = float(share[known].sum()), Counter()
+        if len(other):
+            far = [ws[i] for i in other.tolist()]
+            rest.update(far)
+            classes = [word_class(w) for w in far]
+            ids[other] = [SYMBOLS + c for c in classes]
+            total -= float(mass[classes].sum())
+        return (len(ws), int((count[known] > 0).sum()), float(log_count[known].sum()) - base * len(ws), total, ids.tobytes(),
+                list(rest), list(rest.values()))
+
+    names = ["n_tokens", "known", "base", "share", "ids", "rest", "rest_n"]
+
+    @F.pandas_udf("n_tokens long, known long, base double, share double, ids binary, rest array<binary>, rest_n array<long>")
+    def run(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(t) for t in text], columns=names)
+
+    return docs.select("doc_id", held.alias("held_out"), run("text").alias("p")).select("doc_id", "held_out", "p.*")
 
 
 def _groups(b):
+    """Texts of at most ``STEPS`` tokens in groups of about as many; a longer text is a group of its own."""
     ids = [np.frombuffer(x, np.int32) for x in b]
     lengths = np.array([len(x) for x in ids])
     for group in by_length(lengths, STEPS):
@@ -102,6 +120,20 @@ def _groups(b):
         yield group, np.concatenate([ids[i] for i in group]), np.cumsum(n) - n, n
 
 
+def _blocks(ids: np.ndarray):
+    return [ids[s:s + STEPS] for s in range(0, len(ids), STEPS)]
+
+
+def _long_forward(ids: np.ndarray, model: dict):
+    """A long text in blocks: of each block its symbols, the state distribution before it, and its log10 likelihood."""
+    first, out = model["first"], []
+    for part in _blocks(ids):
+        alpha, scale = forward(model["emit"][part], np.array([0]), np.array([len(part)]), first, model["step"])
+        out.append((part, first, float(np.log10(scale).sum())))
+        first = alpha[-1] @ model["step"]
+    return out
+
+
 def start_model(k: int = STATES) -> dict:
     rng = np.random.default_rng(11)
     m = SYMBOLS + CLASSES + 1
@@ -114,19 +146,36 @@ def expected(codes: DataFrame, model: dict) -> DataFrame:
     def run(batches):
         k, m = model["step"].shape[0], len(model["emit"])
         by_symbol, trans, first = np.zeros((m, k)), np.zeros((k, k)), np.zeros(k)
+
+        def add(ids, starts, n, begin, last=None):
+            """Adds the group's counts; returns its alphas, and the weight of each state's next step into it."""
+            emit = model["emit"][ids]
+            alpha, scale = forward(emit, starts, n, begin, model["step"])
+            beta = backward(emit, scale, starts, n, model["step"], last)
+            gamma = alpha * beta
+            inner = np.ones(len(ids), bool)
+            inner[starts] = False
+            at = np.flatnonzero(inner)
+            weight = emit * beta / scale[:, None]
+            nonlocal trans
+            trans = trans + model["step"] * (alpha[at - 1].T @ weight[at])
+            for s in range(k):
+                by_symbol[:, s] += np.bincount(ids, gamma[:, s], m)
+            return alpha, weight, gamma
+
         for b in batches:
             for _, ids, starts, n in _groups(b["ids"]):
-                emit = model["emit"][ids]
-                alpha, scale = forward(emit, starts, n, model["first"], model["step"])
-                beta = backward(emit, scale, starts, n, model["step"])
-                gamma = alpha * beta
-                first += gamma[starts].sum(axis=0)
-                inner = np.ones(len(ids), bool)
-                inner[starts] = False
-                at = np.flatnonzero(inner)
-                trans += model["step"] * (alpha[at - 1].T @ (emit[at] * beta[at] / scale[at][:, None]))
-                for s in range(k):
-                    by_symbol[:, s] += np.bincount(ids, gamma[:, s], m)
+                if len(ids) <= STEPS or len(n) > 1:
+                    first += add(ids, starts, n, model["first"])[2][starts].sum(axis=0)
+                    continue
+                weight = last = None  # of a long text block by block from the end, its alphas made again from the block's start
+                for part, begin, _ in reversed(_long_forward(ids, model)):
+                    alpha, before, gamma = add(part, np.array([0]), np.array([len(part)]), begin, last)
+                    if weight is not None:
+                        trans = trans + model["step"] * np.outer(alpha[-1], weight)
+                    weight = before[0]
+                    last = model["step"] @ weight
+                first += gamma[0]
         keys = np.concatenate([np.flatnonzero(by_symbol.any(axis=1)), [-1], -2 - np.arange(k)])
         vals = np.concatenate([by_symbol[by_symbol.any(axis=1)], first[None], trans])
         yield pd.DataFrame({"symbol": keys} | {f"s{i}": vals[:, i] for i in range(k)})
@@ -155,16 +204,19 @@ def baum_welch(codes: DataFrame, rounds: int = ROUNDS) -> dict:
 
 
 def likelihood(codes: DataFrame, model: dict) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            out = np.zeros(len(b))
-            for group, ids, starts, n in _groups(b["ids"]):
-                _, scale = forward(model["emit"][ids], starts, n, model["first"], model["step"])
-                out[group] = np.add.reduceat(np.log10(scale), starts)
-            yield b.drop(columns="ids").assign(hmm=out)
-
-    return codes.select("row", "doc_id", "held_out", "n_tokens", "known", "base", "share", "ids").mapInPandas(
-        run, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, share double, hmm double")
+    """``codes`` without ids, with hmm: the log10 likelihood of the symbols."""
+    @F.pandas_udf("double")
+    def run(b: pd.Series) -> pd.Series:
+        out = np.zeros(len(b))
+        for group, ids, starts, n in _groups(b):
+            if len(ids) > STEPS and len(n) == 1:
+                out[group] = sum(x for _, _, x in _long_forward(ids, model))
+                continue
+            _, scale = forward(model["emit"][ids], starts, n, model["first"], model["step"])
+            out[group] = np.add.reduceat(np.log10(scale), starts)
+        return pd.Series(out)
+
+    return codes.withColumn("hmm", run("ids")).drop("ids")
 
 
 def score(docs: DataFrame, held: Column) -> DataFrame:

@@ -4,64 +4,143 @@ Spark tokenises, counts pieces by length and numbers the pieces of each length.
 the length histogram (at most ``size`` rows whatever the input): best-fit decreasing over classes
 of bins with equal contents, then swap-based local search that moves or exchanges documents (one for
 one, two for one) from the emptiest bins into bins as full or fuller, each step raising the squared fill,
-until the lower bound is met or no class of bins has a step left. Null text counts as empty (one end token).
+until the lower bound is met or no class of bins has a step left. Null text counts as empty (one end token). Ids travel
+beside the texts as they are: null, repeated and large ids stay; extra columns are ignored; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
+import functools
+import json
+import os
 import re
 import zlib
 from collections import Counter
 from heapq import heapify, heappop, heappush
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.llm.alignment import byte_letters
 from keelson.plans.stages import materialize
 
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xff]*")  # normalising such text is lower-casing
-_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
-CACHE = 500_000  # words kept per task; the cache starts again beyond it
-
-
-class _Words(dict):
-    def __init__(self, tok):
-        self.tok = tok
+_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\s\x01a-zªµºß-öø-ÿ0-9²³¹¼-¾]+")
+CACHE = 300_000  # parts between blanks whose ids a process keeps; the cache starts again beyond it
+STEP = 1_000_000  # characters encoded together
+LONGEST = 64  # longer parts are not kept
+
+
+def word_ranks(tok):
+    """The vocabulary as ranks of the tiktoken library, where a null character ends a word and the character 1 stands
+    between parts (no plain text holds either); None unless it is a byte-level BPE with word ends whose merges make
+    rising ids."""
+    import tiktoken
+
+    spec, letters = json.loads(tok.to_str()), byte_letters()
+    m, added = spec["model"], {t["content"] for t in spec["added_tokens"]}
+    if m["type"] != "BPE" or m.get("end_of_word_suffix") != "</w>" or m.get("continuing_subword_prefix"):
+        return None
+    ids = [m["vocab"]["".join(x.split(" ") if isinstance(x, str) else x)] for x in m["merges"]]
+    ranks, least = {}, min(ids, default=0)
+    for entry, i in m["vocab"].items():
+        if entry not in added:
+            body = entry.removesuffix("</w>")
+            ranks[bytes(letters[c] for c in body) + b"\0" * (body != entry)] = i
+    single = [ranks.get(bytes([b]) + e, least) for b in range(256) for e in (b"", b"\0")]
+    if ids != sorted(set(ids)) or max(single) >= least or len(ranks) != len(ids) + 512:
+        return None
+    return tiktoken.Encoding("words", pat_str=r"[^\x00\x01\s]+\x00|\x01", mergeable_ranks=ranks, special_tokens={})
+
+
+class Encoder:
+    """Ids of texts as little-endian unsigned 32-bit numbers, as the library's plain call gives them.
+
+    No token holds a blank, so the parts between blanks encode separately. A text that may name a special token goes to the
+    library whole."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-    def __missing__(self, word):
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = ids = self.tok.encode(word, add_special_tokens=False).ids
-        return ids
+        self.tok = Tokenizer.from_file(path)
+        self.ranks = word_ranks(self.tok)
+        self.parts: dict[str, bytes] = {}
+
+    def library(self, texts: list[str]) -> list[bytes]:
+        got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
+
+    def _encode_parts(self, new: list[str]) -> dict[str, bytes]:
+        if self.ranks and new:
+            joined = "\1".join(new)
+            plain = new if _PLAIN.fullmatch(joined.replace("\1", " ")) and joined.count("\1") == len(new) - 1 else [
+                p for p in new if _PLAIN.fullmatch(p)]
+        if not self.ranks or not new or not plain:
+            return dict(zip(new, self.library(new)))
+        words = _WORD.sub("\\g<0>\0", "\1".join(plain).lower())
+        ids = np.array(self.ranks.encode_ordinary(words + "\1"), dtype="<u4")
+        between = ids == self.ranks.encode_single_token(b"\1")
+        stops = (4 * (np.flatnonzero(between) - np.arange(len(plain)))).tolist()
+        flat = ids[~between].tobytes()
+        out = {p: flat[s:e] for p, s, e in zip(plain, [0, *stops], stops)}
+        odd = [p for p in new if p not in out] if len(out) < len(new) else []
+        return out | dict(zip(odd, self.library(odd)))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        cut = [t.split(" ") if t and "<|" not in t else [] for t in texts]
+        these = set().union(*cut)
+        new = [p for p in these if p not in self.parts]
+        if len(self.parts) + len(new) > CACHE:
+            self.parts = {p: self.parts[p] for p in these if p in self.parts}
+        self.parts.update(self._encode_parts(new))
+        out = [b"".join(map(self.parts.__getitem__, ps)) for ps in cut]
+        for p in new:
+            if len(p) > LONGEST:
+                del self.parts[p]
+        whole = [n for n, t in enumerate(texts) if t and "<|" in t]
+        for n, ids in zip(whole, self.library([texts[n] for n in whole])):
+            out[n] = ids
+        return out
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return Encoder(path)
+
+
+_PIECES = ["piece", "start", "length", "ids_crc32"]
+_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def token_ids(text: str | None, tok, cache) -> list[int]:
-    text = text or ""
-    if "<|" in text or not _PLAIN.fullmatch(text):
-        return tok.encode(text, add_special_tokens=False).ids
-    return [i for w in _WORD.findall(text.lower()) for i in cache[w]]
+def pieces(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1) -> DataFrame:
+    """A row for each piece of each text with its end id: doc_id, piece, start, length, ids_crc32."""
+    end, wide = np.array([end_id], dtype="<u4").tobytes(), 4 * size
 
+    def cut(texts, enc):
+        for n, ids in enumerate(enc.encode(texts)):
+            ids = memoryview(ids + end)
+            for p, s in enumerate(range(0, len(ids), wide)):
+                part = ids[s:s + wide]
+                yield n, p, s // 4, len(part) // 4, zlib.crc32(part)
 
-def pieces(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1) -> DataFrame:
     def run(batches):
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
-        cache = _Words(tok)
+        enc = encoder(path)
         for b in batches:
-            out = []
-            for doc_id, text in zip(b["doc_id"], b["text"]):
-                ids = np.array(token_ids(text, tok, cache) + [end_id], dtype="<u4")
-                for p, s in enumerate(range(0, len(ids), size)):
-                    part = ids[s:s + size]
-                    out.append((doc_id, p, s, len(part), zlib.crc32(part.tobytes())))
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            sizes = np.cumsum(pa.compute.fill_null(pa.compute.utf8_length(b.column("text")), 0).to_numpy(zero_copy_only=False))
+            stops = [*np.flatnonzero(np.diff(sizes // STEP)) + 1, b.num_rows]
+            for s, e in zip([0, *stops], stops):
+                out = list(cut(b.column("text").slice(s, e - s).to_pylist(), enc))
+                if out:
+                    at, *cols = (np.array(c, np.int64) for c in zip(*out))
+                    yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(s, e - s).take(pa.array(at)), pa.array(cols[0].astype(np.int32)),
+                                                      *map(pa.array, cols[1:])], names=["doc_id", *_PIECES])
 
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _DDL)
 
 
 def best_fit(hist: dict[int, int], size: int) -> list[list]:
@@ -223,14 +302,15 @@ def pack(docs: DataFrame, path: str, size: int = 4096, end_id: int = 1) -> DataF
 
     def place(batches):
         for b in batches:
-            seq, off = np.zeros(len(b), np.int64), np.zeros(len(b), np.int64)
-            length, rank = b["length"].to_numpy(), b["rank"].to_numpy()
+            seq, off = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+            length, rank = b.column("length").to_numpy(), b.column("rank").to_numpy()
             for x in np.unique(length):
                 m, rows = length == x, where[int(x)]
                 row = rows[np.searchsorted(rows[:, 0], rank[m], side="right") - 1]
                 i = rank[m] - row[:, 0]
                 seq[m], off[m] = row[:, 2] + i // row[:, 1], row[:, 3] + i % row[:, 1] * x
-            yield b[["doc_id", "piece", "start", "length", "ids_crc32"]].assign(sequence_id=seq, offset=off)
+            cols = ["doc_id", *_PIECES]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in cols), pa.array(seq), pa.array(off)],
+                                             names=[*cols, "sequence_id", "offset"])
 
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInPandas(
-        place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.select("doc_id", *_PIECES, "rank").mapInArrow(place, _DDL + ", sequence_id long, offset long")

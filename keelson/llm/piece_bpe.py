@@ -17,12 +17,14 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 250_000  # words kept, and as many older ones
+CACHE = 300_000  # words kept; the cache starts again beyond it
+STEP = 1_000_000  # characters encoded together
 LONGEST = 64  # longer words are not kept
 PAIRS = 400_000  # tested pairs kept, likewise
 SPACE = "▁"
@@ -41,7 +43,7 @@ def merge_all(symbols: list[str], rank: dict[str, int]):
 
 
 class PieceModel:
-    """A merge-type model file of the sentencepiece library: ``ids`` (any text) and the library's ``decode``."""
+    """A merge-type model file of the sentencepiece library: ``encode`` (any texts) and the library's ``decode``."""
 
     def __init__(self, path: str):
         import ahocorasick
@@ -86,7 +88,6 @@ class PieceModel:
             self.automaton.make_automaton()
         self.separate = not any(SPACE in p.lstrip(SPACE) for p in plain)
         self.words: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
         self.names = [str(i) for i in range(n)]
 
     def compatible(self, u: int, v: int) -> bool:
@@ -138,19 +139,19 @@ class PieceModel:
                 i -= 1
         return tuple(reversed(out))
 
-    def ids(self, text: str | None) -> list[int]:
-        """The ids of a whole text."""
-        s, words, out = self.library.normalize(text or ""), self.words, []
-        for w in _WORDS.findall(s) if self.separate else [s] if s else []:
-            got = words.get(w)
-            if got is None:
-                got = self.older.get(w) or self.word_ids(w)
-                if len(w) <= LONGEST:
-                    if len(words) >= CACHE:
-                        self.older, self.words = words, {}
-                        words = self.words
-                    words[w] = got
-            out += got
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        """The ids of whole texts."""
+        cut = [self.library.normalize(t or "") for t in texts]
+        cut = [_WORDS.findall(s) for s in cut] if self.separate else [[s] if s else [] for s in cut]
+        these = set().union(*cut)
+        new = [w for w in these if w not in self.words]
+        if len(self.words) + len(new) > CACHE:
+            self.words = {w: self.words[w] for w in these if w in self.words}
+        self.words.update((w, self.word_ids(w)) for w in new)
+        out = [list(chain.from_iterable(map(self.words.__getitem__, ws))) for ws in cut]
+        for w in new:
+            if len(w) > LONGEST:
+                del self.words[w]
         return out
 
 
@@ -162,12 +163,24 @@ def model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+def _steps(texts: pd.Series):
+    """The texts in lists of about ``STEP`` characters."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t)
+        size += len(t or "")
+        if size >= STEP:
+            yield some
+            some, size = [], 0
+    yield some
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the ids of ``text_col`` in the array column ``out``."""
     @F.pandas_udf("array<int>")
     def run(text: pd.Series) -> pd.Series:
         m = model(path)
-        return pd.Series([m.ids(t) for t in text], dtype=object)
+        return pd.Series([ids for some in _steps(text) for ids in m.encode(some)], dtype=object)
 
     return docs.withColumn(out, run(text_col))
 
@@ -177,10 +190,10 @@ def encode_digest(docs: DataFrame, path: str) -> DataFrame:
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(text: pd.Series) -> pd.DataFrame:
         m, rows = model(path), []
-        for t in text:
-            ids = m.ids(t)
-            rows.append((len(ids), hashlib.sha256(",".join(map(m.names.__getitem__, ids)).encode()).hexdigest(),
-                         hashlib.sha256(m.library.decode(ids).encode("utf-8")).hexdigest()))
+        for some in _steps(text):
+            for ids in m.encode(some):
+                rows.append((len(ids), hashlib.sha256(",".join(map(m.names.__getitem__, ids)).encode()).hexdigest(),
+                             hashlib.sha256(m.library.decode(ids).encode("utf-8")).hexdigest()))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", run("text").alias("p")).select("doc_id", "p.n_tokens", "p.ids_sha256", "p.decoded_sha256")

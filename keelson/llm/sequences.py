@@ -45,10 +45,13 @@ def forward(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: np
     return alpha, scale
 
 
-def backward(emit, scale, starts, lengths, step):
+def backward(emit, scale, starts, lengths, step, last=None):
+    """Betas that go with ``forward``'s scales; ``last`` is the beta of the last step of a single sequence (else ones)."""
     active, place, at = _by_step(starts, lengths)
     e = np.ascontiguousarray((emit[at] / scale[at][:, None]).T)
     b = np.ones_like(e)
+    if last is not None:
+        b[:, -1] = last
     for t in range(len(active) - 2, -1, -1):
         m, lo, nxt = active[t + 1], place[t], place[t + 1]
         b[:, lo:lo + m] = step @ (e[:, nxt:nxt + m] * b[:, nxt:nxt + m])

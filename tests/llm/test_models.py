@@ -103,3 +103,77 @@ def test_toxicity_sample_is_bounded_by_characters(spark):
     docs = spark.createDataFrame([(1, "a" * 50), (2, "b" * 900), (3, None), (4, "c" * 40)], "doc_id long, text string")
     labels = docs.select("doc_id", F.lit(0).alias("toxic"))
     assert sorted(r.doc_id for r in toxicity.sample_of(docs, labels, chars=100).collect()) == [1, 3, 4]
+
+
+def plain_scores(texts, held):
+    """Scores by the definition: counts, three rounds of forward and backward sums step by step, whole-text likelihood."""
+    from collections import Counter
+    ws = [hmm.words(t) for t in texts]
+    c = Counter(w for w, h in zip(ws, held) if not h for w in w)
+    n, v = sum(c.values()), len(c)
+    own = [w for w in sorted(c, key=lambda w: (-c[w], w)) if w != hmm.END][:hmm.SYMBOLS]
+    symbol, end = {w: i for i, w in enumerate(own)}, hmm.SYMBOLS + hmm.CLASSES
+    mass = np.full(hmm.CLASSES, 0.1)
+    for w in c:
+        if w != hmm.END and w not in symbol:
+            mass[hmm.word_class(w)] += c[w] + 0.1
+    ids = [[end if w == hmm.END else symbol.get(w, hmm.SYMBOLS + hmm.word_class(w)) for w in t] for t in ws]
+    model = hmm.start_model()
+    for _ in range(hmm.ROUNDS):
+        k, m = model["step"].shape[0], len(model["emit"])
+        counts, first, trans = np.full((m, k), 0.01), np.full(k, 0.1), np.full((k, k), 0.1)
+        for t, h in zip(ids, held):
+            if h:
+                continue
+            a = [model["first"] * model["emit"][t[0]]]
+            for i in t[1:]:
+                a.append(a[-1] @ model["step"] * model["emit"][i])
+            b = [np.ones(k)]
+            for i in reversed(t[1:]):
+                b.append(model["step"] @ (model["emit"][i] * b[-1]))
+            b.reverse()
+            p = a[-1].sum()
+            first += a[0] * b[0] / p
+            for j, i in enumerate(t):
+                counts[i] += a[j] * b[j] / p
+                if j:
+                    trans += np.outer(a[j - 1], model["emit"][i] * b[j]) * model["step"] / p
+        model = {"first": first / first.sum(), "step": trans / trans.sum(axis=1, keepdims=True), "emit": counts / counts.sum(axis=0)}
+    out = []
+    for t, w in zip(ids, ws):
+        a = model["first"] * model["emit"][t[0]]
+        for i in t[1:]:
+            a = a @ model["step"] * model["emit"][i]
+        share = sum(math.log10((c[x] + 0.1) / mass[i - hmm.SYMBOLS]) for x, i in zip(w, t) if hmm.SYMBOLS <= i < end)
+        out.append((len(t), sum(c[x] > 0 for x in w), n, sum(math.log10((c[x] + .1) / (n + .1 * (v + 1))) for x in w),
+                    math.log10(a.sum()) + share))
+    return out
+
+
+def test_hmm_scores_equal_plain_recursion(spark, monkeypatch):
+    import random
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice(["a", "B", "b", "the", "cat", "xat", f"w{rnd.randint(0, 9)}"]) for _ in range(rnd.randint(0, 25))) for _ in range(40)]
+    texts += [None, "", " \t ", "café   z"]
+    held = [i % 5 == 0 for i in range(len(texts))]
+    big = 9007199254740993
+    rows = [(None if i == 3 else big + i, t, h, "x", 1) for i, (t, h) in enumerate(zip(texts, held))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, h boolean, ids string, row int").repartition(3)
+    key = lambda r: (r[0] is None, r[0] or 0)
+    for symbols, head, steps in ((8192, 131_072, 50_000), (4, 6, 3), (2, 3, 7)):  # few symbols, a short head, texts longer than a block
+        for name, value in (("SYMBOLS", symbols), ("HEAD", head), ("STEPS", steps)):
+            monkeypatch.setattr(hmm, name, value)
+        got = sorted(map(tuple, hmm.score(df, F.col("h")).collect()), key=key)
+        want = sorted(((r[0], r[2], *s) for r, s in zip(rows, plain_scores(texts, held))), key=key)
+        for g, w in zip(got, want):
+            assert g[:5] == w[:5] and np.allclose(g[5:], w[5:], rtol=1e-9, atol=1e-9), (g, w)
+        assert len(got) == len(want)
+
+
+def test_hmm_goes_through_long_texts_in_blocks(spark, monkeypatch):
+    text = " ".join(f"w{i * i % 97}" for i in range(1000))
+    df = spark.createDataFrame([(1, text), (2, "w1 w4 w9")], "doc_id long, text string")
+    whole = [tuple(r) for r in hmm.score(df, F.lit(False)).orderBy("doc_id").collect()]
+    monkeypatch.setattr(hmm, "STEPS", 100)
+    parts = [tuple(r) for r in hmm.score(df, F.lit(False)).orderBy("doc_id").collect()]
+    assert all(np.allclose(a[2:], b[2:], rtol=1e-10) for a, b in zip(whole, parts))

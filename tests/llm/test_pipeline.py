@@ -78,7 +78,6 @@ def test_chain_equals_plain_version(spark, tmp_path):
     want = {}
     from tokenizers import Tokenizer
     tok, zlib, np = Tokenizer.from_file(P.path("word_bpe_49k.json")), __import__("zlib"), __import__("numpy")
-    tok.encode_special_tokens = True
     for i, t in docs.items():
         out, at = "", 0
         for k, s, e in sorted((x.split(":") for x in spans[i].split(",") if x), key=lambda x: (int(x[1]), pii.KINDS.index(x[0]))):

@@ -1,5 +1,7 @@
 import random
+import zlib
 
+import numpy as np
 import pytest
 
 from keelson.llm import packing, simhash
@@ -30,13 +32,35 @@ def test_groups_equal_brute_force(spark):
     assert [got[i].fingerprint for i in range(len(f))] == [f"{x:016x}" for x in f]
 
 
-def test_word_cache_equals_tokenizer():
+TEXTS = ["It's 42 ÉTÉ ß ²¼ ª_x!! don't", "a\tb\n\nc", "你好 é İ", "a <|endoftext|> b", "", "µm ÿ Ø×÷ 'S", None, "  two  blanks ",
+         "e\u0301 \u0301 x", "ΣΑΣ ΟΔΟΣ", "\u2028a\x1cb\x85c\xa0d", "<|ENDOFTEXT|>", "x" * 500, "don't <|", "İstanbul ﬁ ǅ", "same", "same"]
+
+
+def test_ids_equal_the_plain_library_call(spark, monkeypatch):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
-    cache = packing._Words(tok)
-    for t in ["It's 42 ÉTÉ ß ²¼ ª_x!! don't", "a\tb\n\nc", "你好 é İ", "<|endoftext|> x", "", "µm ÿ Ø×÷ 'S"]:
-        assert packing.token_ids(t, tok, cache) == tok.encode(t, add_special_tokens=False).ids
+    texts = TEXTS + [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    got = packing.encoder(PATH).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+    monkeypatch.setattr(packing, "CACHE", 5)
+    enc = packing.Encoder(PATH)
+    got = [x for n in range(0, 60, 3) for x in enc.encode(texts[n:n + 3])]
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == want[:60]
+
+
+def test_pieces_of_odd_rows(spark):
+    from tokenizers import Tokenizer
+    tok, big = Tokenizer.from_file(PATH), 9007199254740993
+    rows = [(None if n == 3 else big + n // 2, t, "x", 5) for n, t in enumerate(TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sequence_id string, length int").repartition(2)
+    got = packing.pack(docs, PATH, size=64).collect()
+    want = []
+    for i, t, *_ in rows:
+        ids = np.array(tok.encode(t or "", add_special_tokens=False).ids + [1], dtype="<u4")
+        want += [(i, p // 64, p, len(ids[p:p + 64]), zlib.crc32(ids[p:p + 64].tobytes())) for p in range(0, len(ids), 64)]
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    assert sorted((tuple(r)[:5] for r in got), key=key) == sorted(want, key=key)
 
 
 def test_packing_is_gapless_and_tight(spark):
