@@ -809,3 +809,6 @@ def q_admit_commands_ordered(spark, sf):
 # averages often sit exactly on a .xx5 tie, where the last bit of the double — which depends on
 # summation order and differs between engines — decides the rounding. They are covered by unit
 # tests with exact inputs (tests/test_traffic_routing.py), as are the numeric queries above.
+
+
+from keelson.plans import catalog_topics  # noqa: E402,F401  registers the queries of the sources and sinks

@@ -2,9 +2,9 @@
 
 A topic is a table in the Kafka source layout ``key, value, topic, partition, offset, timestamp``.
 With the Kafka connector on the classpath the same functions read and write Kafka; without it
-(this image) a topic is a Parquet *file log* under ``<root>/<topic>``: each write appends files,
-offsets continue from the topic's current end. Operators downstream only see the DataFrame, so
-they are identical for both.
+(this image) a topic is a Parquet *file log* under ``<root>/<topic>``: ``publish`` and the sinks append
+commits with dense offsets (``sources.commitlog``), ``write_topic`` plain files with given offsets. Operators
+downstream only see the DataFrame, so they are identical for all.
 
 Exactly-once on the file log comes from Structured Streaming: source progress lives in the
 checkpoint, and the file sink's commit log hides files of failed attempts.
@@ -18,6 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keelson.plans.numbering import placed
+from keelson.plans.stages import materialize
+from keelson.sources import commitlog
+
 TOPIC_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
     T.StructField("value", T.StringType()),
@@ -56,14 +60,18 @@ def read_topic(spark: SparkSession, root: str, topic: str, kafka_servers: str |
         df = (spark.read.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
               .option("subscribe", topic).option("startingOffsets", "earliest").load())
         return _kafka_frame(df)
+    if commitlog.has_commits(spark, root, topic):
+        return commitlog.read(spark, root, topic)
     return spark.read.schema(TOPIC_SCHEMA).parquet(os.path.join(root, topic))
 
 
 def read_topic_stream(spark: SparkSession, root: str, topic: str, kafka_servers: str | None = None,
-                      max_per_trigger: int | None = None, committed_only: bool = True) -> DataFrame:
+                      max_per_trigger: int | None = None, committed_only: bool = True,
+                      checkpoint: str | None = None) -> DataFrame:
     """Streaming read from the earliest offset. Progress is kept in the query checkpoint (no
-    consumer group). ``max_per_trigger`` caps offsets per micro-batch (Kafka) or files per
-    micro-batch (file log); ``committed_only`` reads only committed transactional records."""
+    consumer group). ``max_per_trigger`` caps records per micro-batch (Kafka, and topics written by
+    ``publish``; these need ``checkpoint``, the query's own, when it is started again) or files per
+    micro-batch (plain files of ``write_topic``); ``committed_only`` reads only committed transactional records."""
     if kafka_servers:
         _require_kafka(spark)
         r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
@@ -73,6 +81,8 @@ def read_topic_stream(spark: SparkSession, root: str, topic: str, kafka_servers:
         if max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", max_per_trigger)
         return _kafka_frame(r.load())
+    if commitlog.has_commits(spark, root, topic):
+        return commitlog.read_stream(spark, root, topic, max_per_trigger or MAX_RECORDS_PER_POLL, checkpoint)
     r = spark.readStream.schema(TOPIC_SCHEMA)
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
@@ -84,6 +94,8 @@ def topic_end(spark: SparkSession, root: str, topic: str) -> DataFrame:
     from keelson.session import path_exists
 
     path = os.path.join(root, topic)
+    if commitlog.has_commits(spark, root, topic):
+        return commitlog.ends(spark, root, topic)
     if not path_exists(spark, path):
         return spark.createDataFrame([], "partition int, next_offset long")
     return (spark.read.schema(TOPIC_SCHEMA).parquet(path).groupBy("partition")
@@ -120,30 +132,37 @@ def write_topic(records: DataFrame, root: str, topic: str, kafka_servers: str |
 
 
 def publish(df: DataFrame, root: str, topic: str, value_col: str = "value", ts_col: str | None = None,
-            order_col: str | None = None, kafka_servers: str | None = None) -> None:
-    """Append string values to a topic (NULL key). On the file log, offsets continue after the
-    topic's current end (one scalar aggregate); ``order_col`` fixes their order, ``ts_col``
-    publishes with the row's own event time."""
+            order_col: str | None = None, kafka_servers: str | None = None, partitions: int = 1,
+            key_col: str | None = None, commit_id: str | None = None) -> None:
+    """Append string values to a topic (NULL key unless ``key_col``) as one commit of the topic's log
+    (``sources.commitlog``): dense offsets after the topic's end in ``order_col`` order, all visible at once, once for a
+    ``commit_id``. ``ts_col`` publishes with the row's own event time."""
     if kafka_servers:
         write_topic(as_records(df, topic, value_col, ts_col, order_col), root, topic, kafka_servers)
         return
-    end = topic_end(df.sparkSession, root, topic).agg(F.max("next_offset")).first()[0] or 0
-    write_topic(as_records(df, topic, value_col, ts_col, order_col, base_offset=end), root, topic)
+    ts = F.col(ts_col).cast("timestamp") if ts_col else F.current_timestamp()
+    key = F.col(key_col) if key_col else F.lit(None)
+    order = [F.col(order_col).alias("order")] if order_col else []
+    rows = df.select(key.cast("string").alias("key"), F.col(value_col).alias("value"), ts.alias("timestamp"), *order)
+    commitlog.append(rows, root, topic, "order" if order_col else None, partitions, commit_id)
 
 
 # ---------------------------------------------------------------- text files
 
-LINE_BITS = 27  # a split of at most 128 MiB holds fewer than 2**27 lines
+def text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files: ``file``, ``seq`` (line of the file, from 0), ``line`` (line of all files in path order) and
+    ``value``. The lines are written once with their byte range and place in it; the ranges' counts are summed up
+    (``plans.numbering``), so the numbers are dense and do not depend on how the files are split."""
+    df = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"),
+                                      F.monotonically_increasing_id().alias("_at"), "value")
+    lines = placed(materialize(df, force=True), ["file", "_start"])
+    at = F.col("_at") - F.col("_first")
+    return lines.select("file", (F.col("_base") + at).alias("seq"), (F.col("_all") + at).alias("line"), "value")
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files with a stable order: ``file, seq, value``. ``seq`` is
-    ``split start * 2**27 + line index in the task`` — increasing in file order, identical on
-    re-reads with the same split size, and computed without any shuffle."""
-    df = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    seq = F.col("file_block_start") * F.lit(1 << LINE_BITS) + local
-    return df.select(F.col("file_path").alias("file"), seq.alias("seq"), "value")
+    """Lines of text files in a stable order: ``file, seq, value``; (file, seq) names a line."""
+    return text_lines(spark, path).select("file", "seq", "value")
 
 
 def read_lidar_scans(spark: SparkSession, path: str) -> DataFrame:
@@ -154,14 +173,14 @@ def read_lidar_scans(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_traffic_file(spark: SparkSession, path: str, topic: str = "traffic-data") -> DataFrame:
-    """Traffic text file as topic records with the line's own instant as record timestamp
-    (lines whose instant does not parse get NULL)."""
+    """Traffic text files as topic records with the line's own instant as record timestamp
+    (lines whose instant does not parse get NULL); offsets count the lines of all files in path order."""
     from keelson.functions.parsing import parse_instant
 
-    lines = read_text_lines(spark, path)
+    lines = text_lines(spark, path)
     first = F.get(F.split(F.col("value"), r"\s+", -1), 0)
     return lines.select(F.lit(None).cast("string").alias("key"), "value", F.lit(topic).alias("topic"),
-                        F.lit(0).alias("partition"), F.col("seq").alias("offset"),
+                        F.lit(0).alias("partition"), F.col("line").alias("offset"),
                         parse_instant(first).alias("timestamp"))
 
 
@@ -197,19 +216,21 @@ def topic_source(spark: SparkSession, root: str, topic: str, kafka_servers: str
 
 
 def topic_source_committed(spark: SparkSession, root: str, topic: str, kafka_servers: str | None = None,
-                           max_per_trigger: int = MAX_RECORDS_PER_POLL) -> DataFrame:
+                           max_per_trigger: int = MAX_RECORDS_PER_POLL, checkpoint: str | None = None) -> DataFrame:
     """Committed records only, at most ``max_per_trigger`` per micro-batch, progress in the
-    query checkpoint (``read_topic_stream``)."""
-    return read_topic_stream(spark, root, topic, kafka_servers, max_per_trigger, committed_only=True)
+    query checkpoint, which a restarted query names here (``commitlog.read_stream``)."""
+    if kafka_servers:
+        return read_topic_stream(spark, root, topic, kafka_servers, max_per_trigger, committed_only=True)
+    return commitlog.read_stream(spark, root, topic, max_per_trigger, checkpoint)
 
 
 def topic_sink(df: DataFrame, root: str, topic: str, value_col: str = "value",
-               kafka_servers: str | None = None) -> None:
-    """Append string values with a NULL key (``publish``)."""
-    publish(df, root, topic, value_col, kafka_servers=kafka_servers)
+               kafka_servers: str | None = None, **how) -> None:
+    """Append string values with a NULL key (``publish``, which takes ``how``)."""
+    publish(df, root, topic, value_col, kafka_servers=kafka_servers, **how)
 
 
 def topic_sink_with_event_time(df: DataFrame, root: str, topic: str, ts_col: str, value_col: str = "value",
-                               kafka_servers: str | None = None) -> None:
-    """Append values with each row's own event time as record timestamp (``publish``)."""
-    publish(df, root, topic, value_col, ts_col=ts_col, kafka_servers=kafka_servers)
+                               kafka_servers: str | None = None, **how) -> None:
+    """Append values with each row's own event time as record timestamp (``publish``, which takes ``how``)."""
+    publish(df, root, topic, value_col, ts_col=ts_col, kafka_servers=kafka_servers, **how)
