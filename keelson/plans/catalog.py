@@ -811,4 +811,4 @@ def q_admit_commands_ordered(spark, sf):
 # tests with exact inputs (tests/test_traffic_routing.py), as are the numeric queries above.
 
 
-from keelson.plans import catalog_topics  # noqa: E402,F401  registers the queries of the sources and sinks
+from keelson.plans import catalog_streams, catalog_topics  # noqa: E402,F401  register their queries
