@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from keelson.llm.sequences import backward, by_length, forward
 from keelson.plans.stages import materialize
 
-STATES, SYMBOLS, CLASSES, HEAD, ROUNDS, STEPS = 8, 8192, 64, 131_072, 3, 50_000
+STATES, SYMBOLS, CLASSES, HEAD, ROUNDS, STEPS = 8, 8192, 64, 131_072, 3, 160_000
+EVERY = 8  # steps between normalisations of the forward sums
 WORDS = 300_000  # different words a task counts before it passes them on
 END = b" "  # no word holds a space
 
@@ -128,7 +129,7 @@ def _long_forward(ids: np.ndarray, model: dict):
     """A long text in blocks: of each block its symbols, the state distribution before it, and its log10 likelihood."""
     first, out = model["first"], []
     for part in _blocks(ids):
-        alpha, scale = forward(model["emit"][part], np.array([0]), np.array([len(part)]), first, model["step"])
+        alpha, scale = forward(model["emit"][part], np.array([0]), np.array([len(part)]), first, model["step"], EVERY)
         out.append((part, first, float(np.log10(scale).sum())))
         first = alpha[-1] @ model["step"]
     return out
@@ -150,7 +151,7 @@ def expected(codes: DataFrame, model: dict) -> DataFrame:
         def add(ids, starts, n, begin, last=None):
             """Adds the group's counts; returns its alphas, and the weight of each state's next step into it."""
             emit = model["emit"][ids]
-            alpha, scale = forward(emit, starts, n, begin, model["step"])
+            alpha, scale = forward(emit, starts, n, begin, model["step"], EVERY)
             beta = backward(emit, scale, starts, n, model["step"], last)
             gamma = alpha * beta
             inner = np.ones(len(ids), bool)
@@ -212,7 +213,7 @@ def likelihood(codes: DataFrame, model: dict) -> DataFrame:
             if len(ids) > STEPS and len(n) == 1:
                 out[group] = sum(x for _, _, x in _long_forward(ids, model))
                 continue
-            _, scale = forward(model["emit"][ids], starts, n, model["first"], model["step"])
+            _, scale = forward(model["emit"][ids], starts, n, model["first"], model["step"], EVERY)
             out[group] = np.add.reduceat(np.log10(scale), starts)
         return pd.Series(out)
 

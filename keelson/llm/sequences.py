@@ -30,16 +30,24 @@ def _by_step(starts: np.ndarray, lengths: np.ndarray):
     return active.tolist(), first.tolist(), at
 
 
-def forward(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: np.ndarray, step: np.ndarray):
-    """Normalised alphas and scales of sequences given longest first; ``emit`` is (steps, states)."""
+def forward(emit: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: np.ndarray, step: np.ndarray, every: int = 1):
+    """Alphas and scales of sequences given longest first; ``emit`` is (steps, states). Alphas are normalised at every
+    ``every``-th step and at the last one; the scales of the other steps are 1. The scales of a sequence multiply to its
+    likelihood, and alphas times the betas of these scales are its marginals, whichever steps are normalised."""
     active, place, at = _by_step(starts, lengths)
     a, s, move = np.ascontiguousarray(emit[at].T), np.ones(len(at)), np.ascontiguousarray(step.T)
     for t, m in enumerate(active):
         lo, hi = place[t], place[t] + m
         here = a[:, lo:hi]
         here *= first[:, None] if t == 0 else move @ a[:, place[t - 1]:place[t - 1] + m]
-        s[lo:hi] = total = here.sum(axis=0)
-        here /= total
+        if t % every == 0:
+            s[lo:hi] = total = here.sum(axis=0)
+            here /= total
+    if every > 1:
+        some = np.flatnonzero((lengths > 0) & ((lengths - 1) % every != 0))
+        last = np.array(place, int)[lengths[some] - 1] + some
+        s[last] = total = a[:, last].sum(axis=0)
+        a[:, last] /= total
     alpha, scale = np.empty_like(emit), np.ones(len(emit))
     alpha[at], scale[at] = a.T, s
     return alpha, scale

@@ -26,6 +26,19 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(g[:, 1] / g.sum(axis=1), on / total)
 
 
+def test_forward_normalised_at_some_steps_only():
+    rng = np.random.default_rng(1)
+    n = np.array([20, 17, 9, 8, 3, 1])
+    starts = np.cumsum(n) - n
+    emit, step, first = rng.random((n.sum(), 3)) * 0.01, rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(3))
+    alpha, scale = sequences.forward(emit, starts, n, first, step)
+    beta = sequences.backward(emit, scale, starts, n, step)
+    for every in (2, 8, 50):
+        a, s = sequences.forward(emit, starts, n, first, step, every)
+        assert np.allclose(np.add.reduceat(np.log(s), starts), np.add.reduceat(np.log(scale), starts))
+        assert np.allclose(a * sequences.backward(emit, s, starts, n, step), alpha * beta)
+
+
 def test_search_recall_and_scores(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     rows += [(100_000, None), (100_020, [0.0] * len(rows[0][1])), (100_040, [float("nan")] * len(rows[0][1]))]
