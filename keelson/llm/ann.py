@@ -6,7 +6,9 @@ probable part and every query to several: the fewest that reach ``TARGET`` recal
 at most ``HELD`` rows kept out of the fit, and more where these parts hold too few candidates. Parts are split into
 candidate and query blocks by their counted sizes, so a hot part is many tasks; each pair of blocks is scored
 in double precision and the best k of each query over all its blocks stay, ties to the smaller id.
-Null and zero vectors and those with null or non-finite components take no part.
+Null and zero vectors, those with null or non-finite components, those of another length than most and rows with a null
+id take no part. Rows that repeat an id are candidates each, but not of a query of that id; a query id given twice gets one list
+of k rows from the nearest of both, where a candidate near both may stand twice. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,9 +23,14 @@ HELD = 300  # rows kept out of the fit, at most a tenth of those drawn
 
 
 def usable(vectors: DataFrame) -> DataFrame:
+    """vec_id and v of the rows that take part; those of another length than most (the longer of equally frequent ones)
+    and those with a null id do not."""
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     good = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return v.filter(F.col("v").isNotNull() & good & F.exists("v", lambda x: x != 0))
+    v = v.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & good & F.exists("v", lambda x: x != 0))
+    sizes = v.groupBy(F.size("v").alias("size")).agg(F.count("*").alias("n"))
+    common = sizes.agg(F.max_by("size", F.struct("n", "size")).alias("size")).first()["size"]  # one row
+    return v.filter(F.size("v") == F.lit(common))
 
 
 def balanced_parts(graph: np.ndarray, parts: int, rounds: int = 12) -> np.ndarray:

@@ -190,3 +190,22 @@ def test_hmm_goes_through_long_texts_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(hmm, "STEPS", 100)
     parts = [tuple(r) for r in hmm.score(df, F.lit(False)).orderBy("doc_id").collect()]
     assert all(np.allclose(a[2:], b[2:], rtol=1e-10) for a, b in zip(whole, parts))
+
+
+def test_search_takes_odd_rows(spark):
+    rng = np.random.default_rng(2)
+    big = 9007199254740980
+    rows = [(big + i, rng.normal(size=8).astype(float).tolist(), "v", 1) for i in range(90)]
+    odd = [(None, rows[0][1], "v", 1), (None, None, None, None), (40, [1.0] * 7, "v", 1), (60, [1.0] * 9, "v", 1), (80, [], "v", 1),
+           (100, [None] * 8, "v", 1), (120, [float("inf")] * 8, "v", 1), (140, [0.0] * 8, "v", 1), (None, [1.0] * 7, "v", 2)]
+    ties = [(7, rows[5][1], "v", 1), (3, rows[5][1], "v", 1)]
+    df = spark.createDataFrame(rows + odd + ties, "vec_id long, embedding array<double>, v string, part int").repartition(3)
+    good = {i: np.array(e) for i, e, *_ in rows + ties}
+    want = []
+    for q in (i for i in good if i % 20 == 0):
+        near = sorted(((-float((good[i] * good[q]).sum()), i) for i in good if i != q))[:20]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(near, 1)]
+    got = sorted(tuple(r) for r in ann.search(df, F.col("vec_id") % 20 == 0).collect())
+    assert [r[:3] for r in got] == [r[:3] for r in sorted(want)] and np.allclose([r[3] for r in got], [r[3] for r in sorted(want)])
+    assert ann.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    assert ann.search(df.filter("vec_id IS NULL"), F.col("vec_id") % 20 == 0).count() == 0
