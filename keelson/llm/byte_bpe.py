@@ -14,6 +14,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 PIECE = 1 << 16  # characters after which a long text is split at the next safe boundary
 # before a space between two plain ASCII words: the space opens a new " ?\p{L}+" or " ?\p{N}+" match
@@ -29,6 +30,11 @@ def encoder(path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.lru_cache(maxsize=4)
+def _names(path: str, pattern: str) -> list[str]:
+    return [str(i) for i in range(encoder(path, pattern).n_vocab)]
+
+
 def pieces(text: str, size: int = PIECE):
     at = 0
     while len(text) - at > size:
@@ -46,18 +52,16 @@ def encode(text: str | None, path: str, pattern: str, size: int = PIECE) -> list
 
 
 def encode_digest(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 for every whole text."""
-    def run(batches):
-        enc = encoder(path, pattern)
-        names = [str(i) for i in range(enc.n_vocab)]
-        for b in batches:
-            out = []
-            for doc_id, text in zip(b["doc_id"], b["text"]):
-                ids = encode(text, path, pattern)
-                out.append((doc_id, len(ids),
-                            hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(),
-                            hashlib.sha256(enc.decode_bytes(ids)).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select("doc_id", "text").mapInPandas(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 for every whole text. Only the text travels through Python: null,
+    repeated and large ids stay as they are; extra columns are ignored; an empty table gives an empty result."""
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def run(text: pd.Series) -> pd.DataFrame:
+        enc, out = encoder(path, pattern), []
+        names = _names(path, pattern)
+        for t in text:
+            ids = encode(t, path, pattern)
+            out.append((len(ids), hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(),
+                        hashlib.sha256(enc.decode_bytes(ids)).hexdigest()))
+        return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select("doc_id", run("text").alias("p")).select("doc_id", "p.n_tokens", "p.ids_sha256", "p.decoded_sha256")

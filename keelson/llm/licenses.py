@@ -14,8 +14,9 @@ import re
 from bisect import bisect_left
 from collections import Counter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # fixed values: short license notices
 TEMPLATES = {
@@ -154,19 +155,26 @@ def best(found: list[tuple]) -> list[tuple]:
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, named: dict[str, str] = NAMED,
                   notices: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """One row per match: doc_id, license, start, end (code points), coverage. ``notices`` (license, text, words that
-    must match) holds any number for a license and stands in for ``templates`` and ``named``."""
+    must match) holds any number for a license and stands in for ``templates`` and ``named``. Each row is scanned on its
+    own, whatever its id (null, repeated, any long); null and empty texts and empty tables give no rows; extra columns are
+    ignored."""
     notices = notices or [(k, v, named.get(k, "")) for k, v in templates.items()]
 
     def run(batches):
         own = [(k, tokens(v), tokens(n)) for k, v, n in notices]
         for b in batches:
             out = []
-            for doc_id, text in zip(b["doc_id"], b["text"]):
+            for row, text in enumerate(b.column("text").to_pylist()):
                 places = list(_WORD.finditer(text or ""))
                 words = [m.group().lower() for m in places]
                 where = places_of(words)
                 found = [(k, *m, len(t)) for k, t, n in own for m in scan(words, t, n, where)]
-                out += [(doc_id, k, places[s].start(), places[e - 1].end(), c) for k, s, e, c, _ in best(found)]
-            yield pd.DataFrame(out, columns=["doc_id", "license", "start", "end", "coverage"])
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, license string, start long, end long, coverage double")
+                out += [(row, k, places[s].start(), places[e - 1].end(), c) for k, s, e, c, _ in best(found)]
+            if out:
+                rows, *cols = zip(*out)
+                types = (pa.string(), pa.int64(), pa.int64(), pa.float64())
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(rows)), *map(pa.array, cols, types)],
+                                                 names=["doc_id", "license", "start", "end", "coverage"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, license string, start long, end long, coverage double")

@@ -13,7 +13,7 @@ import re
 from collections import Counter
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,22 +121,27 @@ def _score(texts, model, cache):
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, score, predicted, offsets (start:end of tokens whose marginal is at least one half)."""
+    """doc_id, score, predicted, offsets (start:end of tokens whose marginal is at least one half). Each row is scored on
+    its own, whatever its id (null, repeated, any long); a null text counts as empty; extra columns are ignored; an empty
+    table gives an empty result."""
     def run(batches):
         cache = _Unary(model)
         for b in batches:
-            out = []
-            for i in range(0, len(b), 1000):
-                texts = [t or "" for t in b["text"][i:i + 1000]]
+            out, whole = [], b.column("text").to_pylist()
+            for i in range(0, len(whole), 1000):
+                texts = [t or "" for t in whole[i:i + 1000]]
                 words = [_TOKEN.findall(t.lower()) for t in texts]
-                for doc_id, t, (f, part) in zip(b["doc_id"][i:i + 1000], texts, _score(words, model, cache)):
+                for t, (f, part) in zip(texts, _score(words, model, cache)):
                     s = float(_sigmoid(np.dot(f, model["doc"])))
                     hot = set(np.flatnonzero(part >= 0.5).tolist())
                     spans = [f"{m.start()}:{m.end()}" for j, m in enumerate(_TOKEN.finditer(t.lower())) if j in hot] if hot else []
-                    out.append((doc_id, s, int(s >= 0.5), ",".join(spans)))
-            yield pd.DataFrame(out, columns=["doc_id", "score", "predicted", "offsets"])
+                    out.append((s, int(s >= 0.5), ",".join(spans)))
+            types = (pa.float64(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array([r[n] for r in out], t) for n, t in enumerate(types))],
+                                             names=["doc_id", "score", "predicted", "offsets"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, score double, predicted int, offsets string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, score double, predicted int, offsets string")
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, n: int = SAMPLE, chars: int = CHARS) -> DataFrame:
