@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import codecs, geometry
+from keelson.functions.exact import exact_sum
 from keelson.plans.ordered import DEFAULT_BUCKET_WIDTH, change_count, running_sum, shift
 from keelson.plans.stages import materialize
 
@@ -102,8 +103,9 @@ def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = ()
 
     ``monotone=True`` declares that rotation ids never decrease along the order (true for the
     output of ``scan_group`` / ``scan_points``): then every rotation is one run and the result
-    needs aggregates only — per rotation the sum, the first segment and the count, per key the
-    first and last rotation — and no ordered pass at all."""
+    needs aggregates only — per rotation the sum with and without its first segment (exact sums, so
+    a large first segment leaves no trace in the small rest), per key the first and last rotation —
+    and no ordered pass at all."""
     keys = list(key_cols)
     if monotone:
         return _legacy_monotone(segments, keys, order_col, scan_col)
@@ -125,15 +127,16 @@ def scan_total_distance_legacy(segments: DataFrame, key_cols: Sequence[str] = ()
 
 
 def _legacy_monotone(segments: DataFrame, keys: list[str], order_col: str, scan_col: str) -> DataFrame:
+    first = F.min_by(F.col("distance"), F.col(order_col))
     per_scan = materialize(segments.groupBy(*keys, scan_col).agg(
-        F.sum("distance").alias("_sum"), F.min_by(F.col("distance"), F.col(order_col)).alias("_first")))
+        exact_sum("distance").alias("_sum"), exact_sum("distance", less=first).alias("_rest")))
     w_keys = per_scan.groupBy(*keys).agg(F.min(scan_col).alias("_lo"), F.max(scan_col).alias("_hi"))
     runs = (per_scan.join(w_keys, on=keys) if keys
             else per_scan.withColumn("_lo", w_keys.select("_lo").scalar())
             .withColumn("_hi", w_keys.select("_hi").scalar()))
     # the leading run keeps its first segment only when it is rotation 0
     keep_first = (F.col(scan_col) == F.col("_lo")) & (F.col(scan_col) == 0)
-    distance = F.when(keep_first, F.col("_sum")).otherwise(F.col("_sum") - F.col("_first"))
+    distance = F.when(keep_first, F.col("_sum")).otherwise(F.col("_rest"))
     emitted = runs.filter(F.col(scan_col) < F.col("_hi")).select(
         *keys, scan_col, distance.alias("distance"))
     lead_zero = runs.filter((F.col(scan_col) == F.col("_lo")) & (F.col(scan_col) != 0)).select(
