@@ -25,3 +25,11 @@ def exact_sum(value: str, less: Column | None = None) -> Column:
     if less is not None:
         total, plain = F.try_subtract(total, _decimal(less)), plain - less
     return F.coalesce(F.when(whole, total.cast("double")), plain)
+
+
+SMALL = 1e8  # below it, 1e12 terms of 18 places fit in a decimal(38,18)
+
+
+def exact_term(c: Column) -> Column:
+    """``c`` as a decimal for running sums that can't overflow; null where it is not below ``SMALL`` in size."""
+    return F.when(F.abs(c) < SMALL, c).try_cast(DECIMAL)

@@ -10,9 +10,9 @@ last marker is a create; their history is that create's position followed by the
 of the moves after it. History is kept as rows ``(name, pos_idx, x, y)`` — never as one array
 per vehicle — so a vehicle with a very long history is still spread over many tasks.
 
-Note on doubles: positions are ``start + running sum of vectors``, added in bucket order; for
-vectors with integral or short binary fractions this equals the step-by-step fold exactly,
-otherwise it may differ in the last bits.
+Positions are exact sums of the start and the vectors as decimals of 17 places, rounded to a double once
+(``functions/exact``): they depend neither on bucket width nor partitioning. A life that holds a number
+of 1e8 or more, or no number, has plain sums of doubles instead.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions import geometry
+from keelson.functions.exact import DECIMAL, exact_term
 from keelson.plans.ordered import DEFAULT_BUCKET_WIDTH, running_sum
 from keelson.plans.stages import materialize
 
@@ -56,14 +57,20 @@ def project_vehicles(cmds: DataFrame, bucket_width: int = DEFAULT_BUCKET_WIDTH)
     moves = (cmds.filter(F.col("type") == "move").select("name", "seq", "x", "y")
              .join(live, on="name", how="inner")
              .filter(F.col("seq") > F.col("start_seq")))
-    moves = running_sum(moves, ["name"], "seq",
-                        {"pos_idx": F.lit(1), "_sx": F.col("x"), "_sy": F.col("y")},
-                        bucket_width=bucket_width)
-    steps = moves.select("name", F.col("pos_idx").cast("long").alias("pos_idx"),
-                         (F.col("x0") + F.col("_sx")).alias("x"), (F.col("y0") + F.col("_sy")).alias("y"))
-    starts = live.select("name", F.lit(0).cast("long").alias("pos_idx"), F.col("x0").alias("x"),
-                         F.col("y0").alias("y"))
-    return starts.unionByName(steps)
+    starts = live.select("name", F.col("start_seq").alias("seq"), F.col("x0").alias("x"), F.col("y0").alias("y"))
+    sums = _running_positions(starts.unionByName(moves.select("name", "seq", "x", "y")), bucket_width)
+    return sums.select("name", (F.col("_k") - 1).cast("long").alias("pos_idx"), "x", "y")
+
+
+def _running_positions(rows: DataFrame, bucket_width: int) -> DataFrame:
+    """``name, seq, x, y`` (a start, then vectors) to ``name, _k`` (from 1) and the positions ``x, y``."""
+    terms = {"_k": F.lit(1)}
+    for c in ("x", "y"):
+        term = exact_term(F.col(c))
+        terms |= {f"_d{c}": F.coalesce(term, F.lit(0).cast(DECIMAL)), f"_s{c}": F.col(c), f"_n{c}": term.isNull().cast("int")}
+    sums = running_sum(rows, ["name"], "seq", terms, bucket_width=bucket_width)
+    at = lambda c: F.when(F.col(f"_n{c}") == 0, F.col(f"_d{c}").cast("double")).otherwise(F.col(f"_s{c}"))
+    return sums.select("name", "seq", "_k", at("x").alias("x"), at("y").alias("y"))
 
 
 def apply_commands(history: DataFrame, cmds: DataFrame, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
@@ -84,10 +91,11 @@ def apply_commands(history: DataFrame, cmds: DataFrame, bucket_width: int = DEFA
                                     F.max("pos_idx").alias("_last"))
     moves = (cmds.filter(F.col("type") == "move").select("name", "seq", "x", "y")
              .join(marked, on="name", how="left_anti").join(last, on="name", how="inner"))
-    moves = running_sum(moves, ["name"], "seq", {"_k": F.lit(1), "_sx": F.col("x"), "_sy": F.col("y")},
-                        bucket_width=bucket_width)
-    steps = moves.select("name", (F.col("_last") + F.col("_k")).cast("long").alias("pos_idx"),
-                         (F.col("_p.x") + F.col("_sx")).alias("x"), (F.col("_p.y") + F.col("_sy")).alias("y"))
+    first = last.join(moves.groupBy("name").agg(F.min("seq").alias("_from")), "name").select(
+        "name", (F.col("_from") - 1).alias("seq"), F.col("_p.x").alias("x"), F.col("_p.y").alias("y"))
+    sums = _running_positions(first.unionByName(moves.select("name", "seq", "x", "y")), bucket_width).filter("_k > 1")
+    steps = sums.join(last.select("name", "_last"), "name").select(
+        "name", (F.col("_last") + F.col("_k") - 1).cast("long").alias("pos_idx"), "x", "y")
     return kept.select("name", "pos_idx", "x", "y").unionByName(steps).unionByName(fresh)
 
 

@@ -716,6 +716,12 @@ def q_dedupe_by_mid(spark, sf):
 
 # ------------------------------------------------------------------ stateful folds (batch mode)
 
+@register("project_vehicles_history", _sql(_PROJ, "SELECT * FROM history"))
+def q_project_vehicles_history(spark, sf):
+    # the stateful fold that writes every position, read back as the history of the live vehicles
+    return sv.live_history(sv.vehicle_history_stream(_cmds(spark, sf)))
+
+
 @register("project_vehicles_fold", _sql(_PROJ, """,
     applied AS (
         SELECT m.name, m.seq FROM m JOIN live l ON m.name = l.name AND m.epoch = l.start_seq

@@ -5,6 +5,8 @@ our sessions), so it is checkpointed with the query and never held whole by the
 
 * ``project_vehicles_stream`` folds commands per vehicle name (update mode: one row per name
   touched in a micro-batch, with its state after the batch).
+* ``vehicle_history_stream`` writes every position once, with the ends of lives and the late commands
+  beside them; ``live_history`` and ``late_commands`` read its output.
 * ``admit_commands_ordered`` judges each command after all earlier ones of its world are
   applied. Obstacle removal couples all vehicles of a world, so the fold is keyed by
   ``world_id`` and parallel across worlds. Positions are indexed in a grid kept in a MapState,
@@ -19,18 +21,22 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from keelson.functions.exact import SMALL
 from keelson.operators.admission import MAX_MOVES
 from keelson.operators.vehicles import CLOSENESS, well_formed
+from keelson.plans.stages import materialize
 
 ADMISSION_SCHEMA = ("world_id int, seq long, sub_seq int, verdict string, type string, name string, "
                     "x double, y double")
+HISTORY_SCHEMA = "name string, kind string, seq long, start_seq long, pos_idx long, x double, y double"
 FOLD_SCHEMA = "name string, live boolean, x double, y double, moves int, last_seq long"
 
 
@@ -60,52 +66,148 @@ def _prepare(df: DataFrame, key: str, presorted: bool) -> DataFrame:
 
 # ---------------------------------------------------------------- read model fold
 
+class _Sum:
+    """An exact running sum of decimals with 18 places, read with 17; plain once a number does not fit, as in the
+    set-based read model."""
+
+    def __init__(self, units: int = 0, plain: float = 0.0, whole: bool = True):
+        self.units, self.plain, self.whole = units, plain, whole
+
+    def add(self, v: float) -> None:
+        self.plain += v
+        if abs(v) < SMALL:
+            self.units += int(Decimal(repr(v)).scaleb(18).to_integral_value(ROUND_HALF_UP))
+        else:
+            self.whole = False
+
+    def value(self) -> float:
+        if not self.whole:
+            return self.plain
+        tenth = (abs(self.units) + 5) // 10
+        return float(Fraction(-tenth if self.units < 0 else tenth, 10 ** 17))
+
+    def kept(self) -> str:
+        return f"{self.units} {self.plain!r} {int(self.whole)}"
+
+    @classmethod
+    def of(cls, kept: str) -> _Sum:
+        units, plain, whole = kept.split()
+        return cls(int(units), float(plain), whole == "1")
+
+
+class _Life:
+    """One vehicle: ``live``, start and last applied ``seq``, moves, sums of x and y, greatest ``seq`` seen."""
+
+    DDL = "live boolean, start_seq long, moves int, x string, y string, last_seq long, seen long"
+
+    def __init__(self, kept: tuple | None):
+        self.live, self.start, self.moves, x, y, self.last, self.seen = kept or (False, None, 0, None, None, None, None)
+        self.x, self.y = (_Sum.of(x), _Sum.of(y)) if x else (None, None)
+
+    def kept(self) -> tuple:
+        x, y = (self.x.kept(), self.y.kept()) if self.live else (None, None)
+        return self.live, self.start, self.moves, x, y, self.last, self.seen
+
+    def apply(self, kind: str, seq: int, x, y) -> bool:
+        """Whether the command counts: a move of an absent vehicle does not. Commands come in ``seq`` order."""
+        self.seen = seq
+        if kind == "move":
+            if not self.live:
+                return False
+            self.moves += 1
+        else:
+            self.live, self.start, self.moves = kind == "create", seq if kind == "create" else None, 0
+            self.x, self.y = (_Sum(), _Sum()) if self.live else (None, None)
+        if self.live:
+            self.x.add(float(x))
+            self.y.add(float(y))
+        self.last = seq
+        return True
+
+    def at(self) -> tuple:
+        return (self.x.value(), self.y.value()) if self.live else (None, None)
+
+
+def _commands(pdf: pd.DataFrame) -> Iterator[tuple]:
+    return zip(pdf["type"], pdf["seq"].astype("int64").tolist(), pdf["x"], pdf["y"])
+
+
 class VehicleFoldProcessor(StatefulProcessor):
     def __init__(self, presorted: bool):
         self.presorted = presorted
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("vehicle", "live boolean, x double, y double, moves int, last_seq long")
+        self.state = handle.getValueState("vehicle", _Life.DDL)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        live, x, y, moves, last = (self.state.get() if self.state.exists() else (False, None, None, 0, None))
+        life = _Life(self.state.get() if self.state.exists() else None)
+        before = life.seen
         for pdf in _ordered_chunks(rows, self.presorted):
-            # vectorised per chunk: the last create/remove decides; moves after it add up
-            t = pdf["type"].to_numpy()
-            seq = pdf["seq"].to_numpy(dtype="int64")
-            vx = pdf["x"].to_numpy(dtype="float64")
-            vy = pdf["y"].to_numpy(dtype="float64")
-            marks = np.flatnonzero((t == "create") | (t == "remove"))
-            if len(marks):
-                m = int(marks[-1])
-                if t[m] == "create":
-                    live, x, y, moves = True, float(vx[m]), float(vy[m]), 0
-                else:
-                    live, x, y, moves = False, None, None, 0
-                last = int(seq[m])
-                tail = slice(m + 1, None)
-            else:
-                tail = slice(0, None)
-            mv = t[tail] == "move"
-            if live and mv.any():
-                x = x + float(vx[tail][mv].sum())
-                y = y + float(vy[tail][mv].sum())
-                moves += int(mv.sum())
-                last = int(seq[tail][mv][-1])
-        self.state.update((live, x, y, moves, last))
-        yield pd.DataFrame([{"name": key[0], "live": live, "x": x, "y": y, "moves": moves, "last_seq": last}])
+            for kind, seq, x, y in _commands(pdf):
+                if before is None or seq > before:
+                    life.apply(kind, seq, x, y)
+        self.state.update(life.kept())
+        x, y = life.at()
+        yield pd.DataFrame([{"name": key[0], "live": life.live, "x": x, "y": y, "moves": life.moves, "last_seq": life.last}])
 
     def close(self) -> None:
         pass
 
 
+class VehicleHistoryProcessor(VehicleFoldProcessor):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        life = _Life(self.state.get() if self.state.exists() else None)
+        before = life.seen
+        for pdf in _ordered_chunks(rows, self.presorted):
+            out = []
+            for kind, seq, x, y in _commands(pdf):
+                if before is not None and seq <= before:
+                    out.append(("late", seq, None, None, None, None))
+                    continue
+                was = life.start if life.live else None
+                if not life.apply(kind, seq, x, y):
+                    continue
+                if kind != "move" and was is not None:
+                    out.append(("end", seq, was, None, None, None))
+                if life.live:
+                    out.append(("at", seq, life.start, life.moves, *life.at()))
+            yield pd.DataFrame([(key[0], *r) for r in out], columns=[c.split()[0] for c in HISTORY_SCHEMA.split(", ")])
+        self.state.update(life.kept())
+
+
+def _folded(cmds: DataFrame, processor, schema: str, mode: str, presorted: bool) -> DataFrame:
+    presorted = presorted and not cmds.isStreaming
+    cmds = _prepare(well_formed(cmds).select("name", "seq", "type", F.col("x").cast("double").alias("x"),
+                                             F.col("y").cast("double").alias("y")), "name", presorted)
+    return cmds.groupBy("name").transformWithStateInPandas(processor(presorted), schema, mode, "None")
+
+
 def project_vehicles_stream(cmds: DataFrame, presorted: bool = True) -> DataFrame:
     """Incremental read model: per name touched, ``live, x, y, moves, last_seq`` after the
-    micro-batch. Rows with an unknown type are ignored."""
-    cmds = cmds.filter(F.col("type").isin("create", "move", "remove") & F.col("name").isNotNull())
-    cmds = _prepare(cmds.select("name", "seq", "type", "x", "y"), "name", presorted and not cmds.isStreaming)
-    return cmds.groupBy("name").transformWithStateInPandas(
-        VehicleFoldProcessor(presorted and not cmds.isStreaming), FOLD_SCHEMA, "Update", "None")
+    micro-batch. Malformed commands are ignored, as are late ones: those at or behind the greatest ``seq`` that
+    earlier micro-batches had for the name (``vehicle_history_stream`` reports them)."""
+    return _folded(cmds, VehicleFoldProcessor, FOLD_SCHEMA, "Update", presorted)
+
+
+def vehicle_history_stream(cmds: DataFrame, presorted: bool = True) -> DataFrame:
+    """The read model with history, as an append stream ``name, kind, seq, start_seq, pos_idx, x, y``: a row ``at`` for
+    each position of the life opened at ``start_seq``, a row ``end`` for each life that a remove or a new create ends, a
+    row ``late`` for each command at or behind the greatest ``seq`` that earlier micro-batches had for its name, which
+    changes nothing. The state holds one row for each vehicle, however long its history. A position that is NaN is null."""
+    return _folded(cmds, VehicleHistoryProcessor, HISTORY_SCHEMA, "Append", presorted)
+
+
+def live_history(rows: DataFrame) -> DataFrame:
+    """``name, pos_idx, x, y`` of the live vehicles, from the rows ``vehicle_history_stream`` has written so far: equal
+    to ``project_vehicles`` over the commands that were not late."""
+    rows = materialize(rows)
+    over = rows.filter("kind = 'end'").select(F.col("name").alias("_name"), F.col("start_seq").alias("_start"))
+    ended = (F.col("name") == F.col("_name")) & (F.col("start_seq") == F.col("_start"))
+    return rows.filter("kind = 'at'").join(over, ended, "left_anti").select("name", "pos_idx", "x", "y")
+
+
+def late_commands(rows: DataFrame) -> DataFrame:
+    return rows.filter("kind = 'late'").select("name", "seq")
 
 
 # ---------------------------------------------------------------- ordered admission
