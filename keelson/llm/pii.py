@@ -1,17 +1,22 @@
 """Personal data by weak supervision, with DataFrame functions only.
 
-Candidates are the base matches plus looser ones (numbers that fail a base check, ``(at)`` addresses,
-phone numbers without a country code). Three labelers vote on each: the strict rule, a gazetteer
-and context words. Expectation-maximisation over the counts of vote patterns (at most 32 rows, whatever
-the input) estimates prior and reliabilities; its posteriors train a logistic span classifier, which is
+Candidates are the base matches, base matches that fail a check, and looser ones (``(at)`` and ``(dot)``
+addresses, phone numbers without a country code). Three labelers vote yes, no or abstain on each: the strict rule
+(abstains on loose candidates), a gazetteer (top-level domains, address ranges, issuer prefixes, calling and area codes by
+their numbering rules) and words before it (a kind's own words for, words of orders, invoices and versions against).
+Expectation-maximisation over the counts of vote patterns (at most 96 rows, whatever the input) estimates priors
+and reliabilities for each kind and form; its posteriors train a logistic span classifier, which is
 applied as a column expression. Base matches stay; accepted candidates that touch no base match are
-added. Null text counts as empty. Offsets are code points, end exclusive.
+added. By the limits ``CAPS`` and ``PRIOR_MOST`` a failed check is not outvoted, and a loose number needs both other
+votes; a loose address needs a known domain or a word for it. Null text counts as empty; a repeated row counts and
+is answered as often as it comes; an empty table gives an empty result. Offsets are code points, end exclusive.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +32,27 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 LOOSE = {
-    "email": rf"(?<!{_LOCAL}){_LOCAL}++ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "email": rf"(?<!{_LOCAL}){_LOCAL}++ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]++(?:(?:\.| ?(?:\(dot\)|\[dot\]) ?)[A-Za-z0-9-]++)++",
     "phone": r"(?<![0-9+(])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
 }
-GAZETTEER = {"email": r"\.(com|org|net|edu|gov|de|fr|es|io)$", "ip": r"^(10|127|172|192)\.", "card": r"^(4|5[1-5]|3[47]|6)",
-             "phone": r"^\+(1|33|34|44|49) |555"}
-CONTEXT = {"email": r"mail|contact|write", "ip": r"\bip\b|server|host|address", "card": r"card|visa|credit|payment",
-           "phone": r"phone|call|\btel|mobile|fax"}
-EM_ROUNDS, FIT_ROUNDS = 50, 400
+_DOMAIN = r"(?i)[.)\]] ?(?:com|org|net|edu|gov|mil|int|info|biz|name|pro|app|dev|[a-z]{2})$"
+_CALLING = (r"^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+            r"|(?:2[1-689]|3[578]|42|5[09]|6[7-9]|8[058]|9[679])[0-9])")
+# (yes, no) by kind, on the match without separators (emails as they are); neither: abstain
+GAZETTEER = {
+    "email": (_DOMAIN, "."),
+    "ip": (r"^(?:10|127|172\.(?:1[6-9]|2[0-9]|3[01])|192\.168)\.", r"^(?:0|22[4-9]|2[3-9][0-9]|[3-9][0-9][0-9])"),
+    "card": (r"^(?:4|5[1-5]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)|3[47]|3[068]|35|6011|62|64[4-9]|65)", "."),
+    "phone": (_CALLING, "."),
+}
+_AREA = (r"^[2-9](?!11)[0-8][0-9][2-9](?!11)[0-9]{6}", ".")  # ten digits without a country code
+CONTEXT = {"email": r"mail|contact|write|reach", "ip": r"\bip\b|server|host|address", "card": r"card|visa|credit|payment",
+           "phone": r"phone|call|\btel|mobile|fax|dial"}
+AGAINST = r"order|invoice|ticket|serial|tracking|version|release|build|isbn|\bsku\b|\bitem|\bpart\b|\bsection|\blot\b|\bref\b|\bno\."
+EM_ROUNDS, FIT_ROUNDS, PSEUDO = 50, 30, 20
+# strict rule, gazetteer, context: reliability before any vote (``PSEUDO`` votes strong), least and most
+BEFORE, LEAST, CAPS = (0.999, 0.75, 0.8), (0.95, 0.55, 0.55), (0.999, 0.9, 0.9)
+PRIOR_MOST = {"email": 0.5, "phone": 0.2}  # of loose candidates; base forms: 0.9
 
 
 def _luhn(digits: Column) -> Column:
@@ -68,20 +86,32 @@ def _near(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _listed(kind: str, match: Column, strict: bool) -> Column:
+    """Vote of the gazetteer: 1, -1 or 0 (abstains)."""
+    yes, no = GAZETTEER[kind] if strict or kind == "email" else _AREA
+    bare = F.regexp_replace(match, "[^0-9.]" if kind == "ip" else "[^0-9]", "") if kind != "email" else match
+    return F.when(bare.rlike(yes), 1).when(bare.rlike(no), -1).otherwise(0)
+
+
+def _said(kind: str, before: Column) -> Column:
+    """Vote of the 32 characters before: the later of a word for and a word against decides."""
+    words = F.lower(F.right(before, F.lit(32)))
+    return F.when(words.rlike(f"(?s)(?:{CONTEXT[kind]})(?!.*(?:{AGAINST}))"), 1).when(words.rlike(AGAINST), -1).otherwise(0)
+
+
 def _found(text: Column, kind: str, pattern: str, strict: bool) -> Column:
     """Candidates of one pattern with offsets: text between matches comes from split()."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     zipped = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(h.alias("h"), g.alias("g")))
-    empty = F.array().cast("array<struct<kind:int,start:bigint,end:bigint,base:boolean,gaz:boolean,ctx:boolean>>")
+    empty = F.array().cast("array<struct<kind:int,start:bigint,end:bigint,loose:boolean,base:boolean,gaz:int,ctx:int>>")
 
     def step(acc, x):
         start = acc["pos"] + F.length(x["g"])
         end = start + F.length(x["h"])
         span = F.struct(F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), end.alias("end"),
-                        (_strict(kind, x["h"]) if strict else F.lit(False)).alias("base"),
-                        x["h"].rlike(GAZETTEER[kind]).alias("gaz"),
-                        F.lower(F.right(x["g"], F.lit(32))).rlike(CONTEXT[kind]).alias("ctx"))
+                        F.lit(not strict).alias("loose"), (_strict(kind, x["h"]) if strict else F.lit(False)).alias("base"),
+                        _listed(kind, x["h"], strict).alias("gaz"), _said(kind, x["g"]).alias("ctx"))
         out = F.when(_near(kind, x["h"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
         return F.struct(end.alias("pos"), out.alias("out"))
 
@@ -93,7 +123,7 @@ def found_in(text: Column) -> Column:
     """Spans of a text, sorted by start, then kind."""
     text = F.coalesce(text, F.lit(""))
     every = F.concat(*[_found(text, k, p, True) for k, p in BASE.items()], *[_found(text, k, p, False) for k, p in LOOSE.items()])
-    names = ("start", "kind", "end", "base", "gaz", "ctx")
+    names = ("start", "kind", "end", "loose", "base", "gaz", "ctx")
     return F.array_sort(F.transform(every, lambda s: F.struct(*[s[n].alias(n) for n in names])))
 
 
@@ -101,37 +131,55 @@ def _sigmoid(z: float) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def reliabilities(counts: dict) -> tuple[dict, list]:
-    """EM over {(kind, base, gaz, ctx): count}: posterior of each pattern, reliability of each labeler."""
-    r, prior, post = [0.95, 0.7, 0.7], [0.5] * len(KINDS), {}
-    for _ in range(EM_ROUNDS):
-        for p in counts:
-            yes, no = prior[p[0]], 1 - prior[p[0]]
-            for a, v in zip(r, p[1:]):
-                yes, no = yes * (a if v else 1 - a), no * (1 - a if v else a)
-            post[p] = yes / (yes + no)
-        total = max(1, sum(counts.values()))
-        r = [min(0.99, max(0.55, sum(n * (post[p] if p[i + 1] else 1 - post[p]) for p, n in counts.items()) / total)) for i in range(3)]
-        for k in range(len(KINDS)):
-            n = sum(c for p, c in counts.items() if p[0] == k)
-            prior[k] = (sum(c * post[p] for p, c in counts.items() if p[0] == k) + 1) / (n + 2)
+def reliabilities(counts: dict) -> tuple[dict, dict]:
+    """EM over {(kind, loose, votes of the three labelers): count}: posterior of each pattern, and reliabilities of the
+    labelers by (kind, loose)."""
+    post, forms = {}, {p[:2]: [p2 for p2 in counts if p2[:2] == p[:2]] for p in counts}
+    r = {f: list(BEFORE) for f in forms}
+    for f, patterns in forms.items():
+        most = PRIOR_MOST[KINDS[f[0]]] if f[1] else 0.9
+        prior, total = min(0.5, most), sum(counts[p] for p in patterns)
+        for _ in range(EM_ROUNDS):
+            for p in patterns:
+                odds = prior / (1 - prior)
+                for a, v in zip(r[f], p[2:]):
+                    odds *= (a / (1 - a)) ** v
+                post[p] = odds / (1 + odds)
+            for i in range(3):
+                voted = [p for p in patterns if p[2 + i]]
+                agreed = sum(counts[p] * (post[p] if p[2 + i] > 0 else 1 - post[p]) for p in voted)
+                got = (PSEUDO * BEFORE[i] + agreed) / (PSEUDO + sum(counts[p] for p in voted))
+                r[f][i] = min(CAPS[i], max(LEAST[i], got))
+            prior = min(most, max(0.05, (sum(counts[p] * post[p] for p in patterns) + 1) / (total + 2)))
     return post, r
 
 
-def train(found: DataFrame) -> list[float]:
-    """Weights of the span classifier: one for each kind, then one for each vote."""
-    votes = found.select(F.inline("found")).groupBy("kind", "base", "gaz", "ctx").agg(F.count("*").alias("n"))
-    counts = {(x["kind"], int(x["base"]), int(x["gaz"]), int(x["ctx"])): x["n"] for x in votes.collect()}
+def _clear(s: Column) -> Column:
+    """The span touches no base match of ``found``."""
+    return ~F.exists("found", lambda b: b["base"] & (b["start"] < s["end"]) & (s["start"] < b["end"]))
+
+
+def train(found: DataFrame) -> list[list[float]]:
+    """Weights of the span classifier, by kind and form (base, loose): bias, then one for each vote."""
+    strict = F.when(F.col("loose"), 0).when(F.col("base"), 1).otherwise(-1).alias("strict")
+    open_ = F.filter("found", lambda s: ~s["loose"] | _clear(s))  # loose ones on a base match can't be added
+    votes = found.select(F.inline(open_)).groupBy("kind", F.col("loose").cast("int").alias("loose"), strict, "gaz", "ctx").agg(
+        F.count("*").alias("n"))
+    counts = {tuple(x[:5]): x["n"] for x in votes.collect()}
     post, _ = reliabilities(counts)
-    w, total = [0.0] * (len(KINDS) + 3), max(1, sum(counts.values()))
-    for _ in range(FIT_ROUNDS):
-        step = [0.0] * len(w)
-        for p, n in counts.items():
-            x = [float(p[0] == k) for k in range(len(KINDS))] + [float(v) for v in p[1:]]
-            err = (post[p] - _sigmoid(sum(a * b for a, b in zip(w, x)))) * n / total
-            step = [s + err * v for s, v in zip(step, x)]
-        w = [a + 4 * s for a, s in zip(w, step)]
-    return w
+    weights = [[-1.0, 0.0, 0.0, 0.0] for _ in range(2 * len(KINDS))]
+    for f in {p[:2] for p in counts}:
+        patterns = sorted(p for p in counts if p[:2] == f)
+        n = np.array([counts[p] for p in patterns], float)
+        share = n / n.sum() / 2 + 1 / (2 * len(n))  # half by count, half for each pattern, so that rare ones are learned
+        x, y = np.array([(1, *p[2:]) for p in patterns], float), np.array([post[p] for p in patterns])
+        w = np.zeros(4)
+        for _ in range(FIT_ROUNDS):
+            q = np.array([_sigmoid(z) for z in x @ w])
+            step = np.linalg.solve((x.T * (share * q * (1 - q))) @ x + 1e-4 * np.eye(4), x.T @ (share * (y - q)) - 1e-4 * w)
+            w = w + step * min(1.0, 4 / max(1e-9, np.abs(step).max()))
+        weights[2 * f[0] + f[1]] = w.tolist()
+    return weights
 
 
 def spans(found: DataFrame) -> tuple[Column, Column]:
@@ -139,14 +187,13 @@ def spans(found: DataFrame) -> tuple[Column, Column]:
     w = train(found)
 
     def accepted(s):
-        z = F.element_at(F.array(*[F.lit(float(x)) for x in w[:len(KINDS)]]), s["kind"] + 1)
-        for name, x in zip(("base", "gaz", "ctx"), w[len(KINDS):]):
-            z = z + F.when(s[name], float(x)).otherwise(0.0)
-        return F.exp(-z) <= 1.0
+        form = s["kind"] * 2 + s["loose"].cast("int") + 1
+        weight = lambda i: F.element_at(F.array(*[F.lit(float(row[i])) for row in w]), form)
+        strict = F.when(s["loose"], 0).when(s["base"], 1).otherwise(-1)
+        return weight(0) + weight(1) * strict + weight(2) * s["gaz"] + weight(3) * s["ctx"] >= 0.0
 
     base = F.filter("found", lambda s: s["base"])
-    clear = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return base, F.filter("found", lambda s: s["base"] | (accepted(s) & clear(s)))
+    return base, F.filter("found", lambda s: s["base"] | (accepted(s) & _clear(s)))
 
 
 def _joined(a) -> Column:

@@ -53,3 +53,29 @@ def test_overlapping_spans_are_redacted_whole(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.text for r in pii.redact(docs).collect()}
     assert got == {0: "[PHONE]", 1: "[CARD]", 2: "to [PHONE] or [EMAIL] now"}
+
+
+def test_loose_spans_are_added_and_numbers_of_orders_are_not(spark):
+    found = {"please mail jane (at) example.com now": "jane (at) example.com", "call our phone 415-555-2671 today": "415-555-2671",
+             "write to bob.x [at] uni [dot] edu": "bob.x [at] uni [dot] edu", "tel (212) 555-0187": "(212) 555-0187",
+             "é dial 303.555.0142": "303.555.0142"}
+    none = ["order 415-555-2671", "call about invoice no. 415-555-2671", "lot 123-456-7890", "phone list, page 111-222-3333 of 9",
+            "meet (at) noon.tomorrow-ish", "card 4111 1111 1111 1112", "server 999.10.10.10", "415-555-2671"]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = [*found, *none]
+    planted = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for df in (planted, planted.unionByName(docs)):
+        got = {r.doc_id: r.spans for r in pii.digest(df).filter("doc_id < 0").collect()}
+        for i, t in enumerate(texts):
+            at = [t[int(a):int(b)] for _, a, b in (x.split(":") for x in got[-1 - i].split(",") if x)]
+            assert at == ([found[t]] if t in found else []), t
+    clean = {r.doc_id: r.text for r in pii.redact(planted).collect()}
+    assert clean[-1] == "please mail [EMAIL] now" and clean[-6] == none[0]
+
+
+def test_reliabilities_follow_the_votes():
+    """Simulated votes: the labeler that errs less is trusted more, and a failed check is not outvoted."""
+    counts = {(2, 0, 1, 1, 1): 500, (2, 0, 1, 1, -1): 200, (2, 0, 1, -1, 1): 20, (2, 0, -1, -1, -1): 300, (2, 0, -1, 1, 1): 5}
+    post, r = pii.reliabilities(counts)
+    assert r[2, 0][0] > r[2, 0][1] > r[2, 0][2] >= 0.55
+    assert post[2, 0, 1, -1, 1] > 0.5 > post[2, 0, -1, 1, 1] > post[2, 0, -1, -1, -1]
