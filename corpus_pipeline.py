@@ -15,9 +15,10 @@ def _numbered(docs):
     return materialize(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), force=True)
 
 
-def _rows_of(rows, kept):
-    """The documents of ``rows`` whose number is in ``kept``; ids may repeat or be null."""
-    return rows.join(kept.select("row"), "row", "left_semi").select("doc.*")
+def _rows_but(rows, dropped):
+    """The documents of ``rows`` whose number is not in ``dropped``; ids may repeat or be null. The numbers are written
+    first, so Spark knows their size: while they fit a broadcast, no text is shuffled."""
+    return rows.join(materialize(dropped.select("row"), force=True), "row", "left_anti").select("doc.*")
 
 
 def language_id(spark, docs, sf_dir):
@@ -30,13 +31,14 @@ def exact(spark, docs, sf_dir):
     """The row of largest (doc_id, number) of each group of equal texts stays; null ids are smallest."""
     rows = _numbered(docs)
     keyed = rows.select(F.struct(F.col("doc.doc_id").alias("doc_id"), "row").alias("key"), F.col("doc.text").alias("text"))
-    return _rows_of(rows, exact_dedup.exact_groups(keyed, id_col="key").filter("kept").select("doc_id.row"))
+    return _rows_but(rows, exact_dedup.exact_groups(keyed, id_col="key").filter("NOT kept").select("doc_id.row"))
 
 
 def near(spark, docs, sf_dir):
     """The row of smallest (doc_id, number) of each group stays; null ids are largest."""
     rows = _numbered(docs)
-    return _rows_of(rows, simhash.near_firsts(rows.select("doc.doc_id", "doc.text", "row")))
+    kept = simhash.near_firsts(rows.select("doc.doc_id", "doc.text", "row"))
+    return _rows_but(rows, rows.select("row").join(kept, "row", "left_anti"))
 
 
 def private(spark, docs, sf_dir):
