@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.plans import stages
 from keelson.plans.stages import materialize
 
 
@@ -29,7 +30,7 @@ def placed(df: DataFrame, group: Sequence[str]) -> DataFrame:
         return F.coalesce(F.sum("_n").over(w.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     counts = df.groupBy(*group).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    bases = materialize(counts.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "_first",
+    bases = stages.materialize(counts.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "_first",
                                       before(Window.partitionBy(*keys)).alias("_base"),
                                       before(Window.partitionBy()).alias("_all")), force=True)
     if bases.count() <= SMALL:
