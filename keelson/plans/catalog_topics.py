@@ -152,8 +152,7 @@ def q_windowed_text_sink(spark, sf):
     avgs = tr.tumbling_avg_speed(_traffic(spark, sf))
     line = formats.format_average("window_start_ms", "window_end_ms", "sensor_id", "avg_speed_kmh")
     topics.windowed_text_sink(avgs.select(F.col("window_start_ms").alias("window_start"), line.alias("line")), path)
-    back = spark.read.schema("value string, window_start long").text(path)
-    return back.groupBy("window_start").agg(F.count("*").alias("n_lines"))
+    return topics.read_windowed_text(spark, path).groupBy("window_start").agg(F.count("*").alias("n_lines"))
 
 
 @register("dual_sink", """

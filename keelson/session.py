@@ -74,6 +74,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def local_folder(spark: SparkSession, path: str) -> str | None:
+    """The plain folder of a path on a local or mounted file system; None on any other."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(p).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused sub-folder of the checkpoint root (one per run)."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")

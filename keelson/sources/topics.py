@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 
 from keelson.plans.numbering import placed
 from keelson.plans.stages import materialize
+from keelson.session import local_folder
 from keelson.sources import commitlog
+from keelson.sources.shards import TextShards
 
 TOPIC_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -188,9 +190,30 @@ def read_traffic_file(spark: SparkSession, path: str, topic: str = "traffic-data
 
 def windowed_text_sink(lines: DataFrame, path: str, window_col: str = "window_start", line_col: str = "line") -> None:
     """One text shard per window (``<path>/window_start=<value>/part-*.txt``): rows are
-    hash-partitioned by window so each window is written by one task, in one file."""
-    (lines.select(F.col(window_col).cast("string").alias(window_col), F.col(line_col).alias("value"))
-     .repartition(window_col).write.mode("append").partitionBy(window_col).text(path))
+    hash-partitioned by window so each window is written by one task, in one file. The work is in the
+    number of shards, so tasks of few bytes are not merged; on a mounted folder ``sources.shards`` writes them."""
+    spark = lines.sparkSession
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = (lines.select(F.col(window_col).cast("string").alias(window_col), F.col(line_col).cast("string").alias("value"))
+            .repartition(files, window_col))
+    folder = local_folder(spark, path)
+    if folder is None:
+        rows.write.mode("append").partitionBy(window_col).text(path)
+        return
+    spark.dataSource.register(TextShards)
+    (rows.sortWithinPartitions(window_col).write.format("text_shards").mode("append").option("path", folder)
+     .option("column", window_col).save())
+
+
+def read_windowed_text(spark: SparkSession, path: str, window_col: str = "window_start", window_type: str = "long") -> DataFrame:
+    """The lines of ``windowed_text_sink``: ``value`` and the window."""
+    folder = local_folder(spark, path)
+    if folder is None:
+        return spark.read.schema(f"value string, `{window_col}` {window_type}").text(path)
+    spark.dataSource.register(TextShards)
+    back = (spark.read.format("text_shards").option("path", folder).option("column", window_col)
+            .option("tasks", spark.conf.get("spark.sql.shuffle.partitions")).load())
+    return back.select("value", F.col(window_col).cast(window_type).alias(window_col))
 
 
 def dual_sink(routed: DataFrame, path: str) -> None:

@@ -100,3 +100,46 @@ def test_blueprint_named_sources_and_sinks(spark):
     timed = topics.topic_source(spark, root, "timed").orderBy("value").collect()
     assert [str(r.timestamp) for r in timed] == ["2025-10-03 05:22:40", "2025-10-03 05:22:41"]
     assert topics.topic_source_committed(spark, root, "plain").isStreaming
+
+
+def test_windowed_shards_as_spark_lays_them_out(spark):
+    """Folders, lines and nulls are those of ``partitionBy().text``, without a checksum file (and its processes) for each shard."""
+    root = tempfile.mkdtemp(prefix="shards-")
+    rows = [(w, f"{w} é {i}") for i, w in enumerate(["5", "2025-10-03 05:22:40", "a/b=c%d", "", None, "5"])] + [("5", None), ("5", "")]
+    rows += [(str(100 + i % 700), f"l{i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "w string, line string").repartition(7)
+    ours, spark_s = os.path.join(root, "ours"), os.path.join(root, "spark")
+    for times in (1, 2):
+        topics.windowed_text_sink(df, ours, "w")
+        df.select("w", F.col("line").alias("value")).repartition("w").write.mode("append").partitionBy("w").text(spark_s)
+
+        def tree(path):
+            out = {}
+            for d in os.listdir(path):
+                if not os.path.isdir(os.path.join(path, d)):
+                    continue
+                files = [f for f in os.listdir(os.path.join(path, d)) if not f.startswith(".")]
+                # null and empty windows share a folder
+                assert (len(files) == times or "__HIVE" in d) and all(f.startswith("part-") and f.endswith(".txt") for f in files)
+                lines = []
+                for f in files:
+                    with open(os.path.join(path, d, f), encoding="utf-8") as h:
+                        lines += h.read().split("\n")[:-1]
+                out[d] = sorted(lines)
+            return out
+        assert tree(ours) == tree(spark_s) and not os.path.exists(os.path.join(ours, "_temporary"))
+        back = topics.read_windowed_text(spark, ours, "w", "string")
+        want = [(w or None, line or "") for w, line in rows] * times
+        assert sorted(map(repr, map(tuple, back.collect()))) == sorted(repr((line, w)) for w, line in want)
+    assert not [f for _, _, fs in os.walk(ours) for f in fs if f.endswith(".crc")]
+
+
+def test_failed_windowed_sink_leaves_no_shard(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="shards-"), "avg")
+    bad = spark.range(100).select(F.col("id").alias("w"), F.when(F.col("id") == 77, F.raise_error(F.lit("lost"))).otherwise(F.lit("x")).alias("line"))
+    import pytest
+    with pytest.raises(Exception, match="lost"):
+        topics.windowed_text_sink(bad, path, "w")
+    assert not os.path.exists(path) or not os.listdir(path)
+    topics.windowed_text_sink(bad.filter("id < 0"), path, "w")
+    assert topics.read_windowed_text(spark, path, "w").count() == 0
