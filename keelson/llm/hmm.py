@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.sequences import backward, by_length, forward
+from keelson.llm.sequences import backward_by_step, by_length, by_step, forward, forward_by_step
 from keelson.plans.stages import materialize
 
 STATES, SYMBOLS, CLASSES, HEAD, ROUNDS, STEPS = 8, 8192, 64, 131_072, 3, 160_000
@@ -89,7 +89,7 @@ def encode(docs: DataFrame, vocab: dict, held: Column) -> DataFrame:
 
     def one(text):
         ws = words(text)
-        at = np.array(list(map(code.get, ws, repeat(-1))), np.int32)
+        at = np.fromiter(map(code.get, ws, repeat(-1)), np.int32, len(ws))
         other = np.flatnonzero(at < 0)
         known = at if not len(other) else at[at >= 0]
         ids = sym[at]
@@ -149,32 +149,34 @@ def expected(codes: DataFrame, model: dict) -> DataFrame:
         by_symbol, trans, first = np.zeros((m, k)), np.zeros((k, k)), np.zeros(k)
 
         def add(ids, starts, n, begin, last=None):
-            """Adds the group's counts; returns its alphas, and the weight of each state's next step into it."""
-            emit = model["emit"][ids]
-            alpha, scale = forward(emit, starts, n, begin, model["step"], EVERY)
-            beta = backward(emit, scale, starts, n, model["step"], last)
-            gamma = alpha * beta
-            inner = np.ones(len(ids), bool)
-            inner[starts] = False
-            at = np.flatnonzero(inner)
-            weight = emit * beta / scale[:, None]
+            """Adds the group's counts; returns the alphas of its last place, and of its first steps the weight of each
+            state's step into them and the marginals."""
+            active, place, at, _ = by_step(starts, n)
+            ids = ids[at]
+            weight = model["emit"][ids]
+            alpha = weight.copy()
+            weight /= forward_by_step(alpha, active, place, n, begin, model["step"], EVERY)[:, None]
+            beta = backward_by_step(weight, active, place, model["step"], last)
+            before = np.arange(active[0], len(ids)) - np.repeat(active[:-1], active[1:])
             nonlocal trans
-            trans = trans + model["step"] * (alpha[at - 1].T @ weight[at])
+            trans = trans + model["step"] * (alpha[before].T @ weight[active[0]:])
+            end = alpha[-1].copy()
+            alpha *= beta
             for s in range(k):
-                by_symbol[:, s] += np.bincount(ids, gamma[:, s], m)
-            return alpha, weight, gamma
+                by_symbol[:, s] += np.bincount(ids, alpha[:, s], m)
+            return end, weight[:active[0]], alpha[:active[0]]
 
         for b in batches:
             for _, ids, starts, n in _groups(b["ids"]):
                 if len(ids) <= STEPS or len(n) > 1:
-                    first += add(ids, starts, n, model["first"])[2][starts].sum(axis=0)
+                    first += add(ids, starts, n, model["first"])[2].sum(axis=0)
                     continue
                 weight = last = None  # of a long text block by block from the end, its alphas made again from the block's start
                 for part, begin, _ in reversed(_long_forward(ids, model)):
-                    alpha, before, gamma = add(part, np.array([0]), np.array([len(part)]), begin, last)
+                    end, into, gamma = add(part, np.array([0]), np.array([len(part)]), begin, last)
                     if weight is not None:
-                        trans = trans + model["step"] * np.outer(alpha[-1], weight)
-                    weight = before[0]
+                        trans = trans + model["step"] * np.outer(end, weight)
+                    weight = into[0]
                     last = model["step"] @ weight
                 first += gamma[0]
         keys = np.concatenate([np.flatnonzero(by_symbol.any(axis=1)), [-1], -2 - np.arange(k)])
@@ -213,8 +215,9 @@ def likelihood(codes: DataFrame, model: dict) -> DataFrame:
             if len(ids) > STEPS and len(n) == 1:
                 out[group] = sum(x for _, _, x in _long_forward(ids, model))
                 continue
-            _, scale = forward(model["emit"][ids], starts, n, model["first"], model["step"], EVERY)
-            out[group] = np.add.reduceat(np.log10(scale), starts)
+            active, place, at, text = by_step(starts, n)
+            scale = forward_by_step(model["emit"][ids[at]], active, place, n, model["first"], model["step"], EVERY)
+            out[group] = np.bincount(text, np.log10(scale), len(n))
         return pd.Series(out)
 
     return codes.withColumn("hmm", run("ids")).drop("ids")

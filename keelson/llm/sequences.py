@@ -66,3 +66,42 @@ def backward(emit, scale, starts, lengths, step, last=None):
     beta = np.ones_like(emit)
     beta[at] = b.T
     return beta
+
+
+# The same sums over arrays that stay in step order (``by_step``): the rows of a step are one block, (rows, states).
+
+def by_step(starts: np.ndarray, lengths: np.ndarray):
+    """Active sequences and first place of each step, the flat position of each place, and its sequence."""
+    active, first, at = _by_step(starts, lengths)
+    return active, first, at, np.arange(len(at)) - np.repeat(np.array(first, int), active)
+
+
+def forward_by_step(a: np.ndarray, active: list, place: list, lengths: np.ndarray, first: np.ndarray, step: np.ndarray, every: int):
+    """Turns the emissions ``a`` into ``forward``'s alphas in place; returns the scales."""
+    s, ones = np.ones(len(a)), np.ones(a.shape[1])
+    for t, m in enumerate(active):
+        lo = place[t]
+        here = a[lo:lo + m]
+        here *= first if t == 0 else a[place[t - 1]:place[t - 1] + m] @ step
+        if t % every == 0:
+            s[lo:lo + m] = total = here @ ones
+            here /= total[:, None]
+    some = np.flatnonzero((lengths > 0) & ((lengths - 1) % every != 0))
+    last = np.array(place, int)[lengths[some] - 1] + some
+    s[last] = total = a[last] @ ones
+    a[last] /= total[:, None]
+    return s
+
+
+def backward_by_step(e: np.ndarray, active: list, place: list, step: np.ndarray, last=None):
+    """Betas for ``e``, the emissions over the scales; ``e`` becomes their product with the betas."""
+    b, back = np.ones_like(e), np.ascontiguousarray(step.T)
+    if last is not None:
+        b[-1] = last
+    for t in range(len(active) - 1, -1, -1):
+        lo, m = place[t], active[t]
+        here = e[lo:lo + m]
+        here *= b[lo:lo + m]
+        if t:
+            np.matmul(here, back, out=b[place[t - 1]:place[t - 1] + m])
+    return b

@@ -2,6 +2,7 @@ import itertools
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from keelson.llm import ann, catalog, hmm, licenses, sequences, toxicity
@@ -209,3 +210,29 @@ def test_search_takes_odd_rows(spark):
     assert [r[:3] for r in got] == [r[:3] for r in sorted(want)] and np.allclose([r[3] for r in got], [r[3] for r in sorted(want)])
     assert ann.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert ann.search(df.filter("vec_id IS NULL"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("every", [1, 8])
+def test_step_order_gives_the_same_sums(every):
+    rng = np.random.default_rng(5)
+    n = np.array(sorted(rng.integers(1, 40, 30), reverse=True))
+    starts = np.cumsum(n) - n
+    k = 8
+    emit, first, step = rng.random((n.sum(), k)) * 1e-3, rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), k)
+    alpha, scale = sequences.forward(emit, starts, n, first, step, every)
+    active, place, at, text = sequences.by_step(starts, n)
+    a = emit[at]
+    s = sequences.forward_by_step(a, active, place, n, first, step, every)
+    assert np.allclose(a, alpha[at], rtol=1e-12) and np.allclose(s, scale[at], rtol=1e-12)
+    assert (text == np.repeat(np.arange(len(n)), n)[at]).all()
+    beta = sequences.backward(emit, scale, starts, n, step)
+    e = emit[at] / s[:, None]
+    b = sequences.backward_by_step(e, active, place, step)
+    assert np.allclose(b, beta[at], rtol=1e-12) and np.allclose(e, (emit * beta / scale[:, None])[at], rtol=1e-12)
+    # one sequence in two blocks: the first one's last beta is given
+    emit, cut, one = rng.random((30, k)), 16, np.array([30])
+    alpha, scale = sequences.forward(emit, np.array([0]), one, first, step, every)
+    beta = sequences.backward(emit, scale, np.array([0]), one, step)
+    active, place, _, _ = sequences.by_step(np.array([0]), np.array([cut]))
+    b = sequences.backward_by_step(emit[:cut] / scale[:cut, None], active, place, step, beta[cut - 1])
+    assert np.allclose(b, beta[:cut], rtol=1e-12)
