@@ -157,7 +157,8 @@ def expected(codes: DataFrame, model: dict) -> DataFrame:
             alpha = weight.copy()
             weight /= forward_by_step(alpha, active, place, n, begin, model["step"], EVERY)[:, None]
             beta = backward_by_step(weight, active, place, model["step"], last)
-            before = np.arange(active[0], len(ids)) - np.repeat(active[:-1], active[1:])
+            width = np.array(active, int)
+            before = np.arange(active[0], len(ids)) - np.repeat(width[:-1], width[1:])
             nonlocal trans
             trans = trans + model["step"] * (alpha[before].T @ weight[active[0]:])
             end = alpha[-1].copy()

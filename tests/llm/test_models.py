@@ -236,3 +236,14 @@ def test_step_order_gives_the_same_sums(every):
     active, place, _, _ = sequences.by_step(np.array([0]), np.array([cut]))
     b = sequences.backward_by_step(emit[:cut] / scale[:cut, None], active, place, step, beta[cut - 1])
     assert np.allclose(b, beta[:cut], rtol=1e-12)
+
+
+def test_counts_of_texts_of_one_token(spark):
+    """A group without a second step: each text is one first step, and no step follows another."""
+    model = hmm.start_model()
+    end = np.array([hmm.SYMBOLS + hmm.CLASSES], np.int32).tobytes()
+    got = {r[0]: sum(r[1:]) for r in hmm.expected(spark.createDataFrame([(end,)] * 3, "ids binary").coalesce(1), model).collect()}
+    assert abs(got.pop(hmm.SYMBOLS + hmm.CLASSES) - 3) < 1e-9 and abs(got.pop(-1) - 3) < 1e-9
+    assert set(got.values()) == {0.0}
+    rows = spark.createDataFrame([(1, end)], "doc_id long, ids binary")
+    assert abs(hmm.likelihood(rows, model).first().hmm - math.log10(model["first"] @ model["emit"][-1])) < 1e-9
