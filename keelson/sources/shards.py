@@ -67,15 +67,13 @@ class _Writer(DataSourceArrowWriter):
 
     def commit(self, messages: list) -> None:
         for m in messages:
-            with os.scandir(m.attempt) as shards:
-                for s in shards:
-                    place = os.path.join(self.path, s.name)
-                    try:
-                        os.mkdir(place)
-                    except FileExistsError:  # appended to
-                        pass
-                    for f in os.listdir(s.path):
-                        os.rename(os.path.join(s.path, f), os.path.join(place, f))
+            for name in os.listdir(m.attempt):
+                shard, place = os.path.join(m.attempt, name), os.path.join(self.path, name)
+                try:
+                    os.rename(shard, place)
+                except OSError:  # the window has shards: appended to
+                    for f in os.listdir(shard):
+                        os.rename(os.path.join(shard, f), os.path.join(place, f))
         self._clear()
         open(os.path.join(self.path, "_SUCCESS"), "wb").close()
 
